@@ -70,7 +70,7 @@ def split_list(col: Column, separator: str = ",") -> Column:
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator``, NULL where the denominator is 0 or NULL."""
-    return numerator / F.nullif(denominator, F.lit(0))
+    return F.when(denominator != 0, numerator / denominator)
 
 
 def whole_number(col: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placewell.functions.scalars import (
-    in_year, list_part, parse_timestamp, safe_ratio, shift_zone, whole_number,
+    in_year, list_part, safe_ratio, shift_zone, whole_number,
 )
 from placewell.operators.profiling import newest_first
 from placewell.operators.ranking import latest_per_key
@@ -27,47 +27,69 @@ def field(name: str, dtype: str, raw: str = "raw_data") -> Column:
     return F.try_variant_get(raw, f"$.{name}", dtype)
 
 
-def whole_field(name: str) -> Column:
-    return whole_number(field(name, "decimal(38,6)"))
-
-
-def readings_typed(raw: DataFrame, year: int | None = READING_YEAR,
+# column -> field of the record and the type it is read as; whole numbers are read as
+# doubles first, so that they can be rounded
+FIELDS = {
+    "business_id": ("BUSINESS_ID", "string"),
+    "coord": ("coord", "string"),
+    "city": ("city", "string"),
+    "road_class": ("frc", "string"),
+    "data_confidence": ("confidence", "double"),
+    "is_closed": ("roadClosure", "boolean"),
+    "current_speed": ("currentSpeed", "double"),
+    "free_flow_speed": ("freeFlowSpeed", "double"),
+    "current_travel_time": ("currentTravelTime", "double"),
+    "free_flow_travel_time": ("freeFlowTravelTime", "double"),
+    INSTANT: ("timestamp", "timestamp_ntz"),
+}
+
+
+def reading_fields(raw: DataFrame, year: int | None = READING_YEAR,
                    require_metric: bool = False) -> DataFrame:
-    """Typed readings of one year that have a key. Works on batches and on streams.
+    """Fields of the readings of one year that have a key. Works on batches and on streams.
 
+    The projection only takes fields out of the variant: in this form Spark moves all of
+    them into the Parquet scan and does not load the rest of the record.
     ``require_metric`` drops the rows of failed polls, which have no speed.
     """
     if year is not None and "payload_year" in raw.columns:
         # the partition prunes files; the range below decides
         raw = raw.where(F.col("payload_year") == str(year))
-    coord = field("coord", "string")
-    typed = raw.select(
-        field("BUSINESS_ID", "string").alias("business_id"),
-        list_part(coord, 1, "double").alias("lat"),
-        list_part(coord, 2, "double").alias("lon"),
-        field("city", "string").alias("city"),
-        field("frc", "string").alias("road_class"),
-        field("confidence", "double").alias("data_confidence"),
-        field("roadClosure", "boolean").alias("is_closed"),
-        whole_field("currentSpeed").alias("current_speed"),
-        whole_field("freeFlowSpeed").alias("free_flow_speed"),
-        whole_field("currentTravelTime").alias("current_travel_time"),
-        whole_field("freeFlowTravelTime").alias("free_flow_travel_time"),
-        safe_ratio(field("currentSpeed", "double"), field("freeFlowSpeed", "double"))
-        .alias("speed_ratio"),
-        parse_timestamp(field("timestamp", "string")).alias(INSTANT),
-    )
-    kept = typed.where(F.col("business_id").isNotNull())
+    fields = raw.select(*[field(f, dtype).alias(c) for c, (f, dtype) in FIELDS.items()])
+    kept = fields.where(F.col("business_id").isNotNull())
     if year is not None:
         kept = kept.where(in_year(F.col(INSTANT), year))
     if require_metric:
         kept = kept.where(F.col("current_speed").isNotNull())
-    return kept.withColumn("event_time", shift_zone(F.col(INSTANT), SOURCE_ZONE, LOCAL_ZONE))
+    return kept
+
+
+def typed_columns(fields: DataFrame) -> DataFrame:
+    """Place, whole speeds and times, speed ratio and local time out of the fields."""
+    return fields.select(
+        "business_id",
+        list_part(F.col("coord"), 1, "double").alias("lat"),
+        list_part(F.col("coord"), 2, "double").alias("lon"),
+        "city", "road_class", "data_confidence", "is_closed",
+        *[whole_number(F.col(c)).alias(c) for c in (
+            "current_speed", "free_flow_speed", "current_travel_time", "free_flow_travel_time")],
+        safe_ratio(F.col("current_speed"), F.col("free_flow_speed")).alias("speed_ratio"),
+        INSTANT,
+        shift_zone(F.col(INSTANT), SOURCE_ZONE, LOCAL_ZONE).alias("event_time"),
+    )
+
+
+def readings_typed(raw: DataFrame, year: int | None = READING_YEAR,
+                   require_metric: bool = False) -> DataFrame:
+    """All typed readings of one year."""
+    return typed_columns(reading_fields(raw, year, require_metric))
 
 
-def readings_latest(typed: DataFrame) -> DataFrame:
-    """The latest reading of each place."""
-    return latest_per_key(typed, "business_id", INSTANT).drop(INSTANT)
+def readings_latest(raw: DataFrame, year: int | None = READING_YEAR,
+                    require_metric: bool = False) -> DataFrame:
+    """The latest reading of each place. Only the rows kept are worked out further."""
+    fields = reading_fields(raw, year, require_metric)
+    return typed_columns(latest_per_key(fields, "business_id", INSTANT)).drop(INSTANT)
 
 
 def latest_report(latest: DataFrame) -> DataFrame:
@@ -81,7 +103,6 @@ def latest_report(latest: DataFrame) -> DataFrame:
 
 
 def register_views(raw: DataFrame, year: int | None = READING_YEAR) -> None:
-    """The two views, stacked and bound when they are read."""
-    typed = readings_typed(raw, year)
-    typed.createOrReplaceTempView("readings_final")
-    readings_latest(typed).createOrReplaceTempView("readings_latest")
+    """The two views over the raw readings, worked out when they are read."""
+    readings_typed(raw, year).createOrReplaceTempView("readings_final")
+    readings_latest(raw, year).createOrReplaceTempView("readings_latest")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placewell.session import scratch_dir
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -104,10 +106,11 @@ PAYLOAD_COLUMNS = {
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One variant per event."""
+    """A stored raw table with one variant per event."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     payload = [F.expr(e).alias(c) for c, e in PAYLOAD_COLUMNS.items()]
-    return table(spark, sf_dir, "events").select(
+    raw = scratch_dir(spark, "readings")
+    table(spark, sf_dir, "events").select(
         F.to_variant_object(F.struct(
             *payload,
             k.alias("freeFlowSpeed"),
@@ -115,4 +118,5 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.concat_ws(",", "value", "event_id")).alias("coord"),
             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
         )).alias("raw_data"),
-    )
+    ).write.parquet(raw)
+    return spark.read.parquet(raw)

@@ -275,7 +275,8 @@ ORACLE = {
     "readings_typed": READINGS,
     "readings_latest": READINGS_LATEST,
     "latest_report": f"""
-        SELECT business_id, current_speed, round(speed_ratio, 2) AS friction_index,
+        SELECT business_id, current_speed,
+               CAST(round(CAST(speed_ratio AS DECIMAL(30, 10)), 2) AS DOUBLE) AS friction_index,
                (event_time AT TIME ZONE 'America/New_York') AT TIME ZONE 'America/Los_Angeles'
                  AS latest_pulse_pst
         FROM ({READINGS_LATEST})""",

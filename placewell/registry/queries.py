@@ -444,7 +444,7 @@ def readings_typed(spark, sf_dir):
 
 @query
 def readings_latest(spark, sf_dir):
-    return readings.readings_latest(readings_typed(spark, sf_dir))
+    return readings.readings_latest(inputs.readings(spark, sf_dir), year=2024)
 
 
 @query

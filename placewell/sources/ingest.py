@@ -23,7 +23,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,7 +74,7 @@ def ingest_variant(spark: SparkSession, source: str, target: str, time_field: st
     _run(spark, source, target, pattern, max_files, read, partitions=["payload_year"])
 
 
-def as_variant(df: DataFrame):
+def as_variant(df: DataFrame) -> Column:
     """All columns of a record as one variant object."""
     return F.to_variant_object(F.struct(*[F.col(quoted(c)) for c in df.columns]))
 
@@ -126,62 +126,48 @@ def _run(spark: SparkSession, source: str, target: str, pattern: str, max_files:
 
 def _load_batch(spark: SparkSession, files: DataFrame, batch_id: int, target: str,
                 read: Callable[[list[str]], DataFrame], partitions: list[str]) -> None:
-    # file names only, at most maxFilesPerTrigger of them
+    # one row per file, at most maxFilesPerTrigger of them; so are the counts below
     events = files.collect()
     if not events:
         return
+    paths = [e.path for e in events]
     data = f"{target}/data/batch_id={batch_id}"
-    listed = spark.createDataFrame(
-        [(e.path, e.length, e.modificationTime) for e in events],
-        "file_name string, file_size bigint, modified_at timestamp",
-    )
 
-    def write(rows: DataFrame) -> None:
+    def write(rows: DataFrame) -> dict[str, int]:
         rows.write.mode("overwrite").partitionBy(*partitions).parquet(data)
-
-    def landed() -> DataFrame:
         written = spark.read.schema(f"{SOURCE_FILE} string").parquet(data)
-        return written.groupBy(F.col(SOURCE_FILE).alias("file_name")).agg(
-            F.count(F.lit(1)).alias("landed_rows"))
-
-    def audit(promised: DataFrame) -> DataFrame:
-        return (
-            listed.join(promised, "file_name", "left").join(landed(), "file_name", "left")
-            .fillna(0, ["file_rows", "landed_rows"])
-        )
+        return _rows_per_file(written, F.col(SOURCE_FILE))
 
-    paths = [e.path for e in events]
-    promised = _footer_rows(spark, paths)
-    write(read(paths))
-    short = _short_files(audit(promised))
+    # no column is selected, so the footers alone answer this
+    promised = _rows_per_file(
+        _reader(spark).schema("_none string").parquet(*paths), F.col("_metadata.file_path"))
+    landed = write(read(paths))
+    short = [p for p in paths if landed.get(p, 0) < promised.get(p, 0)]
     if short:
         # a read that failed once may have been a passing fault; ask again before rejecting
-        lost = [p for p in short if not _reads_whole(read, p, short[p])]
+        lost = {p for p in short if not _reads_whole(read, p, promised[p])}
         kept = [p for p in paths if p not in lost]
-        write(read(kept) if kept else read(paths).limit(0))
-        if not set(_short_files(audit(promised))) <= set(lost):
+        landed = write(read(kept) if kept else read(paths).limit(0))
+        if any(landed.get(p, 0) != promised.get(p, 0) for p in kept):
             raise OSError(f"batch {batch_id}: files became unreadable during the load")
-    rows = F.col("landed_rows")
-    audit(promised).select(
-        "file_name", "file_size", "modified_at", "file_rows",
-        rows.alias("row_count"),
-        F.when(rows < F.col("file_rows"), "skipped").when(rows == 0, "no_rows")
-        .otherwise("loaded").alias("status"),
-        F.current_timestamp().alias("last_load_time"),
-    ).coalesce(1).write.mode("overwrite").parquet(f"{target}/history/batch_id={batch_id}")
-
-
-def _footer_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Rows per file by its footer: no column is read."""
-    # the schema is a placeholder; none of its columns is selected
-    scan = _reader(spark).schema("_none string").parquet(*paths)
-    return scan.groupBy(F.col("_metadata.file_path").alias("file_name")).agg(
-        F.count(F.lit(1)).alias("file_rows"))
-
-
-def _short_files(audit: DataFrame) -> dict[str, int]:
-    rows = audit.where(F.col("landed_rows") < F.col("file_rows")).select("file_name", "file_rows")
-    return {r.file_name: r.file_rows for r in rows.collect()}
+
+    def status(path: str) -> str:
+        if landed.get(path, 0) < promised.get(path, 0):
+            return "skipped"
+        return "loaded" if promised.get(path) else "no_rows"
+
+    spark.createDataFrame(
+        [(e.path, e.length, e.modificationTime, promised.get(e.path, 0), landed.get(e.path, 0),
+          status(e.path)) for e in events],
+        "file_name string, file_size bigint, modified_at timestamp, file_rows bigint, "
+        "row_count bigint, status string",
+    ).withColumn("last_load_time", F.current_timestamp()).coalesce(1).write.mode(
+        "overwrite").parquet(f"{target}/history/batch_id={batch_id}")
+
+
+def _rows_per_file(df: DataFrame, path: Column) -> dict[str, int]:
+    counts = df.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    return {r.path: r.n for r in counts.collect()}
 
 
 def _reads_whole(read: Callable[[list[str]], DataFrame], path: str, expected: int) -> bool:
