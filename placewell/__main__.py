@@ -15,7 +15,7 @@ from placewell.sources.ingest import ingest_table, ingest_variant, load_history,
 from placewell.sources.landing import (
     TIME_FIELD, land_dataset, land_readings, read_json_lines,
 )
-from placewell.streaming.latest import run_latest_state
+from placewell.streaming.latest import follow_latest
 
 
 def parser() -> argparse.ArgumentParser:
@@ -23,7 +23,7 @@ def parser() -> argparse.ArgumentParser:
     jobs = top.add_subparsers(dest="job", required=True)
 
     def job(name: str, text: str, *arguments: str) -> argparse.ArgumentParser:
-        sub = jobs.add_parser(name, help=text)
+        sub = jobs.add_parser(name, help=text, description=text)
         for argument in arguments:
             sub.add_argument(argument)
         return sub
@@ -37,6 +37,9 @@ def parser() -> argparse.ArgumentParser:
     job("ingest", "load new Parquet files into a raw table", "source", "target").add_argument(
         "--dataset", choices=[d for d, s in DATASETS.items() if s.ddl] + ["business"], required=True)
     job("ingest-readings", "load new reading files as variants", "source", "target")
+    for name in ("ingest", "ingest-readings"):
+        jobs.choices[name].add_argument(
+            "--interval", help="such as '1 minute'; without it the job ends when done")
     job("history", "load history per file", "target").add_argument("--within", default="14 days")
     clean = job("refresh", "rebuild the clean tables from the raw ones", "places", "reviews", "checkins")
     clean.add_argument("--database", default="clean")
@@ -62,9 +65,11 @@ def main(argv: list[str] | None = None) -> None:
         land_readings(polls, args.target, args.city)
     elif args.job == "ingest":
         schema = DATASETS[args.dataset].table_schema or spark.read.parquet(args.source).schema
-        ingest_table(spark, args.source, args.target, schema)
+        ingest_table(spark, args.source, args.target, schema,
+                     interval=args.interval).awaitTermination()
     elif args.job == "ingest-readings":
-        ingest_variant(spark, args.source, args.target, TIME_FIELD)
+        ingest_variant(spark, args.source, args.target, TIME_FIELD,
+                       interval=args.interval).awaitTermination()
     elif args.job == "history":
         load_history(spark, args.target, args.within).show(100, truncate=False)
     elif args.job == "refresh":
@@ -73,10 +78,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "latest":
         latest_report(readings_latest(read_table(spark, args.raw), args.year)).show(100, truncate=False)
     elif args.job == "watch":
-        stored = read_table(spark, args.raw)
-        raw = spark.readStream.schema(stored.schema).parquet(f"{args.raw}/data")
-        run_latest_state(reading_fields(raw, args.year), "business_id", INSTANT, args.target,
-                         args.interval).awaitTermination()
+        follow_latest(spark, args.raw, args.target, "business_id", INSTANT,
+                      lambda raw: reading_fields(raw, args.year), args.interval).awaitTermination()
 
 
 if __name__ == "__main__":

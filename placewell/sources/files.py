@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 FILE_COLUMNS = ("path", "length", "modificationTime")
 
@@ -32,4 +33,6 @@ def stream_files(spark: SparkSession, location: str, pattern: str | None = None,
     )
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(location).select(*FILE_COLUMNS)
+    # the name as other scans report it, which differs from the path where that has spaces
+    return reader.load(location).select(
+        *FILE_COLUMNS, F.col("_metadata.file_path").alias("file_name"))

@@ -22,10 +22,12 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from placewell.functions.ordering import quoted
 from placewell.sources.files import stream_files
@@ -38,8 +40,13 @@ HISTORY_SCHEMA = (
 
 
 def ingest_table(spark: SparkSession, source: str, target: str, schema: T.StructType,
-                 pattern: str = "*.parquet", max_files: int = 1000) -> None:
-    """Load all files not loaded before. The first run is the backfill of old files."""
+                 pattern: str = "*.parquet", max_files: int = 1000,
+                 interval: str | None = None) -> StreamingQuery:
+    """Load all files not loaded before. The first run is the backfill of old files.
+
+    Without an ``interval`` the call ends when the files at hand are loaded; with one, the
+    query goes on looking for new files.
+    """
 
     def read(paths: list[str]) -> DataFrame:
         return _reader(spark).schema(schema).parquet(*paths).select(
@@ -47,11 +54,12 @@ def ingest_table(spark: SparkSession, source: str, target: str, schema: T.Struct
             F.col("_metadata.file_path").alias(SOURCE_FILE),
         )
 
-    _run(spark, source, target, pattern, max_files, read, partitions=[])
+    return _run(spark, source, target, pattern, max_files, interval, read, partitions=[])
 
 
 def ingest_variant(spark: SparkSession, source: str, target: str, time_field: str,
-                   pattern: str = "*.parquet", max_files: int = 1000) -> None:
+                   pattern: str = "*.parquet", max_files: int = 1000,
+                   interval: str | None = None) -> StreamingQuery:
     """Load each record whole as one variant, whatever its columns, with its load time.
 
     The year of the record's own time is kept as a partition, so that a reader of one
@@ -71,7 +79,8 @@ def ingest_variant(spark: SparkSession, source: str, target: str, time_field: st
             F.substring(F.try_variant_get("raw_data", f"$.{time_field}", "string"), 1, 4),
         )
 
-    _run(spark, source, target, pattern, max_files, read, partitions=["payload_year"])
+    return _run(
+        spark, source, target, pattern, max_files, interval, read, partitions=["payload_year"])
 
 
 def as_variant(df: DataFrame) -> Column:
@@ -110,7 +119,8 @@ def _reader(spark: SparkSession):
 
 
 def _run(spark: SparkSession, source: str, target: str, pattern: str, max_files: int,
-         read: Callable[[list[str]], DataFrame], partitions: list[str]) -> None:
+         interval: str | None, read: Callable[[list[str]], DataFrame],
+         partitions: list[str]) -> StreamingQuery:
     def load(files: DataFrame, batch_id: int) -> None:
         _load_batch(spark, files, batch_id, target, read, partitions)
 
@@ -118,10 +128,12 @@ def _run(spark: SparkSession, source: str, target: str, pattern: str, max_files:
         stream_files(spark, source, pattern, max_files)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", os.path.join(target, "_checkpoint"))
-        .trigger(availableNow=True)
+        .trigger(**({"processingTime": interval} if interval else {"availableNow": True}))
         .start()
     )
-    query.awaitTermination()
+    if not interval:
+        query.awaitTermination()
+    return query
 
 
 def _load_batch(spark: SparkSession, files: DataFrame, batch_id: int, target: str,
@@ -130,7 +142,7 @@ def _load_batch(spark: SparkSession, files: DataFrame, batch_id: int, target: st
     events = files.collect()
     if not events:
         return
-    paths = [e.path for e in events]
+    paths = {e.file_name: e.path for e in events}
     data = f"{target}/data/batch_id={batch_id}"
 
     def write(rows: DataFrame) -> dict[str, int]:
@@ -140,25 +152,29 @@ def _load_batch(spark: SparkSession, files: DataFrame, batch_id: int, target: st
 
     # no column is selected, so the footers alone answer this
     promised = _rows_per_file(
-        _reader(spark).schema("_none string").parquet(*paths), F.col("_metadata.file_path"))
-    landed = write(read(paths))
-    short = [p for p in paths if landed.get(p, 0) < promised.get(p, 0)]
+        _reader(spark).schema("_none string").parquet(*paths.values()),
+        F.col("_metadata.file_path"))
+    landed = write(read(list(paths.values())))
+    short = [n for n in paths if landed.get(n, 0) < promised.get(n, 0)]
     if short:
         # a read that failed once may have been a passing fault; ask again before rejecting
-        lost = {p for p in short if not _reads_whole(read, p, promised[p])}
-        kept = [p for p in paths if p not in lost]
-        landed = write(read(kept) if kept else read(paths).limit(0))
-        if any(landed.get(p, 0) != promised.get(p, 0) for p in kept):
-            raise OSError(f"batch {batch_id}: files became unreadable during the load")
-
-    def status(path: str) -> str:
-        if landed.get(path, 0) < promised.get(path, 0):
-            return "skipped"
-        return "loaded" if promised.get(path) else "no_rows"
+        lost = {n for n in short if not _reads_whole(read, paths[n], promised[n])}
+        kept = [p for n, p in paths.items() if n not in lost]
+        landed = write(read(kept) if kept else read(list(paths.values())).limit(0))
+        promised_kept = {n: rows for n, rows in promised.items() if n not in lost}
+    else:
+        promised_kept = promised
+    if landed != promised_kept:
+        raise OSError(f"batch {batch_id}: files changed or became unreadable during the load")
+
+    def status(name: str) -> str:
+        if name not in promised:
+            return "no_rows"
+        return "loaded" if name in landed else "skipped"
 
     spark.createDataFrame(
-        [(e.path, e.length, e.modificationTime, promised.get(e.path, 0), landed.get(e.path, 0),
-          status(e.path)) for e in events],
+        [(e.file_name, e.length, e.modificationTime, promised.get(e.file_name, 0),
+          landed.get(e.file_name, 0), status(e.file_name)) for e in events],
         "file_name string, file_size bigint, modified_at timestamp, file_rows bigint, "
         "row_count bigint, status string",
     ).withColumn("last_load_time", F.current_timestamp()).coalesce(1).write.mode(
@@ -187,10 +203,11 @@ def _by_schema(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
     """
     try:
         return [_reader(spark).option("mergeSchema", "true").parquet(*paths)]
-    except PySparkException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+    except (PySparkException, Py4JJavaError) as error:
+        if "UNABLE_TO_INFER_SCHEMA" in str(error):
+            # no file can be read, or none is there any more
             return [_reader(spark).schema("_none string").parquet(*paths)]
-        if "MERGE" not in (error.getCondition() or "") and "merge" not in str(error):
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
 
     def footer(path: str) -> str | None:

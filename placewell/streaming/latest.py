@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from placewell.functions.ordering import quoted
 from placewell.operators.ranking import latest_per_key
+from placewell.sources.ingest import HISTORY_SCHEMA
 
 
 def latest_state(stream: DataFrame, key: str, ts: str) -> DataFrame:
@@ -36,13 +38,36 @@ def run_latest_state(stream: DataFrame, key: str, ts: str, target: str,
     def write(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{target}/changes/batch_id={batch_id}")
 
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return _start(latest_state(stream, key, ts).writeStream.outputMode("update"), write, target, interval)
+
+
+def follow_latest(spark: SparkSession, raw: str, target: str, key: str, ts: str,
+                  fields: Callable[[DataFrame], DataFrame],
+                  interval: str | None = None) -> StreamingQuery:
+    """The same changes, driven by the batches that an ingest publishes in ``raw``.
+
+    The stream is the load history, so a batch is read only when it is complete and
+    checked. The latest row per key of the new batches alone is added; no state is kept.
+    """
+    published = spark.readStream.schema(HISTORY_SCHEMA).parquet(f"{raw}/history")
+
+    def write(history: DataFrame, batch_id: int) -> None:
+        # numbers of new batches: one small history file each, limited per trigger
+        new = [r.batch_id for r in history.select("batch_id").distinct().collect()]
+        if new:
+            rows = spark.read.parquet(f"{raw}/data").where(F.col("batch_id").isin(new))
+            latest_per_key(fields(rows), key, ts).write.mode("overwrite").parquet(
+                f"{target}/changes/batch_id={batch_id}")
+
+    return _start(published.writeStream, write, target, interval)
+
+
+def _start(writer: DataStreamWriter, write: Callable[[DataFrame, int], None], target: str,
+           interval: str | None) -> StreamingQuery:
     return (
-        latest_state(stream, key, ts)
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
+        writer.foreachBatch(write)
         .option("checkpointLocation", os.path.join(target, "_checkpoint"))
-        .trigger(**trigger)
+        .trigger(**({"processingTime": interval} if interval else {"availableNow": True}))
         .start()
     )
 
