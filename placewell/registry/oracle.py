@@ -280,6 +280,18 @@ ORACLE = {
                (event_time AT TIME ZONE 'America/New_York') AT TIME ZONE 'America/Los_Angeles'
                  AS latest_pulse_pst
         FROM ({READINGS_LATEST})""",
+    "newest_readings": f"""
+        SELECT business_id, event_time_utc, value AS current_speed
+        FROM (SELECT CAST(user_id AS VARCHAR) AS business_id, ts AS event_time_utc, value
+              FROM events WHERE event_type <> 'error'
+                AND strftime(ts, '%Y-%m-%d') LIKE '2024-%')
+        ORDER BY event_time_utc DESC NULLS FIRST, business_id LIMIT 10""",
+    "review_trend": f"""
+        SELECT review_month, count(*) AS review_count, avg(review_stars) AS avg_stars
+        FROM ({REVIEW}) GROUP BY review_month""",
+    "checkin_activity": f"""
+        SELECT business_id, checkin_month AS activity_month, count(*) AS event_count
+        FROM ({CHECKIN_EVENTS}) GROUP BY business_id, checkin_month""",
     "stream_latest_state": LATEST_EVENT,
     "medallion_refresh": f"""
         SELECT 'entity_clean' AS table_name, count(*) AS row_count FROM ({ENTITY})

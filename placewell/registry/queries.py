@@ -452,6 +452,26 @@ def latest_report(spark, sf_dir):
     return readings.latest_report(readings_latest(spark, sf_dir))
 
 
+@query
+def newest_readings(spark, sf_dir):
+    """The ten newest raw readings of the year."""
+    fields = readings.reading_fields(inputs.readings(spark, sf_dir), year=2024)
+    newest = profiling.newest_first(fields, readings.INSTANT, 10, [asc("business_id")])
+    return newest.select("business_id", readings.INSTANT, "current_speed")
+
+
+@query
+def review_trend(spark, sf_dir):
+    """Reviews and mean stars by month, from the clean reviews."""
+    return profiling.monthly_trend(review_clean(spark, sf_dir), "review_month", "review_stars")
+
+
+@query
+def checkin_activity(spark, sf_dir):
+    """Check-ins by place and month, from the clean events."""
+    return profiling.activity_by_month(checkin_events(spark, sf_dir), "business_id", "checkin_date")
+
+
 @query
 def stream_latest_state(spark, sf_dir):
     target = scratch_dir(spark, "state")

@@ -28,18 +28,22 @@ def _bag(names, rows) -> Counter:
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def differences(df, con, sql: str) -> list[str]:
-    """Empty if columns, types of the values and all values agree."""
+    """Empty if the columns, their types and all values agree."""
     result = con.execute(sql)
-    names = [d[0] for d in result.description]
-    expected_rows = result.fetchall()
-    if sorted(names) != sorted(df.columns):
-        return [f"columns: {sorted(df.columns)} against {sorted(names)}"]
-    ours, theirs = _bag(df.columns, [tuple(r) for r in df.collect()]), _bag(names, expected_rows)
+    expected = {d[0]: str(d[1]) for d in result.description}
+    ours_types = {name: TYPES.get(t, t) for name, t in df.dtypes}
+    if ours_types != expected:
+        return [f"columns: {sorted(ours_types.items() ^ expected.items())}"]
+    theirs = _bag(list(expected), result.fetchall())
+    ours = _bag(df.columns, [tuple(r) for r in df.collect()])
     if ours == theirs:
-        for a, b in zip(sorted(ours, key=repr)[:50], sorted(theirs, key=repr)[:50]):
-            if [type(x) for x in a] != [type(x) for x in b]:
-                return [f"types: {a} against {b}"]
         return []
     found = [f"rows: {sum(ours.values())} against {sum(theirs.values())}"]
     found += [f"only Spark: {r}" for r in list(ours - theirs)[:3]]
