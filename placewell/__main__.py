@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: ``spark-submit -m placewell <job> ...`` or ``python -m placewell``."""
+"""Jobs: ``python -m placewell <job> ...``, or this file given to spark-submit."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from placewell.sources.ingest import ingest_table, ingest_variant, load_history,
 from placewell.sources.landing import (
     TIME_FIELD, land_dataset, land_readings, read_json_lines,
 )
-from placewell.streaming.latest import follow_latest
+from placewell.streaming.latest import fold_changes, follow_latest
 
 
 def parser() -> argparse.ArgumentParser:
@@ -44,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     clean = job("refresh", "rebuild the clean tables from the raw ones", "places", "reviews", "checkins")
     clean.add_argument("--database", default="clean")
     clean.add_argument("--location")
+    job("fold", "fold the changes that watch has written", "target")
     report = job("latest", "latest reading per place", "raw")
     report.add_argument("--year", type=int, default=READING_YEAR)
     stream = job("watch", "keep the latest reading per place from arriving raw files", "raw", "target")
@@ -77,6 +78,8 @@ def main(argv: list[str] | None = None) -> None:
                 args.database, args.location).show(truncate=False)
     elif args.job == "latest":
         latest_report(readings_latest(read_table(spark, args.raw), args.year)).show(100, truncate=False)
+    elif args.job == "fold":
+        fold_changes(spark, args.target, "business_id", INSTANT)
     elif args.job == "watch":
         follow_latest(spark, args.raw, args.target, "business_id", INSTANT,
                       lambda raw: reading_fields(raw, args.year), args.interval).awaitTermination()

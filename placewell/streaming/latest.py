@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -73,6 +74,42 @@ def _start(writer: DataStreamWriter, write: Callable[[DataFrame, int], None], ta
 
 
 def read_latest_state(spark: SparkSession, target: str, key: str, ts: str) -> DataFrame:
-    """Current row per key, from the changed keys of all triggers so far."""
-    changes = spark.read.parquet(f"{target}/changes").drop("batch_id")
-    return latest_per_key(changes, key, ts)
+    """Current row per key, from the last base and the changed keys since then."""
+    changes = spark.read.parquet(f"{target}/changes")
+    base = last_base(spark, target)
+    if base is not None:
+        changes = changes.where(F.col("batch_id") > base).unionByName(
+            spark.read.parquet(f"{target}/base/batch_id={base}").withColumn("batch_id", F.lit(base)))
+    return latest_per_key(changes.drop("batch_id"), key, ts)
+
+
+def fold_changes(spark: SparkSession, target: str, key: str, ts: str) -> int:
+    """Fold the changes so far into a new base, so that readers need not go through them.
+
+    The base counts once its number is in ``base_log``, which is written last; a job cut
+    off before that changes nothing. Call it now and then while no other fold runs.
+    """
+    changes = spark.read.parquet(f"{target}/changes").select("batch_id")
+    # the newest batch may still be written
+    upto = changes.agg(F.max("batch_id") - 1).first()[0]
+    base = last_base(spark, target)
+    if upto is None or upto < 0 or (base is not None and upto <= base):
+        return base if base is not None else -1
+    rows = spark.read.parquet(f"{target}/changes").where(F.col("batch_id") <= upto)
+    if base is not None:
+        rows = rows.where(F.col("batch_id") > base).drop("batch_id").unionByName(
+            spark.read.parquet(f"{target}/base/batch_id={base}"))
+    latest_per_key(rows.drop("batch_id"), key, ts).write.mode("overwrite").parquet(
+        f"{target}/base/batch_id={upto}")
+    spark.range(upto, upto + 1, 1, 1).write.mode("append").parquet(f"{target}/base_log")
+    return upto
+
+
+def last_base(spark: SparkSession, target: str) -> int | None:
+    try:
+        log = spark.read.schema("id bigint").parquet(f"{target}/base_log")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return log.agg(F.max("id")).first()[0]

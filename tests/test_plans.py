@@ -8,6 +8,7 @@ import __spark_entry__ as spark_entry
 from placewell.operators import joins
 from placewell.plans.readings import readings_typed
 from placewell.registry import inputs
+from placewell.sources import ingest
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITES_FIRST = {
@@ -73,6 +74,23 @@ def test_variant_fields_are_read_by_the_scan(spark):
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(raw_data", text)
 
 
+def test_a_year_of_raw_readings_opens_its_own_files(spark, folder):
+    for year in (2025, 2026):
+        spark.createDataFrame(
+            [("p", f"{year}-01-02T00:00:00")], "BUSINESS_ID string, timestamp string"
+        ).write.parquet(f"{folder}/in/{year}")
+    ingest.ingest_variant(spark, f"{folder}/in", f"{folder}/raw", "timestamp")
+    typed = readings_typed(ingest.read_table(spark, f"{folder}/raw"), 2026)
+    assert re.search(r"PartitionFilters: \[[^]]*payload_year#\d+ = 2026", plan(typed))
+    assert typed.count() == 1
+
+
+def test_dated_folders_are_written_by_balanced_tasks(spark, folder):
+    days = ["year", "month", "day"]
+    df = spark.createDataFrame([(2026, 1, 2)], "year int, month int, day int").hint("rebalance", *days)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(df)
+
+
 def test_exact_deduplication_does_not_sort(spark):
     for name in ("dedup_exact", "checkin_events", "checkin_summary"):
         text = planned(spark, name)

@@ -168,7 +168,12 @@ def test_a_file_damaged_in_the_middle_gives_no_row(spark, folder):
     os.remove(f"{folder}/in/bad/.{name}.crc")
     drop(spark, f"{folder}/in/good", [(1, "a")])
     assert load(spark, folder) == [(1, "a")]
-    assert statuses(spark, folder) == [("loaded", 1, 1), ("skipped", 20000, 0)]
+    expected = [("loaded", 1, 1), ("skipped", 20000, 0)]
+    assert statuses(spark, folder) == expected
+    ingest.ingest_variant(spark, f"{folder}/in", f"{folder}/variants", "time")
+    assert ingest.read_table(spark, f"{folder}/variants").count() == 1
+    history = ingest.load_history(spark, f"{folder}/variants").collect()
+    assert sorted((r.status, r.file_rows, r.row_count) for r in history) == expected
 
 
 def test_only_bad_files(spark, folder):

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from placewell.operators.ranking import latest_per_key
 from placewell.plans.readings import INSTANT, reading_fields, readings_latest, typed_columns
 from placewell.sources import ingest
-from placewell.streaming.latest import follow_latest, read_latest_state, run_latest_state
+from placewell.streaming.latest import (
+    fold_changes, follow_latest, last_base, read_latest_state, run_latest_state,
+)
 
 SCHEMA = "key string, ts timestamp_ntz, a bigint, b string"
 START = datetime(2026, 1, 1)
@@ -78,3 +80,22 @@ def test_latest_over_a_stream_of_variants(spark, folder):
     run_latest_state(reading_fields(stream), "business_id", INSTANT, f"{folder}/out").awaitTermination()
     state = typed_columns(read_latest_state(spark, f"{folder}/out", "business_id", INSTANT))
     assert [r.current_speed for r in state.collect()] == [9]
+
+
+def test_folding_keeps_the_state_and_skips_old_changes(spark, folder):
+    data = rows(120)
+    bases = []
+    for part in range(4):
+        chunk = data[part * 30:(part + 1) * 30]
+        spark.createDataFrame(chunk, SCHEMA).write.parquet(f"{folder}/in/p{part}")
+        stream = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(f"{folder}/in")
+        run_latest_state(stream, "key", "ts", f"{folder}/out").awaitTermination()
+        if part != 1:
+            bases.append(fold_changes(spark, f"{folder}/out", "key", "ts"))
+            assert fold_changes(spark, f"{folder}/out", "key", "ts") == bases[-1]
+        batch = latest_per_key(spark.createDataFrame(data[:(part + 1) * 30], SCHEMA), "key", "ts")
+        state = read_latest_state(spark, f"{folder}/out", "key", "ts").select(batch.columns)
+        assert collected(state) == collected(batch)
+    assert bases == [-1, 1, 2] and last_base(spark, f"{folder}/out") == 2
+    plan = read_latest_state(spark, f"{folder}/out", "key", "ts")._jdf.queryExecution().toString()
+    assert "(batch_id#" in plan and "> 2)" in plan
