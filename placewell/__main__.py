@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from placewell.operators.joins import attach_key, point_keys
+from placewell.plans import checks
 from placewell.plans.readings import (
     INSTANT, READING_YEAR, latest_report, reading_fields, readings_latest,
 )
@@ -44,6 +45,9 @@ def parser() -> argparse.ArgumentParser:
     clean = job("refresh", "rebuild the clean tables from the raw ones", "places", "reviews", "checkins")
     clean.add_argument("--database", default="clean")
     clean.add_argument("--location")
+    clean.add_argument("--checkin-lists", action="store_true", help="also the table of lists")
+    job("check", "null profiles, row counts and monthly trend", "places", "reviews").add_argument(
+        "--database", default="clean")
     job("fold", "fold the changes that watch has written", "target")
     report = job("latest", "latest reading per place", "raw")
     report.add_argument("--year", type=int, default=READING_YEAR)
@@ -75,7 +79,14 @@ def main(argv: list[str] | None = None) -> None:
         load_history(spark, args.target, args.within).show(100, truncate=False)
     elif args.job == "refresh":
         refresh(spark, *(read_table(spark, t) for t in (args.places, args.reviews, args.checkins)),
-                args.database, args.location).show(truncate=False)
+                args.database, args.location, args.checkin_lists).show(truncate=False)
+    elif args.job == "check":
+        clean = {t: spark.table(f"{args.database}.{t}")
+                 for t in ("entity_clean", "regional_top", "checkin_events", "review_clean")}
+        raw = (read_table(spark, t) for t in (args.places, args.reviews))
+        for title, result in checks.report(*raw, clean):
+            print(title)
+            result.show(1000, truncate=False)
     elif args.job == "latest":
         latest_report(readings_latest(read_table(spark, args.raw), args.year)).show(100, truncate=False)
     elif args.job == "fold":

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from placewell.functions.classify import PLACE_RULES, Rules, classify
 from placewell.functions.ordering import asc, desc
 from placewell.functions.scalars import contains_text, not_null, with_default
-from placewell.operators.ranking import keep_first, top_n
+from placewell.operators.joins import attach_latest, only_keys_of
+from placewell.operators.ranking import keep_first, latest_per_key, top_n
+from placewell.plans.readings import INSTANT, READING_YEAR, reading_fields, typed_columns
 
 # The region and the classes of the regional ranking.
 REGION_CITY = "philadel"
@@ -69,3 +71,18 @@ def regional_top(clean: DataFrame, city_part: str = REGION_CITY, state: str = RE
         [desc("business_stars"), desc("review_count"), asc("business_name")],
         n, "rank_in_category",
     )
+
+
+def regional_top_with_latest(clean: DataFrame, raw_readings: DataFrame, year: int | None = READING_YEAR,
+                             classes: Sequence[str] = REGION_CLASSES, n: int = REGION_TOP,
+                             **region) -> DataFrame:
+    """The best places of a region with their latest reading, where there is one.
+
+    The readings are cut to the few wanted places before any is ranked. The number of
+    classes bounds the places, so they are broadcast if that bound allows it.
+    """
+    best = regional_top(clean, classes=classes, n=n, **region)
+    rows = n * len(classes)
+    mine = only_keys_of(reading_fields(raw_readings, year), best, "business_id", rows)
+    latest = typed_columns(latest_per_key(mine, "business_id", INSTANT)).drop(INSTANT, "city")
+    return attach_latest(best, latest, "business_id", rows)

@@ -7,18 +7,21 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from placewell.operators.profiling import row_counts
-from placewell.plans.checkins import checkin_events
+from placewell.plans.checkins import checkin_events, checkin_summary
 from placewell.plans.places import entity_clean, regional_top
 from placewell.plans.reviews import review_clean
 from placewell.sources.tables import ensure_database, replace_table
 
 
 def refresh(spark: SparkSession, places: DataFrame, reviews: DataFrame, checkins: DataFrame,
-            database: str, location: str | None = None) -> DataFrame:
+            database: str, location: str | None = None,
+            checkin_lists: bool = False) -> DataFrame:
     """Rebuild the clean tables and return their row counts.
 
+    ``checkin_lists`` adds the table of check-in lists, which nothing else reads.
+
     Places come first; once they are stored, the tables that follow them run side by
-    side, and Spark shares its executors between the three jobs.
+    side, and Spark shares its executors between them.
     """
     ensure_database(spark, database, location)
     stored = {"entity_clean": replace_table(entity_clean(places), database, "entity_clean")}
@@ -27,6 +30,8 @@ def refresh(spark: SparkSession, places: DataFrame, reviews: DataFrame, checkins
         "checkin_events": lambda: checkin_events(checkins),
         "review_clean": lambda: review_clean(reviews),
     }
+    if checkin_lists:
+        rest["checkin_summary"] = lambda: checkin_summary(checkins)
     with ThreadPoolExecutor(len(rest)) as pool:
         jobs = {
             name: pool.submit(lambda n=name, b=build: replace_table(b(), database, n))

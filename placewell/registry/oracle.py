@@ -289,6 +289,27 @@ ORACLE = {
     "review_trend": f"""
         SELECT review_month, count(*) AS review_count, avg(review_stars) AS avg_stars
         FROM ({REVIEW}) GROUP BY review_month""",
+    "review_null_profile": f"""
+        SELECT count(*) AS total_rows,
+               count(*) - count(review_id) AS missing_review_id,
+               count(*) - count(user_id) AS missing_user_id,
+               count(*) - count(business_id) AS missing_business_id,
+               count(*) - count(stars) AS missing_stars,
+               count(*) FILTER (WHERE shipped IS NULL) AS missing_date,
+               count(*) - count(date_ts) AS missing_date_ts,
+               count(*) - count(text) AS missing_text,
+               CAST(0 AS BIGINT) AS rejected_date
+        FROM (SELECT {_select(REVIEW_COLUMNS)}, l_shipdate AS shipped FROM lineitem)""",
+    "place_null_profile": f"""
+        SELECT count(*) AS total_rows,
+               count(*) - count(business_id) AS missing_business_id,
+               count(*) - count(name) AS missing_name,
+               count(*) - count(address) AS missing_address,
+               count(*) - count(city) AS missing_city,
+               count(*) - count(state) AS missing_state,
+               count(*) - count(postal_code) AS missing_postal_code,
+               count(*) - count(categories) AS missing_categories
+        FROM (SELECT {_select(PLACE_COLUMNS)} FROM part)""",
     "checkin_activity": f"""
         SELECT business_id, checkin_month AS activity_month, count(*) AS event_count
         FROM ({CHECKIN_EVENTS}) GROUP BY business_id, checkin_month""",

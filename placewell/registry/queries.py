@@ -11,7 +11,7 @@ from placewell.functions import scalars as S
 from placewell.functions.classify import classify
 from placewell.functions.ordering import asc, desc
 from placewell.operators import joins, profiling, ranking
-from placewell.plans import checkins, places, readings, refresh, reviews
+from placewell.plans import checkins, checks, places, readings, refresh, reviews
 from placewell.registry import inputs
 from placewell.registry.inputs import labelled_documents, table
 from placewell.session import scratch_dir
@@ -463,7 +463,19 @@ def newest_readings(spark, sf_dir):
 @query
 def review_trend(spark, sf_dir):
     """Reviews and mean stars by month, from the clean reviews."""
-    return profiling.monthly_trend(review_clean(spark, sf_dir), "review_month", "review_stars")
+    return checks.review_trend(review_clean(spark, sf_dir))
+
+
+@query
+def review_null_profile(spark, sf_dir):
+    """Missing values of the raw reviews."""
+    return checks.review_profile(inputs.reviews(spark, sf_dir))
+
+
+@query
+def place_null_profile(spark, sf_dir):
+    """Missing values of the raw places."""
+    return checks.place_profile(inputs.places(spark, sf_dir))
 
 
 @query

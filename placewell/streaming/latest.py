@@ -50,13 +50,15 @@ def follow_latest(spark: SparkSession, raw: str, target: str, key: str, ts: str,
     The stream is the load history, so a batch is read only when it is complete and
     checked. The latest row per key of the new batches alone is added; no state is kept.
     """
-    published = spark.readStream.schema(HISTORY_SCHEMA).parquet(f"{raw}/history")
+    published = spark.readStream.schema(HISTORY_SCHEMA).option(
+        "maxFilesPerTrigger", 1000).parquet(f"{raw}/history")
 
     def write(history: DataFrame, batch_id: int) -> None:
-        # numbers of new batches: one small history file each, limited per trigger
-        new = [r.batch_id for r in history.select("batch_id").distinct().collect()]
-        if new:
-            rows = spark.read.parquet(f"{raw}/data").where(F.col("batch_id").isin(new))
+        # numbers of the new batches: one history file each, limited per trigger
+        loaded = history.where("row_count > 0").select("batch_id").distinct()
+        folders = [f"{raw}/data/batch_id={r.batch_id}" for r in loaded.collect()]
+        if folders:
+            rows = spark.read.option("basePath", f"{raw}/data").parquet(*folders)
             latest_per_key(fields(rows), key, ts).write.mode("overwrite").parquet(
                 f"{target}/changes/batch_id={batch_id}")
 

@@ -37,10 +37,15 @@ def test_batch_jobs(spark, folder, database, capsys):
     main(["history", f"{folder}/raw/review"])
     assert capsys.readouterr().out.count("|loaded|") == 2
     main(["refresh", *[f"{folder}/raw/{n}" for n in inputs], "--database", database,
-          "--location", f"{folder}/clean"])
+          "--location", f"{folder}/clean", "--checkin-lists"])
     counts = {t: spark.table(f"{database}.{t}").count()
-              for t in ("entity_clean", "regional_top", "review_clean", "checkin_events")}
-    assert counts == {"entity_clean": 1, "regional_top": 1, "review_clean": 1, "checkin_events": 2}
+              for t in ("entity_clean", "regional_top", "review_clean", "checkin_events",
+                        "checkin_summary")}
+    assert counts == {"entity_clean": 1, "regional_top": 1, "review_clean": 1, "checkin_events": 2,
+                      "checkin_summary": 1}
+    main(["check", f"{folder}/raw/business", f"{folder}/raw/review", "--database", database])
+    shown = capsys.readouterr().out
+    assert "missing_postal_code" in shown and "2020-01-01 00:00:00" in shown
 
 
 def test_reading_jobs(spark, folder, capsys):

@@ -10,7 +10,7 @@ from placewell.functions.classify import classify
 from placewell.functions.ordering import asc, desc, tie_columns
 from placewell.operators import joins, profiling, ranking
 from placewell.plans.checkins import checkin_events, checkin_summary
-from placewell.plans.places import entity_clean, regional_top
+from placewell.plans.places import entity_clean, regional_top, regional_top_with_latest
 from placewell.plans.readings import (
     latest_report, readings_latest, readings_typed, register_views,
 )
@@ -357,6 +357,16 @@ def test_top_with_latest_keeps_places_without_readings(spark):
         assert values(joined, "business_id", "v") == [("a", 20), ("b", None)]
 
 
+def test_regional_top_with_latest_reading(spark):
+    clean = entity_clean(spark.createDataFrame(
+        [place("p1", stars=5.0), place("p2", stars=4.0), place("far", city="Pittsburgh")], PLACE))
+    raw = readings(spark, reading("p1", "2026-03-01T00:00:00", '"currentSpeed": 1'),
+                   reading("p1", "2026-03-02T00:00:00", '"currentSpeed": 2'), reading("far"))
+    joined = regional_top_with_latest(clean, raw)
+    assert values(joined, "business_id", "rank_in_category", "city", "current_speed") == [
+        ("p1", 1, "Philadelphia", 2), ("p2", 2, "Philadelphia", None)]
+
+
 def test_minute_buckets_newest_first(spark):
     df = spark.createDataFrame(
         [(datetime(2026, 1, 1, 10, m, s),) for m in range(30) for s in (1, 59)], "ts timestamp_ntz")
