@@ -12,31 +12,34 @@ def _select(columns: dict[str, str]) -> str:
 LABELLED = "documents LEFT JOIN labels USING (doc_id)"
 K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
+# The class labels and their keywords, in order of precedence.
+CLASSES = """
+    (VALUES (1, 'Food & Restaurants', 'restaurant|food|coffee|bar|pizza'),
+            (2, 'Health & Medical', 'health|medical|doctor|dentist'),
+            (3, 'Automotive', 'automotive|gas station|auto'),
+            (4, 'Beauty & Personal Care', 'beauty|hair|nail|spa'),
+            (5, 'Retail & Shopping', 'shopping|store'),
+            (6, 'Home Services', 'home services|plumbing|contractor'),
+            (7, 'Fitness', 'fitness|gym|yoga'),
+            (8, 'Education', 'education|school|college'),
+            (9, 'Financial Services', 'financial|bank|insurance'),
+            (10, 'Travel & Hospitality', 'hotel|travel|tour'),
+            (11, 'Entertainment', 'entertainment|museum|cinema')) AS classes (place, label, words)
+"""
+
 ENTITY = f"""
-    SELECT business_id, name AS business_name, address, city, state, postal_code, latitude,
-           longitude, stars AS business_stars, review_count, is_open,
-           coalesce(categories, 'Unknown') AS categories, brand,
-           CASE WHEN categories ILIKE '%restaurant%' OR categories ILIKE '%food%'
-                  OR categories ILIKE '%coffee%' OR categories ILIKE '%bar%'
-                  OR categories ILIKE '%pizza%' THEN 'Food & Restaurants'
-                WHEN categories ILIKE '%health%' OR categories ILIKE '%medical%'
-                  OR categories ILIKE '%doctor%' OR categories ILIKE '%dentist%'
-                  THEN 'Health & Medical'
-                WHEN categories ILIKE '%auto%' OR categories ILIKE '%gas station%'
-                  THEN 'Automotive'
-                WHEN regexp_matches(categories, 'beauty|hair|nail|spa', 'i')
-                  THEN 'Beauty & Personal Care'
-                WHEN regexp_matches(categories, 'shopping|store', 'i') THEN 'Retail & Shopping'
-                WHEN regexp_matches(categories, 'home services|plumbing|contractor', 'i')
-                  THEN 'Home Services'
-                WHEN regexp_matches(categories, 'fitness|gym|yoga', 'i') THEN 'Fitness'
-                ELSE 'Other' END AS primary_category
-    FROM (SELECT *, row_number() OVER (PARTITION BY business_id
-            ORDER BY stars DESC NULLS FIRST, review_count DESC NULLS FIRST, name NULLS LAST,
-                     address) AS pick
+    SELECT best.* EXCLUDE (raw_categories),
+           coalesce((SELECT arg_min(label, place) FROM {CLASSES}
+                     WHERE regexp_matches(best.raw_categories, words, 'i')), 'Other')
+             AS primary_category
+    FROM (SELECT DISTINCT ON (business_id)
+                 * EXCLUDE (categories) RENAME (name AS business_name, stars AS business_stars),
+                 coalesce(categories, 'Unknown') AS categories,
+                 categories AS raw_categories
           FROM (SELECT {_select(PLACE_COLUMNS)}, p_brand AS brand FROM part)
-          WHERE business_id IS NOT NULL)
-    WHERE pick = 1
+          WHERE business_id IS NOT NULL
+          ORDER BY business_id, stars DESC NULLS FIRST, review_count DESC NULLS FIRST,
+                   name NULLS LAST, address) AS best
 """
 
 REGIONAL = f"""
@@ -54,20 +57,17 @@ REGIONAL = f"""
 """
 
 REVIEW = f"""
-    SELECT review_id, user_id, business_id, review_stars, useful, funny, cool, review_text,
-           review_timestamp, CAST(review_timestamp AS DATE) AS review_date,
+    SELECT *, CAST(review_timestamp AS DATE) AS review_date,
            CAST(date_trunc('month', review_timestamp) AS TIMESTAMP) AS review_month,
            CAST(year(review_timestamp) AS INTEGER) AS review_year
-    FROM (SELECT *, row_number() OVER (PARTITION BY review_id
-            ORDER BY review_timestamp DESC NULLS FIRST, user_id, business_id, review_stars,
-                     useful, funny, cool, review_text) AS pick
-          FROM (SELECT review_id, user_id, business_id, stars AS review_stars, useful, funny, cool,
-                       text AS review_text,
-                       coalesce(date_ts, CAST(date AS TIMESTAMP)) AS review_timestamp
-                FROM (SELECT {_select(REVIEW_COLUMNS)},
-                             strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS date FROM lineitem)
-                WHERE review_id IS NOT NULL AND user_id IS NOT NULL AND business_id IS NOT NULL))
-    WHERE pick = 1
+    FROM (SELECT DISTINCT ON (review_id)
+                 * EXCLUDE (date, date_ts) RENAME (stars AS review_stars, text AS review_text),
+                 coalesce(date_ts, CAST(date AS TIMESTAMP)) AS review_timestamp
+          FROM (SELECT {_select(REVIEW_COLUMNS)},
+                       strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS date FROM lineitem)
+          WHERE review_id IS NOT NULL AND user_id IS NOT NULL AND business_id IS NOT NULL
+          ORDER BY review_id, coalesce(date_ts, CAST(date AS TIMESTAMP)) DESC NULLS FIRST,
+                   user_id, business_id, stars, useful, funny, cool, text)
 """
 
 _NOW = "strftime(ts, '%Y-%m-%d %H:00:00')"

@@ -13,6 +13,7 @@ from placewell.session import build_session  # noqa: E402
 def spark():
     session = build_session("tests", "local[8]", {
         "spark.sql.shuffle.partitions": "4",
+        "spark.default.parallelism": "2",
         "spark.driver.memory": "4g",
         "spark.ui.enabled": "false",
         "spark.sql.maxMetadataStringLength": "10000",
