@@ -11,7 +11,9 @@ micro-batch is one batch job over the new files:
 4. publish the batch by writing its load history to ``history/batch_id=N``.
 
 Readers see published batches only. A batch that is run again after a failure
-overwrites its own folders, so each row arrives once.
+overwrites its own folders, so each row arrives once. The status of a file is
+``loaded``, ``no_rows`` (empty), ``skipped`` (with errors) or ``missing`` (replaced or
+removed before it was read).
 """
 
 from __future__ import annotations
@@ -140,9 +142,10 @@ def _load_batch(spark: SparkSession, files: DataFrame, batch_id: int, target: st
                 read: Callable[[list[str]], DataFrame], partitions: list[str]) -> None:
     # one row per file, at most maxFilesPerTrigger of them; so are the counts below
     events = files.collect()
-    if not events:
+    listed = {e.file_name: e.path for e in events}
+    if not events or _is_published(spark, target, batch_id, set(listed)):
         return
-    paths = {e.file_name: e.path for e in events}
+    paths = _still_there(spark, listed)
     data = f"{target}/data/batch_id={batch_id}"
 
     def write(rows: DataFrame) -> dict[str, int]:
@@ -153,34 +156,74 @@ def _load_batch(spark: SparkSession, files: DataFrame, batch_id: int, target: st
     # no column is selected, so the footers alone answer this
     promised = _rows_per_file(
         _reader(spark).schema("_none string").parquet(*paths.values()),
-        F.col("_metadata.file_path"))
-    landed = write(read(list(paths.values())))
-    short = [n for n in paths if landed.get(n, 0) < promised.get(n, 0)]
-    if short:
-        # a read that failed once may have been a passing fault; ask again before rejecting
-        lost = {n for n in short if not _reads_whole(read, paths[n], promised[n])}
-        kept = [p for n, p in paths.items() if n not in lost]
+        F.col("_metadata.file_path")) if paths else {}
+    landed = write(read(list(paths.values()))) if paths else {}
+    status = {n: "loaded" for n in promised} | {n: "missing" for n in listed if n not in paths}
+    # a read that failed once may have been a passing fault; ask again before rejecting
+    for name in paths:
+        if name not in promised:
+            status[name] = _status_without_rows(spark, paths[name])
+        elif landed.get(name, 0) < promised[name] and not _reads_whole(
+                read, paths[name], promised[name]):
+            status[name] = "skipped"
+    if landed != promised:
+        kept = [p for n, p in paths.items() if status[n] != "skipped"]
         landed = write(read(kept) if kept else read(list(paths.values())).limit(0))
-        promised_kept = {n: rows for n, rows in promised.items() if n not in lost}
-    else:
-        promised_kept = promised
-    if landed != promised_kept:
+    if landed != {n: rows for n, rows in promised.items() if status[n] == "loaded"}:
         raise OSError(f"batch {batch_id}: files changed or became unreadable during the load")
 
-    def status(name: str) -> str:
-        if name not in promised:
-            return "no_rows"
-        return "loaded" if name in landed else "skipped"
-
     spark.createDataFrame(
         [(e.file_name, e.length, e.modificationTime, promised.get(e.file_name, 0),
-          landed.get(e.file_name, 0), status(e.file_name)) for e in events],
+          landed.get(e.file_name, 0), status[e.file_name]) for e in events],
         "file_name string, file_size bigint, modified_at timestamp, file_rows bigint, "
         "row_count bigint, status string",
     ).withColumn("last_load_time", F.current_timestamp()).coalesce(1).write.mode(
         "overwrite").parquet(f"{target}/history/batch_id={batch_id}")
 
 
+def _is_published(spark: SparkSession, target: str, batch_id: int, files: set[str]) -> bool:
+    """True if a batch is run again although it had been published."""
+    try:
+        history = spark.read.schema("file_name string").parquet(f"{target}/history/batch_id={batch_id}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    if {r.file_name for r in history.collect()} != files:
+        raise OSError(f"batch {batch_id} of {target} holds other files: its checkpoint is not its own")
+    return True
+
+
+def _still_there(spark: SparkSession, paths: dict[str, str]) -> dict[str, str]:
+    """The listed files that still exist: a rerun of the landing replaces its files."""
+
+    def exists(*some: str) -> bool:
+        try:
+            _reader(spark).schema("_none string").parquet(*some)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+        return True
+
+    if exists(*paths.values()):
+        return paths
+    with ThreadPoolExecutor(16) as pool:
+        found = pool.map(exists, paths.values())
+    return {n: p for (n, p), there in zip(paths.items(), found) if there}
+
+
+def _status_without_rows(spark: SparkSession, path: str) -> str:
+    """An empty file, or one whose footer cannot be read."""
+    try:
+        rows = spark.read.parquet(path).count()
+    except (PySparkException, Py4JJavaError):
+        return "skipped"
+    if rows:
+        raise OSError(f"{path} was unreadable for a moment")
+    return "no_rows"
+
+
 def _rows_per_file(df: DataFrame, path: Column) -> dict[str, int]:
     counts = df.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("n"))
     return {r.path: r.n for r in counts.collect()}

@@ -25,7 +25,9 @@ def lines(folder, name, *records):
 
 
 def drop(spark, path, rows, schema=SCHEMA, files_=1):
-    spark.createDataFrame(rows, schema).coalesce(files_).write.mode("append").parquet(path)
+    df = spark.createDataFrame(rows, schema)
+    df = df.coalesce(1) if files_ == 1 else df.repartition(files_)
+    df.write.mode("append").parquet(path)
 
 
 def schema_of(spark, ddl=SCHEMA):
@@ -152,8 +154,7 @@ def test_bad_files_are_skipped_whole(spark, folder):
         out.write(b"no parquet here" * 9)
     assert load(spark, folder) == [(1, "a"), (2, "b")]
     found = statuses(spark, folder)
-    assert ("loaded", 2, 2) in found and ("skipped", 1, 0) in found
-    assert {s for s, *_ in found} == {"loaded", "skipped", "no_rows"}
+    assert found == [("loaded", 2, 2), ("no_rows", 0, 0), ("skipped", 0, 0), ("skipped", 1, 0)]
 
 
 def test_a_file_damaged_in_the_middle_gives_no_row(spark, folder):
@@ -205,6 +206,40 @@ def test_a_batch_cut_off_before_publishing_is_not_read_and_then_redone(spark, fo
     assert load(spark, folder) == [(1, "a"), (2, "b")]
 
 
+def events(spark, folder, *extra):
+    listed = files.list_files(spark, f"{folder}/in", "*.parquet").select("*", "_metadata.file_path")
+    listed = listed.withColumnRenamed("file_path", "file_name")
+    for path in extra:
+        listed = listed.union(listed.limit(1).withColumns(
+            {"path": F.lit(path), "file_name": F.lit(path)}))
+    return listed
+
+
+def load_batch(spark, folder, listed, batch_id=0):
+    ingest._load_batch(spark, listed, batch_id, f"{folder}/raw", lambda paths: (
+        ingest._reader(spark).schema(SCHEMA).parquet(*paths).select(
+            "id", "name", F.col("_metadata.file_path").alias("source_file"))), [])
+
+
+def test_files_replaced_before_the_load_are_noted(spark, folder):
+    drop(spark, f"{folder}/in", [(1, "a")])
+    gone = f"file:{folder}/in/gone.parquet"
+    load_batch(spark, folder, events(spark, folder, gone))
+    assert ingest.read_table(spark, f"{folder}/raw").count() == 1
+    assert statuses(spark, folder) == [("loaded", 1, 1), ("missing", 0, 0)]
+
+
+def test_a_published_batch_is_left_alone(spark, folder):
+    drop(spark, f"{folder}/in", [(1, "a")])
+    load_batch(spark, folder, events(spark, folder))
+    before = os.listdir(f"{folder}/raw/data/batch_id=0")
+    load_batch(spark, folder, events(spark, folder))
+    assert os.listdir(f"{folder}/raw/data/batch_id=0") == before
+    drop(spark, f"{folder}/in", [(2, "b")])
+    with pytest.raises(OSError, match="other files"):
+        load_batch(spark, folder, events(spark, folder))
+
+
 def test_history_within(spark, folder):
     drop(spark, f"{folder}/in", [(1, "a")])
     load(spark, folder)
@@ -228,7 +263,7 @@ def test_variants_take_any_columns_and_types(spark, folder):
     assert sorted((r.business_id, r.current_speed) for r in typed.collect()) == [
         ("p1", 30), ("p2", 31), ("p3", None)]
     assert readings_typed(raw, 2025).count() == 1
-    assert {s for s, *_ in statuses(spark, folder)} == {"loaded", "no_rows"}
+    assert {s for s, *_ in statuses(spark, folder)} == {"loaded", "skipped"}
 
 
 def test_variants_from_junk_alone(spark, folder):
@@ -236,7 +271,7 @@ def test_variants_from_junk_alone(spark, folder):
     with open(f"{folder}/in/junk.parquet", "wb") as out:
         out.write(b"no parquet here" * 9)
     ingest.ingest_variant(spark, f"{folder}/in", f"{folder}/raw", "timestamp")
-    assert statuses(spark, folder) == [("no_rows", 0, 0)]
+    assert statuses(spark, folder) == [("skipped", 0, 0)]
     drop(spark, f"{folder}/in/a", [("p1", "2026-01-02")], "BUSINESS_ID string, timestamp string")
     ingest.ingest_variant(spark, f"{folder}/in", f"{folder}/raw", "timestamp")
     assert readings_typed(ingest.read_table(spark, f"{folder}/raw")).count() == 1
