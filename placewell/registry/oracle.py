@@ -276,7 +276,9 @@ ORACLE = {
     "readings_latest": READINGS_LATEST,
     "latest_report": f"""
         SELECT business_id, current_speed,
-               CAST(round(CAST(speed_ratio AS DECIMAL(30, 10)), 2) AS DOUBLE) AS friction_index,
+               -- through the text form, so that the value is rounded once, as a decimal
+               CAST(round(CAST(CAST(speed_ratio AS VARCHAR) AS DECIMAL(38, 20)), 2) AS DOUBLE)
+                 AS friction_index,
                (event_time AT TIME ZONE 'America/New_York') AT TIME ZONE 'America/Los_Angeles'
                  AS latest_pulse_pst
         FROM ({READINGS_LATEST})""",
