@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from oracle import connect, differences
+from placewell.registry.oracle import ORACLE
+from placewell.registry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,14 +15,16 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", spark_entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_agrees_with_sql(spark, con, name):
-    df = spark_entry.queries()[name](spark, SF_DIR)
-    assert differences(df, con, spark_entry.oracle_sql()[name]) == []
+    df = QUERIES[name](spark, SF_DIR)
+    assert differences(df, con, ORACLE[name]) == []
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(spark_entry.queries())
+    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
 
 
 def test_entry(spark):
