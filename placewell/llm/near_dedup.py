@@ -192,12 +192,12 @@ def group_keys(sketches: Column, depths=DEPTHS) -> Column:
 
 def bit_filter(hashes: DataFrame) -> np.ndarray:
     """A fixed number of bits, set for each long in ``h``; a bit may stand for several."""
-    place = F.pmod("h", F.lit(FILTER_BITS))
+    place = F.pmod("h", F.lit(FILTER_BITS)) + 1  # Spark's bitmaps count from 1
     found = hashes.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
-    bits = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in found.collect():  # FILTER_BITS / 32768 rows of 4 KB at most
-        start = (r["bucket"] - 1) * 4096 if r["bucket"] > 0 else 0
+        start = (r["bucket"] - 1) * 4096
         bits[start:start + 4096] |= np.frombuffer(bytes(r["bits"]), np.uint8)
     return bits
 
