@@ -32,15 +32,13 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         near = links.join(roots.select(F.col("node").alias("dst"), "root"), "dst").groupBy("src").agg(
             F.min("root").alias("near"))
-        # The root of a node learns of the smallest root next to any of its nodes.
-        hooked = stored(roots.join(near.withColumnRenamed("src", "node"), "node").select(
-            "node", "root", F.least("root", "near").alias("low")), "roots")
-        if hooked.where("low < root").isEmpty():
+        # A root learns of the smallest root next to any of its nodes, and of that one's own.
+        best = roots.join(near.withColumnRenamed("src", "node"), "node").groupBy("root").agg(
+            F.min(F.least("root", "near")).alias("low"))
+        above = best.select(F.col("root").alias("low"), F.col("low").alias("lower"))
+        moves = best.join(above, "low", "left").select("root", F.least("low", "lower").alias("next"))
+        roots = stored(roots.join(moves, "root").select(
+            "node", F.col("next").alias("root"), (F.col("next") < F.col("root")).alias("moved")), "roots")
+        if roots.where("moved").isEmpty():
             return roots.select("node", F.col("root").alias("component"))
-        best = hooked.groupBy("root").agg(F.min("low").alias("low"))
-        lifted = stored(hooked.select("node", F.col("low"), "root").join(
-            best.withColumnRenamed("low", "best"), "root").select(
-            "node", F.least("low", "best").alias("root")), "roots")
-        parents = lifted.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        roots = stored(lifted.join(parents, "root", "left").select(
-            "node", F.coalesce(F.least("root", "above"), "root").alias("root")), "roots")
+        roots = roots.drop("moved")

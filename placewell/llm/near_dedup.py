@@ -24,8 +24,8 @@ SIMILARITY = 0.8
 SKETCHES = 14
 PICKS = 3  # shingles of a sketch
 DEPTHS = (1, 2, 4)  # neighbouring sketches that make a group of candidates
+ROUNDS = 3  # with other hubs, in groups that hold several classes; fewer if one finds no link
 FILTER_BITS = 1 << 25  # of the filter that is broadcast; its size does not grow
-PAIR_BYTES = 24_000_000
 
 SEEDS = np.random.default_rng(20240501).integers(1, 2**63, SKETCHES, dtype=np.uint64)
 LARGEST = np.uint64(2**64 - 1)
@@ -249,8 +249,8 @@ def classes(
 
     Texts with equal words are copies; copies are one node. Nodes that share a sketch are
     candidates: in each group the most central node is aligned with every other, and
-    further rounds do the same with other nodes in the groups that still hold more than
-    one class, until a round finds no link. A class is what links connect; class_id is
+    further rounds (ROUNDS, or until one finds no link) do the same with other nodes in the
+    groups that still hold more than one class. A class is what links connect; class_id is
     its smallest id. Null texts are in no class (class_id is their own id, all are kept);
     texts without words are copies of each other. Rows with null or equal ids count by
     their texts; of equal rows one is kept. Other columns are not read. No rows give no
@@ -288,22 +288,24 @@ def classes(
         return pairs.select("hub", F.col("node").alias("other")).distinct()
 
     tried = stored(candidates(members, F.col("rank")), "tried")
-    edges = stored(verified(tried, texts, least), "links")
-    turn = 0
-    while True:
-        labels = components(edges)
-        labelled_ = members.join(labels, "node", "left").withColumn(
-            "label", F.coalesce("component", "node")).drop("component")
-        open_ = labelled_.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
+    links = stored(verified(tried, texts, least), "links")
+    labels = components(links)
+    held = members.drop("rank").withColumn("label", F.col("node"))
+    for turn in range(1, ROUNDS + 1):
+        # Only groups that still hold more than one class go on.
+        held = held.join(labels.select(F.col("node").alias("label"), "component"), "label", "left").select(
+            "node", "n", "g", F.coalesce("component", "label").alias("label"))
+        open_ = held.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
             "low < high").select("g")
-        turn += 1
-        new = candidates(labelled_.join(open_, "g"), F.xxhash64(F.lit(turn), "node", "g"))
+        held = stored(held.join(open_, "g"), "open")
+        new = candidates(held, F.xxhash64(F.lit(turn), "node", "g"))
         both = tried.unionByName(tried.select(F.col("other").alias("hub"), F.col("hub").alias("other")))
         new = stored(new.join(both, ["hub", "other"], "left_anti"), "tried")
-        more = stored(verified(new, texts, least), "links")
-        if more.isEmpty():
+        found = stored(verified(new, texts, least), "links")
+        if found.isEmpty():
             break
-        tried, edges = stored(tried.unionByName(new), "tried"), stored(edges.unionByName(more), "links")
+        tried, links = tried.unionByName(new), links.unionByName(found)
+        labels = components(links)
 
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
     smallest = named.groupBy("label").agg(F.min("id").alias("class_id"))
