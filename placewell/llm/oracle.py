@@ -24,17 +24,17 @@ def _licence_sql() -> str:
 WITH known AS (SELECT MAP {{{names}}} AS m),
 lines AS (
   SELECT doc_id, unnest(string_split_regex(coalesce(text, ''), '[\\n\\r]+')) AS line,
-         generate_subscripts(string_split_regex(coalesce(text, ''), '[\\n\\r]+'), 1) AS at FROM documents),
-marked AS (SELECT doc_id, at, regexp_replace(line, '([.!?;:])[ \\t]+', '\\1' || chr(10), 'g') AS line FROM lines),
+         generate_subscripts(string_split_regex(coalesce(text, ''), '[\\n\\r]+'), 1) AS turn FROM documents),
+marked AS (SELECT doc_id, turn, regexp_replace(line, '([.!?;:])[ \\t]+', '\\1' || chr(10), 'g') AS line FROM lines),
 sentences AS (
-  SELECT doc_id, at, generate_subscripts(string_split(line, chr(10)), 1) AS part,
+  SELECT doc_id, turn, generate_subscripts(string_split(line, chr(10)), 1) AS step,
          unnest(string_split(line, chr(10))) AS s FROM marked),
 named AS (
-  SELECT doc_id, at, part,
+  SELECT doc_id, turn, step,
          coalesce(m[trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))], ';') AS name
   FROM sentences, known WHERE regexp_matches(s, '[A-Za-z0-9]')),
 folded AS (
-  SELECT doc_id, ',' || string_agg(name, ',' ORDER BY at, part) || ',' AS joined FROM named
+  SELECT doc_id, ',' || string_agg(name, ',' ORDER BY turn, step) || ',' AS joined FROM named
   WHERE doc_id IN (SELECT doc_id FROM named WHERE name <> ';') GROUP BY doc_id),
 runs AS (
   SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(joined, '(,;)+,', ',;,', 'g'),
@@ -42,7 +42,7 @@ runs AS (
 s0 AS (SELECT doc_id, runs AS ids, runs, CAST([] AS VARCHAR[]) AS found FROM runs),
 {", ".join(steps)}
 SELECT d.doc_id, coalesce(trim(ids, ','), '') AS sentence_ids,
-  CAST(coalesce(len(list_filter(string_split(trim(ids, ','), ','), x -> x <> '' AND x <> ';')), 0) AS BIGINT) AS n_sentences,
+  CAST(coalesce(len(list_filter(string_split(trim(ids, ','), ','), lambda x: x <> '' AND x <> ';')), 0) AS BIGINT) AS n_sentences,
   coalesce(array_to_string(found, ','), '') AS licences
 FROM documents d LEFT JOIN {last} USING (doc_id)"""
 
