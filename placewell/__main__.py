@@ -1,9 +1,11 @@
-"""Jobs: ``python -m placewell <job> ...``, or this file given to spark-submit."""
+"""Jobs: ``python -m placewell <job> ...``, from the folder that holds the package."""
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
+
 from placewell.operators.joins import attach_key, point_keys
 from placewell.plans import checks
 from placewell.plans.readings import (
@@ -19,6 +21,15 @@ from placewell.sources.landing import (
 from placewell.streaming.latest import fold_changes, follow_latest
 
 
+def deliver(result: DataFrame, output: str | None) -> None:
+    """The whole result: to a Parquet folder if one is named, else printed."""
+    if output:
+        result.write.mode("overwrite").parquet(output)
+        print(f"written to {output}: {result.sparkSession.read.parquet(output).count()} rows")
+    else:
+        result.show(result.count(), truncate=False)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="placewell")
     jobs = top.add_subparsers(dest="job", required=True)
@@ -51,6 +62,8 @@ def parser() -> argparse.ArgumentParser:
     job("fold", "fold the changes that watch has written", "target")
     report = job("latest", "latest reading per place", "raw")
     report.add_argument("--year", type=int, default=READING_YEAR)
+    for name in ("history", "check", "latest"):
+        jobs.choices[name].add_argument("--output", help="folder for the result; without it all rows are printed")
     stream = job("watch", "keep the latest reading per place from arriving raw files", "raw", "target")
     stream.add_argument("--year", type=int, default=READING_YEAR)
     stream.add_argument("--interval", help="such as '20 minutes'; without it the job ends when done")
@@ -76,7 +89,7 @@ def main(argv: list[str] | None = None) -> None:
         ingest_variant(spark, args.source, args.target, TIME_FIELD,
                        interval=args.interval).awaitTermination()
     elif args.job == "history":
-        load_history(spark, args.target, args.within).show(100, truncate=False)
+        deliver(load_history(spark, args.target, args.within), args.output)
     elif args.job == "refresh":
         refresh(spark, *(read_table(spark, t) for t in (args.places, args.reviews, args.checkins)),
                 args.database, args.location, args.checkin_lists).show(truncate=False)
@@ -84,11 +97,11 @@ def main(argv: list[str] | None = None) -> None:
         clean = {t: spark.table(f"{args.database}.{t}")
                  for t in ("entity_clean", "regional_top", "checkin_events", "review_clean")}
         raw = (read_table(spark, t) for t in (args.places, args.reviews))
-        for title, result in checks.report(*raw, clean):
+        for number, (title, result) in enumerate(checks.report(*raw, clean), 1):
             print(title)
-            result.show(1000, truncate=False)
+            deliver(result, args.output and f"{args.output}/{number:02d}")
     elif args.job == "latest":
-        latest_report(readings_latest(read_table(spark, args.raw), args.year)).show(100, truncate=False)
+        deliver(latest_report(readings_latest(read_table(spark, args.raw), args.year)), args.output)
     elif args.job == "fold":
         fold_changes(spark, args.target, "business_id", INSTANT)
     elif args.job == "watch":

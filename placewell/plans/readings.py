@@ -50,13 +50,15 @@ def reading_fields(raw: DataFrame, year: int | None = READING_YEAR,
 
     The projection only takes fields out of the variant: in this form Spark moves all of
     them into the Parquet scan and does not load the rest of the record.
-    ``require_metric`` drops the rows of failed polls, which have no speed.
+    A reading whose time cannot be read has no place in the order and is left out, in
+    batches and streams alike. ``require_metric`` drops the rows of failed polls, which
+    have no speed.
     """
     if year is not None and "payload_year" in raw.columns:
         # the partition prunes files; the range below decides
         raw = raw.where(F.col("payload_year") == str(year))
     fields = raw.select(*[field(f, dtype).alias(c) for c, (f, dtype) in FIELDS.items()])
-    kept = fields.where(F.col("business_id").isNotNull())
+    kept = fields.where(F.col("business_id").isNotNull() & F.col(INSTANT).isNotNull())
     if year is not None:
         kept = kept.where(in_year(F.col(INSTANT), year))
     if require_metric:

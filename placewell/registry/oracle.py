@@ -146,7 +146,7 @@ ORACLE = {
         SELECT event_id, value, event_type, ts, {K} AS k,
                CAST(year(ts) AS INTEGER) AS payload_year FROM events""",
     "stage_file_listing": " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) >= 0 AS has_bytes FROM {name}" for name in TABLES),
+        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in TABLES),
     "select_rename_coalesce": f"""
         SELECT doc_id, lang AS doc_language, source AS doc_source,
                coalesce(CAST(quality AS VARCHAR), 'Unknown') AS doc_quality FROM {LABELLED}""",
@@ -255,8 +255,7 @@ ORACLE = {
         FROM (SELECT * FROM (
                 SELECT *, CAST(row_number() OVER (PARTITION BY c_mktsegment
                   ORDER BY c_acctbal DESC NULLS FIRST, c_name) AS INTEGER) AS rank_in_segment
-                FROM customer WHERE c_mktsegment IN
-                  ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'))
+                FROM customer)
               WHERE rank_in_segment <= 5) b
         LEFT JOIN (SELECT * FROM (
                 SELECT *, row_number() OVER (PARTITION BY o_custkey

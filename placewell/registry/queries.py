@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from placewell.functions.ordering import asc, desc
 from placewell.operators import joins, profiling, ranking
 from placewell.plans import checkins, checks, places, readings, refresh, reviews
 from placewell.registry import inputs
-from placewell.registry.inputs import labelled_documents, table
+from placewell.registry.inputs import TABLES, labelled_documents, table
 from placewell.session import scratch_dir
 from placewell.sources import files, ingest, landing
 from placewell.streaming import latest
@@ -91,19 +92,20 @@ def land_nested_json(spark, sf_dir):
 # --- file ingest -----------------------------------------------------------
 
 
-def _first_half(events: DataFrame) -> DataFrame:
-    return events.where("ts < TIMESTAMP_NTZ '2024-01-16 00:00:00'")
+def _halves(rows: DataFrame, condition: str) -> tuple[DataFrame, DataFrame]:
+    """Rows for which the condition holds, and all others; NULL counts as not holding."""
+    holds = F.coalesce(F.expr(condition), F.lit(False))
+    return rows.where(holds), rows.where(~holds)
 
 
-def _second_half(events: DataFrame) -> DataFrame:
-    return events.where("ts >= TIMESTAMP_NTZ '2024-01-16 00:00:00'")
+EARLY = "ts < TIMESTAMP_NTZ '2024-01-16 00:00:00'"
 
 
 @query
 def incremental_ingest(spark, sf_dir):
     root = scratch_dir(spark, "ingest")
     events = table(spark, sf_dir, "events")
-    for drop, rows in (("a", _first_half(events)), ("b", _second_half(events))):
+    for drop, rows in zip("ab", _halves(events, EARLY), strict=True):
         rows.write.parquet(f"{root}/drops/{drop}")
         ingest.ingest_table(spark, f"{root}/drops", f"{root}/raw", events.schema)
     return ingest.read_table(spark, f"{root}/raw").select(events.columns)
@@ -113,7 +115,7 @@ def incremental_ingest(spark, sf_dir):
 def ingest_backfill(spark, sf_dir):
     root = scratch_dir(spark, "ingest")
     events = table(spark, sf_dir, "events")
-    for drop, rows in (("a", _first_half(events)), ("b", _second_half(events))):
+    for drop, rows in zip("ab", _halves(events, EARLY), strict=True):
         rows.write.parquet(f"{root}/drops/{drop}")
     for _ in ("backfill", "nothing new"):
         ingest.ingest_table(spark, f"{root}/drops", f"{root}/raw", events.schema)
@@ -125,9 +127,10 @@ def ingest_by_name(spark, sf_dir):
     root = scratch_dir(spark, "ingest")
     supplier = table(spark, sf_dir, "supplier")
     upper = supplier.toDF(*[c.upper() for c in supplier.columns])
-    upper.where("S_NATIONKEY < 13").write.parquet(f"{root}/drops/a")
+    low, rest = _halves(upper, "S_NATIONKEY < 13")
+    low.write.parquet(f"{root}/drops/a")
     (
-        upper.where("S_NATIONKEY >= 13").drop("S_ACCTBAL").withColumn("EXTRA", F.lit(1))
+        rest.drop("S_ACCTBAL").withColumn("EXTRA", F.lit(1))
         .write.parquet(f"{root}/drops/b")
     )
     ingest.ingest_table(spark, f"{root}/drops", f"{root}/raw", supplier.schema)
@@ -179,11 +182,15 @@ def variant_landing(spark, sf_dir):
 
 @query
 def stage_file_listing(spark, sf_dir):
-    """Tables with stored bytes; file counts and sizes vary with the layout."""
-    listed = files.list_files(spark, sf_dir, "*.parquet")
-    return listed.groupBy(
-        F.regexp_extract("path", r"([^/]+)\.parquet", 1).alias("table_name")
-    ).agg((F.sum("length") > 0).alias("has_bytes"))
+    """Rows per table in the files that the listing has; a missing or cut file shows."""
+    one_slash = lambda path: F.regexp_replace(path, "^([a-z]+):/+", "$1:/")
+    listed = files.list_files(spark, sf_dir, "*.parquet").where("length > 0").select(
+        one_slash("path").alias("path"))
+    counted = reduce(DataFrame.unionByName, (
+        table(spark, sf_dir, name).groupBy(one_slash("_metadata.file_path").alias("path")).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        for name in TABLES))
+    return listed.join(counted, "path").groupBy("table_name").agg(F.sum("row_count").alias("row_count"))
 
 
 # --- projections, filters, scalar functions --------------------------------
@@ -389,22 +396,17 @@ def point_key_join(spark, sf_dir):
         table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), nations, "c_nationkey")
 
 
-SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-
-
 @query
 def top_n_with_latest(spark, sf_dir):
-    """The five richest customers of each known segment with their latest order."""
-    customers = table(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin(*SEGMENTS))
+    """The five richest customers of each segment with their latest order."""
     best = ranking.top_n(
-        customers.withColumnRenamed("c_custkey", "custkey"), ["c_mktsegment"],
+        table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "custkey"), ["c_mktsegment"],
         [desc("c_acctbal"), asc("c_name")], 5, "rank_in_segment",
     )
-    rows = 5 * len(SEGMENTS)
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "custkey")
-    mine = joins.only_keys_of(orders, best, "custkey", rows)
+    mine = joins.only_keys_of(orders, best, "custkey")
     return joins.attach_latest(
-        best, ranking.latest_per_key(mine, "custkey", "o_orderdate"), "custkey", rows)
+        best, ranking.latest_per_key(mine, "custkey", "o_orderdate"), "custkey")
 
 
 # --- whole transforms ------------------------------------------------------

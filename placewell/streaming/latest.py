@@ -16,14 +16,14 @@ from placewell.sources.ingest import HISTORY_SCHEMA
 
 
 def latest_state(stream: DataFrame, key: str, ts: str) -> DataFrame:
-    """Latest row per key of a stream; rows without ``ts`` must be filtered out before.
+    """Latest row per key of a stream; rows without ``ts`` are left out.
 
     ``max`` over a struct that starts with the time. Each map task sends one row per key,
     and the state holds one row per key, however long the log grows.
     """
     rest = [c for c in stream.columns if c not in (key, ts)]
     newest = F.max(F.struct(*[F.col(quoted(c)) for c in (ts, *rest)])).alias("newest")
-    return stream.groupBy(key).agg(newest).select(
+    return stream.where(F.col(quoted(ts)).isNotNull()).groupBy(key).agg(newest).select(
         *[F.col(quoted(c)) if c == key else F.col(f"newest.{quoted(c)}") for c in stream.columns]
     )
 
@@ -91,7 +91,12 @@ def fold_changes(spark: SparkSession, target: str, key: str, ts: str) -> int:
     The base counts once its number is in ``base_log``, which is written last; a job cut
     off before that changes nothing. Call it now and then while no other fold runs.
     """
-    changes = spark.read.parquet(f"{target}/changes").select("batch_id")
+    try:
+        changes = spark.read.parquet(f"{target}/changes").select("batch_id")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1  # nothing has been written yet
     # the newest batch may still be written
     upto = changes.agg(F.max("batch_id") - 1).first()[0]
     base = last_base(spark, target)

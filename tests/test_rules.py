@@ -379,3 +379,33 @@ def test_split_is_not_a_pattern(spark):
     df = spark.createDataFrame([("a|b.c|",)], "x string")
     assert [r.i for r in joins.explode_list(df, "x", "i", "|").collect()] == ["a", "b.c"]
     assert df.select(S.delimited_count(F.col("x"), ".")).first()[0] == 2
+
+
+def test_readings_without_a_time_are_left_out_of_batch_and_stream(spark):
+    from placewell.streaming.latest import latest_state
+
+    rows = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("b", None, 3)], "k string, t long, v int")
+    assert [tuple(r) for r in latest_state(rows, "k", "t").collect()] == [("a", 5, 2)]
+
+
+def test_halves_lose_no_null(spark):
+    from placewell.registry.queries import _halves
+
+    rows = spark.createDataFrame([(1,), (20,), (None,)], "x int")
+    low, rest = _halves(rows, "x < 13")
+    assert low.count() == 1 and rest.count() == 2
+
+
+def test_fold_before_the_first_change(spark, folder):
+    from placewell.streaming.latest import fold_changes
+
+    assert fold_changes(spark, folder, "k", "t") == -1
+
+
+def test_whole_results_are_delivered(spark, folder, capsys):
+    from placewell.__main__ import deliver
+
+    deliver(spark.range(150), None)
+    assert "|149" in capsys.readouterr().out
+    deliver(spark.range(150), f"{folder}/out")
+    assert "150 rows" in capsys.readouterr().out
