@@ -21,12 +21,12 @@ from placewell.llm.ragged import spread
 K = 24  # neighbours of a node in the graph
 TREES = 6
 LEAF = 128
-ROUNDS = 3
+ROUNDS = 4
 SAMPLE = 14  # neighbours, and as many reverse ones, that a node joins in a round
 FIT_ROWS = 4096  # rows at most that the projections' medians are taken from
 NEAREST = 20
-POOL = 64  # best nodes that a query holds during its search
-EXPANDED = 10  # nodes that a query looks beyond in a round of its search
+POOL = 160  # best nodes that a query holds during its search
+EXPANDED = 24  # nodes that a query looks beyond in a round of its search
 MOST_ROUNDS = 12
 STRIDE = 20  # rows whose id this divides are queries
 
