@@ -18,6 +18,7 @@ from placewell.sources.ingest import ingest_table, ingest_variant, load_history,
 from placewell.sources.landing import (
     TIME_FIELD, land_dataset, land_readings, read_json_lines,
 )
+from placewell.sources.tables import stored_table
 from placewell.streaming.latest import fold_changes, follow_latest
 
 
@@ -54,11 +55,10 @@ def parser() -> argparse.ArgumentParser:
             "--interval", help="such as '1 minute'; without it the job ends when done")
     job("history", "load history per file", "target").add_argument("--within", default="14 days")
     clean = job("refresh", "rebuild the clean tables from the raw ones", "places", "reviews", "checkins")
-    clean.add_argument("--database", default="clean")
-    clean.add_argument("--location")
+    clean.add_argument("--location", required=True, help="folder of the clean tables")
     clean.add_argument("--checkin-lists", action="store_true", help="also the table of lists")
     job("check", "null profiles, row counts and monthly trend", "places", "reviews").add_argument(
-        "--database", default="clean")
+        "--location", required=True, help="folder of the clean tables")
     job("fold", "fold the changes that watch has written", "target")
     report = job("latest", "latest reading per place", "raw")
     report.add_argument("--year", type=int, default=READING_YEAR)
@@ -79,10 +79,11 @@ def main(argv: list[str] | None = None) -> None:
         polls = read_json_lines(spark, args.source, timestamps={"polled_at": "polled_at"})
         if args.point:
             points, keys = zip(*(p.rsplit("=", 1) for p in args.point))
-            polls = attach_key(polls, point_keys(spark, points, keys), "coord", len(points))
+            polls = attach_key(polls.drop("business_id"), point_keys(spark, points, keys), "coord", len(points))
         land_readings(polls, args.target, args.city)
     elif args.job == "ingest":
-        schema = DATASETS[args.dataset].table_schema or spark.read.parquet(args.source).schema
+        schema = DATASETS[args.dataset].table_schema or spark.read.options(
+            mergeSchema="true", ignoreCorruptFiles="true").parquet(args.source).schema
         ingest_table(spark, args.source, args.target, schema,
                      interval=args.interval).awaitTermination()
     elif args.job == "ingest-readings":
@@ -91,10 +92,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "history":
         deliver(load_history(spark, args.target, args.within), args.output)
     elif args.job == "refresh":
-        refresh(spark, *(read_table(spark, t) for t in (args.places, args.reviews, args.checkins)),
-                args.database, args.location, args.checkin_lists).show(truncate=False)
+        refresh(*(read_table(spark, t) for t in (args.places, args.reviews, args.checkins)),
+                args.location, args.checkin_lists).show(truncate=False)
     elif args.job == "check":
-        clean = {t: spark.table(f"{args.database}.{t}")
+        clean = {t: stored_table(spark, args.location, t)
                  for t in ("entity_clean", "regional_top", "checkin_events", "review_clean")}
         raw = (read_table(spark, t) for t in (args.places, args.reviews))
         for number, (title, result) in enumerate(checks.report(*raw, clean), 1):

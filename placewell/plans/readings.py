@@ -105,6 +105,10 @@ def latest_report(latest: DataFrame) -> DataFrame:
 
 
 def register_views(raw: DataFrame, year: int | None = READING_YEAR) -> None:
-    """The two views over the raw readings, worked out when they are read."""
+    """The two views over the raw readings.
+
+    They show the batches that were published when ``raw`` was read; call this again after
+    an ingest.
+    """
     readings_typed(raw, year).createOrReplaceTempView("readings_final")
     readings_latest(raw, year).createOrReplaceTempView("readings_latest")

@@ -4,27 +4,25 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from placewell.operators.profiling import row_counts
 from placewell.plans.checkins import checkin_events, checkin_summary
 from placewell.plans.places import entity_clean, regional_top
 from placewell.plans.reviews import review_clean
-from placewell.sources.tables import ensure_database, replace_table
+from placewell.sources.tables import replace_table
 
 
-def refresh(spark: SparkSession, places: DataFrame, reviews: DataFrame, checkins: DataFrame,
-            database: str, location: str | None = None,
+def refresh(places: DataFrame, reviews: DataFrame, checkins: DataFrame, location: str,
             checkin_lists: bool = False) -> DataFrame:
-    """Rebuild the clean tables and return their row counts.
+    """Rebuild the clean tables in a folder and return their row counts.
 
     ``checkin_lists`` adds the table of check-in lists, which nothing else reads.
 
     Places come first; once they are stored, the tables that follow them run side by
     side, and Spark shares its executors between them.
     """
-    ensure_database(spark, database, location)
-    stored = {"entity_clean": replace_table(entity_clean(places), database, "entity_clean")}
+    stored = {"entity_clean": replace_table(entity_clean(places), location, "entity_clean")}
     rest = {
         "regional_top": lambda: regional_top(stored["entity_clean"]),
         "checkin_events": lambda: checkin_events(checkins),
@@ -34,7 +32,7 @@ def refresh(spark: SparkSession, places: DataFrame, reviews: DataFrame, checkins
         rest["checkin_summary"] = lambda: checkin_summary(checkins)
     with ThreadPoolExecutor(len(rest)) as pool:
         jobs = {
-            name: pool.submit(lambda n=name, b=build: replace_table(b(), database, n))
+            name: pool.submit(lambda n=name, b=build: replace_table(b(), location, n))
             for name, build in rest.items()
         }
         stored |= {name: job.result() for name, job in jobs.items()}

@@ -138,6 +138,10 @@ ORACLE = {
     "ingest_by_name": """
         SELECT s_suppkey, s_name, s_nationkey,
                CASE WHEN s_nationkey < 13 THEN s_acctbal END AS s_acctbal FROM supplier""",
+    "ingest_schema_drift": """
+        SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey,
+               CASE WHEN NOT coalesce(s_nationkey < 13, false) THEN s_acctbal END AS s_acctbal
+        FROM supplier""",
     "ingest_skip_bad_files": "SELECT * FROM customer",
     "load_history": """
         SELECT event_type AS kind, 'loaded' AS status, count(*) AS row_count,

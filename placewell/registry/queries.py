@@ -137,6 +137,17 @@ def ingest_by_name(spark, sf_dir):
     return ingest.read_table(spark, f"{root}/raw").select(supplier.columns)
 
 
+@query
+def ingest_schema_drift(spark, sf_dir):
+    """The second drop has a wider type and one more column than the first."""
+    root = scratch_dir(spark, "ingest")
+    low, rest = _halves(table(spark, sf_dir, "supplier"), "s_nationkey < 13")
+    for drop in (low.drop("s_acctbal"), rest.withColumn("s_nationkey", F.col("s_nationkey").cast("bigint"))):
+        drop.write.mode("append").parquet(f"{root}/drops")
+        ingest.ingest_table(spark, f"{root}/drops", f"{root}/raw", drop.schema)
+    return ingest.read_table(spark, f"{root}/raw").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+
+
 @query
 def ingest_skip_bad_files(spark, sf_dir):
     root = scratch_dir(spark, "ingest")
@@ -500,6 +511,6 @@ def stream_latest_state(spark, sf_dir):
 def medallion_refresh(spark, sf_dir):
     root = scratch_dir(spark, "clean")
     return refresh.refresh(
-        spark, inputs.places(spark, sf_dir), inputs.reviews(spark, sf_dir),
-        inputs.checkins(spark, sf_dir), "clean_" + root[-32:], root,
+        inputs.places(spark, sf_dir), inputs.reviews(spark, sf_dir),
+        inputs.checkins(spark, sf_dir), root,
     )

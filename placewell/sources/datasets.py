@@ -1,7 +1,7 @@
 """The five landed datasets.
 
 Fixed values: field names and types as they stand in the input files. All fields
-are nullable. The place dataset has no declared schema; it is inferred.
+are nullable. The schema of the place dataset is inferred; its plain fields have fixed types.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ class Dataset:
     ddl: str | None = None
     # text column -> timestamp column derived from it at landing
     timestamps: dict[str, str] = field(default_factory=dict)
+    # types that an inferred schema gets at landing, whatever values one file happens to hold
+    types: dict[str, str] = field(default_factory=dict)
 
     @property
     def json_schema(self) -> T.StructType | None:
@@ -32,7 +34,11 @@ class Dataset:
 
 
 DATASETS = {
-    "business": Dataset(),
+    "business": Dataset(types={
+        **dict.fromkeys(("business_id", "name", "address", "city", "state", "postal_code", "categories"), "string"),
+        **dict.fromkeys(("latitude", "longitude", "stars"), "double"),
+        **dict.fromkeys(("review_count", "is_open"), "bigint"),
+    }),
     "checkin": Dataset("business_id STRING, date STRING"),
     "review": Dataset(
         "review_id STRING, user_id STRING, business_id STRING, stars DOUBLE, useful BIGINT, "

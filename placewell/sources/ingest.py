@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -35,6 +36,13 @@ from placewell.functions.ordering import quoted
 from placewell.sources.files import stream_files
 
 SOURCE_FILE = "source_file"
+VARIANT_DDL = "ingestion_time timestamp_ntz, raw_data variant, payload_year string"
+# narrow to wide; Parquet files of the narrow types can be read as the wide ones
+WIDENING = (
+    [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()],
+    [T.ByteType(), T.ShortType(), T.IntegerType(), T.DoubleType()],
+    [T.FloatType(), T.DoubleType()],
+)
 HISTORY_SCHEMA = (
     "file_name string, file_size bigint, modified_at timestamp, file_rows bigint, "
     "row_count bigint, status string, last_load_time timestamp, batch_id bigint"
@@ -47,8 +55,10 @@ def ingest_table(spark: SparkSession, source: str, target: str, schema: T.Struct
     """Load all files not loaded before. The first run is the backfill of old files.
 
     Without an ``interval`` the call ends when the files at hand are loaded; with one, the
-    query goes on looking for new files.
+    query goes on looking for new files. The table's own schema is stored beside it: at the
+    first load it is ``schema``, later ones may add columns and widen types (``wider``).
     """
+    schema = _pin(spark, target, schema)
 
     def read(paths: list[str]) -> DataFrame:
         return _reader(spark).schema(schema).parquet(*paths).select(
@@ -81,6 +91,7 @@ def ingest_variant(spark: SparkSession, source: str, target: str, time_field: st
             F.substring(F.try_variant_get("raw_data", f"$.{time_field}", "string"), 1, 4),
         )
 
+    _pin(spark, target, T.StructType.fromDDL(VARIANT_DDL))
     return _run(
         spark, source, target, pattern, max_files, interval, read, partitions=["payload_year"])
 
@@ -91,7 +102,7 @@ def as_variant(df: DataFrame) -> Column:
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
-    """Rows of all published batches.
+    """Rows of all published batches, with the table's stored schema.
 
     Batches run one after the other, so only the newest can be unpublished: a bound on
     ``batch_id`` prunes it.
@@ -99,7 +110,23 @@ def read_table(spark: SparkSession, target: str) -> DataFrame:
     last = load_history(spark, target).agg(F.max("batch_id")).first()[0]
     if last is None:
         raise FileNotFoundError(f"nothing is loaded in {target}")
-    data = spark.read.parquet(f"{target}/data")
+    pinned = stored_schema(spark, target)
+    reader = spark.read
+    if pinned is not None:  # a table loaded before schemas were stored has none
+        # the partition column of variants comes last; names stand once
+        names = [f for f in pinned.fields if f.name != "payload_year"]
+        parts = [f for f in pinned.fields if f.name == "payload_year"]
+        whole = T.StructType([*names, T.StructField(SOURCE_FILE, T.StringType()),
+                              T.StructField("batch_id", T.IntegerType()), *parts])
+        reader = reader.schema(whole)
+    try:
+        data = reader.parquet(f"{target}/data")
+    except AnalysisException as error:
+        if pinned is None or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # every file of every batch was missing
+        return spark.range(0).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in whole.fields]).drop("batch_id")
     return data.where(F.col("batch_id") <= last).drop("batch_id")
 
 
@@ -116,6 +143,51 @@ def load_history(spark: SparkSession, target: str, within: str | None = None) ->
     return history.orderBy(F.col("last_load_time").desc_nulls_first(), "file_name")
 
 
+def stored_schema(spark: SparkSession, target: str) -> T.StructType | None:
+    """The schema that all batches of a table are read with."""
+    try:
+        kept = spark.read.schema("version bigint, json string").parquet(f"{target}/schema")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    newest = kept.agg(F.max_by("json", "version")).first()[0]
+    return T.StructType.fromJson(json.loads(newest)) if newest else None
+
+
+def _pin(spark: SparkSession, target: str, schema: T.StructType) -> T.StructType:
+    """Store what ``schema`` adds to the table's schema, and return the whole."""
+    old = stored_schema(spark, target)
+    new = wider(old, schema) if old is not None else schema
+    if new != old:
+        version = time.time_ns()  # one load of a table runs at a time
+        spark.createDataFrame([(version, new.json())], "version bigint, json string").coalesce(1).write.mode(
+            "append").parquet(f"{target}/schema")
+    return new
+
+
+def wider(old: T.DataType, new: T.DataType) -> T.DataType:
+    """Both types in one that Parquet files of either can be read with.
+
+    Columns and members of structs are united by name in any case. Whole numbers widen to
+    larger ones, and up to 32 bits to double; float widens to double. Of other types that
+    differ the old one stays, and files that do not fit it are skipped.
+    """
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        added = {f.name.lower(): f for f in new.fields}
+        fields = [
+            T.StructField(f.name, wider(f.dataType, added[f.name.lower()].dataType)
+                          if f.name.lower() in added else f.dataType)
+            for f in old.fields
+        ]
+        held = {f.name.lower() for f in old.fields}
+        return T.StructType(fields + [f for f in new.fields if f.name.lower() not in held])
+    for order in WIDENING:
+        if old in order and new in order:
+            return max(old, new, key=order.index)
+    return old
+
+
 def _reader(spark: SparkSession):
     return spark.read.option("ignoreCorruptFiles", "true")
 

@@ -42,6 +42,8 @@ def land_dataset(spark: SparkSession, name: str, source: str, target: str,
     """Land one of the known datasets as Parquet."""
     dataset = DATASETS[name]
     df = read_json_lines(spark, source, dataset.json_schema, dataset.timestamps, sampling_ratio)
+    df = df.withColumns({
+        c: F.col(c).cast(t) for c, t in dataset.types.items() if c in df.columns})
     write_parquet(df, target)
 
 

@@ -1,33 +1,92 @@
 """Replace a table with a query result, without a moment in which it is missing.
 
-Each refresh writes a new table ``<name>__<version>`` and then points the view
-``<name>`` to it. Readers follow the view; those still reading the version before
-keep it until the next refresh.
+A table is a folder. Each refresh writes ``data/version=V`` and then commits it by
+writing ``log/version=V``; readers take the newest committed version, in this session or
+in any later one. A job that stops before the commit leaves the old version in place.
+Those still reading the version before keep it until the next refresh.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
+def replace_table(df: DataFrame, location: str, name: str, keep: int = 2) -> DataFrame:
+    """Write ``df`` as the new version of the table and return the stored rows.
 
-
-def replace_table(df: DataFrame, database: str, name: str, keep: int = 2) -> DataFrame:
-    """Write ``df`` as the new version of ``database.name`` and return the stored rows."""
+    One refresh of a table runs at a time: versions older than the ``keep`` newest, and
+    those of jobs that stopped early, are deleted.
+    """
     spark = df.sparkSession
-    version = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    table = f"{database}.{name}__{version}"
-    df.write.format("parquet").saveAsTable(table)
-    spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {table}")
-    versions = sorted(
-        r.tableName for r in spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__*'").collect()
-        if r.tableName.rpartition("__")[0] == name
-    )
-    for old in versions[:-keep]:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{old}")
-    return spark.table(f"{database}.{name}")
+    # the letter keeps the number a text when Spark infers partition values
+    version = datetime.now(timezone.utc).strftime("v%Y%m%d%H%M%S%f")
+    home = f"{location}/{name}"
+    df.write.parquet(f"{home}/data/version={version}")
+    spark.range(0, 1, 1, 1).write.parquet(f"{home}/log/version={version}")
+    kept = _committed(spark, home)[-keep:]
+    for part in ("log", "data"):
+        for folder in _folders(spark, f"{home}/{part}"):
+            if folder.removeprefix("version=") not in kept:
+                _delete(spark, f"{home}/{part}/{folder}")
+    return stored_table(spark, location, name)
+
+
+def stored_table(spark: SparkSession, location: str, name: str) -> DataFrame:
+    """The newest committed version."""
+    return spark.read.parquet(_newest(spark, location, name))
+
+
+def open_tables(spark: SparkSession, location: str, database: str | None = None) -> list[str]:
+    """Views of all committed tables of a location, in this session or in a database.
+
+    A view stays with the version it was opened on.
+    """
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = [n for n in _folders(spark, location) if _committed(spark, f"{location}/{n}")]
+    for name in names:
+        if database:
+            place = _newest(spark, location, name)
+            spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM parquet.`{place}`")
+        else:
+            stored_table(spark, location, name).createOrReplaceTempView(name)
+    return names
+
+
+def _newest(spark: SparkSession, location: str, name: str) -> str:
+    versions = _committed(spark, f"{location}/{name}")
+    if not versions:
+        raise FileNotFoundError(f"no version of {name} is committed in {location}")
+    path = _path(spark, f"{location}/{name}/data/version={versions[-1]}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def _committed(spark: SparkSession, home: str) -> list[str]:
+    """Versions whose log entry is complete, oldest first; at most a few are kept."""
+    try:
+        log = spark.read.schema("id bigint, version string").parquet(f"{home}/log")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(r.version for r in log.select("version").distinct().collect())
+
+
+# Spark lists and deletes no folders by itself; its Hadoop file systems do, on any store.
+
+def _path(spark: SparkSession, name: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+
+
+def _folders(spark: SparkSession, place: str) -> list[str]:
+    path = _path(spark, place)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()) if files.exists(path) else []
+
+
+def _delete(spark: SparkSession, place: str) -> None:
+    path = _path(spark, place)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

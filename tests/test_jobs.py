@@ -2,13 +2,18 @@
 
 import json
 import os
+import subprocess
+import sys
 
 import pytest
 
 from placewell.__main__ import main, parser
 from placewell.plans.readings import INSTANT
+from placewell.sources.tables import stored_table
 from placewell.streaming.latest import read_latest_state
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def write(folder, name, *records):
     os.makedirs(folder, exist_ok=True)
@@ -17,7 +22,7 @@ def write(folder, name, *records):
     return f"{folder}/{name}"
 
 
-def test_batch_jobs(spark, folder, database, capsys):
+def test_batch_jobs(spark, folder, capsys):
     inputs = {
         "business": {"business_id": "p1", "name": "A", "address": "x", "city": "Philadelphia",
                      "state": "PA", "postal_code": "1", "latitude": 1.0, "longitude": 2.0,
@@ -36,22 +41,25 @@ def test_batch_jobs(spark, folder, database, capsys):
     main(["ingest", f"{folder}/landed/review", f"{folder}/raw/review", "--dataset", "review"])
     main(["history", f"{folder}/raw/review"])
     assert capsys.readouterr().out.count("|loaded|") == 2
-    main(["refresh", *[f"{folder}/raw/{n}" for n in inputs], "--database", database,
+    main(["refresh", *[f"{folder}/raw/{n}" for n in inputs],
           "--location", f"{folder}/clean", "--checkin-lists"])
-    counts = {t: spark.table(f"{database}.{t}").count()
+    counts = {t: stored_table(spark, f"{folder}/clean", t).count()
               for t in ("entity_clean", "regional_top", "review_clean", "checkin_events",
                         "checkin_summary")}
     assert counts == {"entity_clean": 1, "regional_top": 1, "review_clean": 1, "checkin_events": 2,
                       "checkin_summary": 1}
-    main(["check", f"{folder}/raw/business", f"{folder}/raw/review", "--database", database])
-    shown = capsys.readouterr().out
+    # a process of its own, which shares no catalog with the refresh
+    shown = subprocess.run(
+        [sys.executable, "-m", "placewell", "check", f"{folder}/raw/business", f"{folder}/raw/review",
+         "--location", f"{folder}/clean"],
+        cwd=ROOT, capture_output=True, text=True, check=True, timeout=300).stdout
     assert "missing_postal_code" in shown and "2020-01-01 00:00:00" in shown
 
 
 def test_reading_jobs(spark, folder, capsys):
     source = write(folder, "polls.json", *[
         {"coord": c, "polled_at": f"2026-03-06 21:0{m}:00",
-         "response": {"flowSegmentData": {"currentSpeed": s, "freeFlowSpeed": 40}}}
+         "business_id": "old", "response": {"flowSegmentData": {"currentSpeed": s, "freeFlowSpeed": 40}}}
         for c, m, s in (("1,2", 0, 10), ("3,4", 0, 20), ("1,2", 5, 30), ("5,6", 5, 40))])
     main(["land-readings", source, f"{folder}/landed", "--city", "X",
           "--point", "1,2=p1", "--point", "3,4=p2"])

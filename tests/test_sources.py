@@ -12,7 +12,7 @@ from placewell.plans.readings import readings_typed
 from placewell.session import scratch_dir
 from placewell.sources import files, ingest, landing
 from placewell.sources.datasets import DATASETS
-from placewell.sources.tables import ensure_database, replace_table
+from placewell.sources.tables import open_tables, replace_table, stored_table
 
 SCHEMA = "id bigint, name string"
 
@@ -286,28 +286,57 @@ def test_list_files(spark, folder):
     assert len(listed) == 1 and listed[0].length > 0 and listed[0].path.endswith(".parquet")
 
 
-def test_replace_table(spark, folder, database):
-    ensure_database(spark, database, folder)
-    ensure_database(spark, database, folder)
-    first = replace_table(spark.range(3), database, "t")
+def test_replace_table(spark, folder):
+    first = replace_table(spark.range(3), folder, "t")
     assert first.count() == 3
-    reader = spark.table(f"{database}.t")
-    # a table may be rebuilt from itself, and those reading the version before go on
-    replace_table(spark.table(f"{database}.t").where("id > 0"), database, "t")
-    assert (reader.count(), spark.table(f"{database}.t").count()) == (3, 2)
-    for n in range(3):
-        replace_table(spark.range(n), database, "t")
-    replace_table(spark.range(7), database, "t__x")
-    names = [r.tableName for r in spark.sql(f"SHOW TABLES IN {database} LIKE 't__2*'").collect()]
-    assert len(names) == 2 and spark.table(f"{database}.t").count() == 2
-
-
-def test_a_failed_refresh_leaves_the_table_as_it_was(spark, folder, database):
-    ensure_database(spark, database, folder)
-    replace_table(spark.range(3), database, "t")
+    replace_table(stored_table(spark, folder, "t").where("id > 0"), folder, "t")
+    assert (first.count(), stored_table(spark, folder, "t").count()) == (3, 2)
+    for n in (4, 5):
+        replace_table(spark.range(n), folder, "t")
+    replace_table(spark.range(7), folder, "t__x")
+    assert len(os.listdir(f"{folder}/t/data")) == 2 and stored_table(spark, folder, "t").count() == 5
+
+
+def test_tables_open_as_views(spark, folder, database):
+    replace_table(spark.range(3), folder, "opened")
+    assert open_tables(spark, folder) == ["opened"]
+    assert open_tables(spark, folder, database) == ["opened"]
+    assert spark.table("opened").count() == spark.table(f"{database}.opened").count() == 3
+    with pytest.raises(FileNotFoundError):
+        stored_table(spark, folder, "other")
+
+
+def test_a_failed_refresh_leaves_the_table_as_it_was(spark, folder):
+    replace_table(spark.range(3), folder, "t")
     with pytest.raises(Exception, match="no good"):
-        replace_table(spark.range(3).select(F.raise_error(F.lit("no good")).alias("id")), database, "t")
-    assert spark.table(f"{database}.t").count() == 3
+        replace_table(spark.range(3).select(F.raise_error(F.lit("no good")).alias("id")), folder, "t")
+    # rows written, but not committed
+    spark.range(9).write.parquet(f"{folder}/t/data/version=v9")
+    assert stored_table(spark, folder, "t").count() == 3
+
+
+def test_schema_is_kept_and_widened(spark, folder):
+    def load(df):
+        df.write.mode("append").parquet(f"{folder}/drops")
+        ingest.ingest_table(spark, f"{folder}/drops", f"{folder}/raw", df.schema)
+
+    load(spark.sql("SELECT 1 AS a, named_struct('x', 'p') AS s"))
+    load(spark.sql("SELECT 2L AS a, named_struct('x', 'q', 'y', 'r') AS s, 'new' AS b"))
+    load(spark.sql("SELECT 'text' AS a, named_struct('x', 'z') AS s, 'bad' AS b"))
+    rows = ingest.read_table(spark, f"{folder}/raw")
+    assert rows.schema["a"].dataType.simpleString() == "bigint"
+    assert {(r.a, r.s.x, r.s.y, r.b) for r in rows.collect()} == {(1, "p", None, None), (2, "q", "r", "new")}
+    assert {r.status for r in ingest.load_history(spark, f"{folder}/raw").collect()} == {"loaded", "skipped"}
+
+
+def test_only_bad_files_give_an_empty_table(spark, folder):
+    os.makedirs(f"{folder}/drops")
+    with open(f"{folder}/drops/bad.parquet", "w") as out:
+        out.write("no parquet")
+    ingest.ingest_table(spark, f"{folder}/drops", f"{folder}/raw", spark.range(1).schema)
+    ingest.ingest_variant(spark, f"{folder}/drops", f"{folder}/variants", "t")
+    assert ingest.read_table(spark, f"{folder}/raw").count() == 0
+    assert ingest.read_table(spark, f"{folder}/variants").count() == 0
 
 
 @pytest.mark.parametrize("master, shared, starts", [
@@ -325,3 +354,12 @@ def test_a_cluster_needs_a_shared_folder():
     session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(session, "x")
+
+
+def test_places_land_with_fixed_types(spark, folder):
+    os.makedirs(folder)
+    for name, stars in (("a", 4), ("b", 4.5)):
+        with open(f"{folder}/{name}.json", "w") as out:
+            out.write(json.dumps({"business_id": name, "stars": stars}))
+        landing.land_dataset(spark, "business", f"{folder}/{name}.json", f"{folder}/{name}")
+        assert dict(spark.read.parquet(f"{folder}/{name}").dtypes)["stars"] == "double"
