@@ -8,6 +8,7 @@ sketch are candidates; an alignment within a band decides.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,6 @@ SIMILARITY = 0.8
 SKETCHES = 14
 PICKS = 3  # shingles of a sketch
 DEPTHS = (1, 2, 4)  # neighbouring sketches that make a group of candidates
-ROUNDS = 3  # with other hubs, in groups that hold several classes; fewer if one finds no link
 FILTER_BITS = 1 << 25  # of the filter that is broadcast; its size does not grow
 
 SEEDS = np.random.default_rng(20240501).integers(1, 2**63, SKETCHES, dtype=np.uint64)
@@ -249,7 +249,7 @@ def classes(
 
     Texts with equal words are copies; copies are one node. Nodes that share a sketch are
     candidates: in each group the most central node is aligned with every other, and
-    further rounds (ROUNDS, or until one finds no link) do the same with other nodes in the
+    further rounds, until one finds no link, do the same with other nodes in the
     groups that still hold more than one class. A class is what links connect; class_id is
     its smallest id. Null texts are in no class (class_id is their own id, all are kept);
     texts without words are copies of each other. Rows with null or equal ids count by
@@ -291,7 +291,7 @@ def classes(
     links = stored(verified(tried, texts, least), "links")
     labels = components(links)
     held = members.drop("rank").withColumn("label", F.col("node"))
-    for turn in range(1, ROUNDS + 1):
+    for turn in itertools.count(1):  # a pair is tried once, so the rounds end
         # Only groups that still hold more than one class go on.
         held = held.join(labels.select(F.col("node").alias("label"), "component"), "label", "left").select(
             "node", "n", "g", F.coalesce("component", "label").alias("label"))
