@@ -8,7 +8,6 @@ sketch are candidates; an alignment within a band decides.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +24,9 @@ SIMILARITY = 0.8
 SKETCHES = 14
 PICKS = 3  # shingles of a sketch
 DEPTHS = (1, 2, 4)  # neighbouring sketches that make a group of candidates
+FIRST_HUBS = 16  # of a group in the first further round
+GROWTH = 8  # times as many hubs in each round, until every member has been one
+BUCKETS = 1 << 20  # in which shingles are counted to order them; more of them change no result
 FILTER_BITS = 1 << 25  # of the filter that is broadcast; its size does not grow
 
 SEEDS = np.random.default_rng(20240501).integers(1, 2**63, SKETCHES, dtype=np.uint64)
@@ -242,15 +244,60 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
         verify, "src bigint, dst bigint")
 
 
+def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
+    """node, n (shingles) and g: for each text so many of its rarest shingles that similar texts share one.
+
+    Texts of n shingles need least * n in common, so one of the n - least * n + 1 that come
+    first in any order that holds for all texts is shared. Rarity is only that order: it is
+    counted by hash buckets, and shingles that are alone in theirs meet no other text.
+    """
+
+    def sequences_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array([len(x.as_buffer()) // 8 for x in part.column("shingles")], np.int64)
+        data = b"".join(x.as_py() for x in part.column("shingles"))
+        bounds = np.r_[0, np.cumsum(sizes)]
+        return labelled(np.frombuffer(data, np.uint64), bounds), bounds
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "shingles"):
+            places, counts = np.unique(sequences_of(part)[0] % np.uint64(BUCKETS), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int64)), pa.array(counts.astype(np.int64))], ["p", "c"])
+
+    found = texts.select("shingles").mapInArrow(tally, "p bigint, c bigint").groupBy("p").agg(
+        F.sum("c").alias("c")).toArrow()  # BUCKETS rows at most
+    counts = np.zeros(BUCKETS, np.int64)
+    counts[found["p"].to_numpy()] = found["c"].to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for part in slices(batches, "shingles"):
+            label, bounds = sequences_of(part)
+            sizes = np.diff(bounds)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            often = counts[(label % np.uint64(BUCKETS)).astype(np.int64)]
+            order = np.lexsort((label, often, owner))
+            wanted = sizes - np.ceil(least * sizes - 1e-9).astype(np.int64) + 1
+            first = np.arange(len(order)) - bounds[:-1][owner] < wanted[owner]
+            taken = order[first & (often[order] > 1)]
+            nodes = part.column("node").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes[owner[taken]]), pa.array(sizes[owner[taken]]), pa.array(label[taken].view(np.int64))],
+                ["node", "n", "g"])
+
+    return texts.select("node", "shingles").mapInArrow(choose, "node bigint, n bigint, g bigint")
+
+
 def classes(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = SIMILARITY
 ) -> DataFrame:
     """id, key, class_id, is_kept: one row per row of ``docs``, its class and one kept row per class.
 
     Texts with equal words are copies; copies are one node. Nodes that share a sketch are
-    candidates: in each group the most central node is aligned with every other, and
-    further rounds, until one finds no link, do the same with other nodes in the
-    groups that still hold more than one class. A class is what links connect; class_id is
+    candidates: in each group the most central node is aligned with every other. Then the
+    nodes that share a sketch with any other meet by their rarest shingles, with more hubs in
+    each round, until every such pair of different classes and fitting lengths is tried; no
+    similar pair of them is left out. A class is what links connect; class_id is
     its smallest id. Null texts are in no class (class_id is their own id, all are kept);
     texts without words are copies of each other. Rows with null or equal ids count by
     their texts; of equal rows one is kept. Other columns are not read. No rows give no
@@ -276,36 +323,45 @@ def classes(
     texts = stored(sequences(rows.where("words IS NOT NULL"), linked.select("id", "key")).join(
         linked.select("key", "node"), "key").dropDuplicates(["node"]).select("node", "shingles"), "shingles")
 
-    def candidates(held: DataFrame, order: Column) -> DataFrame:
-        hubs = held.groupBy("g").agg(
-            F.max_by("node", order).alias("hub"), F.max_by("n", order).alias("hub_n"),
-            *([F.max_by("label", order).alias("hub_label")] if "label" in held.columns else []),
-            F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
-        pairs = held.join(hubs, "g").where("node <> hub").where(
-            F.least("n", "hub_n") >= F.lit(least) * F.greatest("n", "hub_n"))
-        if "label" in held.columns:
-            pairs = pairs.where("label <> hub_label")
-        return pairs.select("hub", F.col("node").alias("other")).distinct()
-
-    tried = stored(candidates(members, F.col("rank")), "tried")
+    fits = lambda a, b: F.least(a, b) >= F.lit(least) * F.greatest(a, b)
+    hubs = members.groupBy("g").agg(
+        F.max_by("node", "rank").alias("hub"), F.max_by("n", "rank").alias("hub_n"),
+        F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    tried = stored(members.join(hubs, "g").where("node <> hub").where(fits("n", "hub_n")).select(
+        "hub", F.col("node").alias("other")).distinct(), "tried")
     links = stored(verified(tried, texts, least), "links")
     labels = components(links)
-    held = members.drop("rank").withColumn("label", F.col("node"))
-    for turn in itertools.count(1):  # a pair is tried once, so the rounds end
-        # Only groups that still hold more than one class go on.
-        held = held.join(labels.select(F.col("node").alias("label"), "component"), "label", "left").select(
-            "node", "n", "g", F.coalesce("component", "label").alias("label"))
+    # Similar texts share one of their rarest shingles; a text's place in such a group says
+    # in which round it is a hub.
+    rarest = stored(rare_shingles(texts, least), "rare")
+    meet = rarest.groupBy("g").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    held = rarest.join(meet, "g").select("node", "n", "g", F.pmod(F.xxhash64("node", "g"), F.col("size")).alias("place"),
+                                         F.col("node").alias("label"))
+    done, reach = 0, FIRST_HUBS
+    while True:
+        # Texts that were hubs have met all others; only groups that still hold more than one class go on.
+        held = held.where(F.col("place") >= done).join(
+            labels.select(F.col("node").alias("label"), "component"), "label", "left").select(
+            "node", "n", "g", "place", F.coalesce("component", "label").alias("label"))
         open_ = held.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
             "low < high").select("g")
         held = stored(held.join(open_, "g"), "open")
-        new = candidates(held, F.xxhash64(F.lit(turn), "node", "g"))
+        if held.isEmpty():
+            break
+        hubs = held.where(F.col("place") < reach).select(
+            F.col("g").alias("hub_g"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"))
+        once = (F.col("place") >= reach) | (F.col("node") > F.col("hub"))
+        new = held.join(hubs, (F.col("g") == F.col("hub_g")) & (F.col("label") != F.col("hub_label"))
+                        & fits("n", "hub_n") & once).select(
+            F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("other")).distinct()
         both = tried.unionByName(tried.select(F.col("other").alias("hub"), F.col("hub").alias("other")))
         new = stored(new.join(both, ["hub", "other"], "left_anti"), "tried")
         found = stored(verified(new, texts, least), "links")
-        if found.isEmpty():
-            break
-        tried, links = tried.unionByName(new), links.unionByName(found)
-        labels = components(links)
+        tried = tried.unionByName(new)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = components(links)
+        done, reach = reach, reach * GROWTH
 
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
     smallest = named.groupBy("label").agg(F.min("id").alias("class_id"))

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -22,6 +23,7 @@ from placewell.llm import (  # noqa: E402
 )
 from placewell.llm.components import components  # noqa: E402
 from placewell.llm.queries import ORACLE, QUERIES  # noqa: E402
+from placewell.llm.ragged import Texts  # noqa: E402
 from placewell.llm.workers import importable  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -260,6 +262,33 @@ def test_near_duplicates_against_all_pairs(spark):
     assert near_dedup.classes(rows.limit(0)).count() == 0
 
 
+def test_pairs_hidden_in_groups_of_other_texts(spark):
+    # texts from one template: every sketch is shared by many that are no near-duplicates
+    rng = np.random.default_rng(11)
+    picks = (rng.random((120, 24)) < 0.25).astype(int)
+    for k in range(0, 24, 2):  # a text and one that differs in one slot
+        picks[119 - k] = picks[k]
+        picks[119 - k, k] ^= 1
+    texts = [" ".join(f"s{slot}v{v}w{w}" for slot, v in enumerate(row) for w in range(8)) for row in picks.tolist()]
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(24 * 8 - 4)} for t in texts]
+    names = {x: k for k, x in enumerate(sorted(set().union(*sets)))}
+    there = np.zeros((120, len(names)))
+    for k, found in enumerate(sets):
+        there[k, [names[x] for x in found]] = 1
+    both = there @ there.T
+    pairs = np.argwhere(np.triu(both >= 0.8 * (2 * len(sets[0]) - both), 1)).tolist()
+    assert 12 <= len(pairs) < 60
+    # every similar pair meets in a group, however many others share its sketches
+    hashed = [near_dedup.shingles(Texts(pa.array([t])))[0].tobytes() for t in texts]
+    met = {}
+    for r in near_dedup.rare_shingles(spark.createDataFrame(
+            list(enumerate(hashed)), "node long, shingles binary"), 0.8).collect():
+        met.setdefault(r.node, set()).add(r.g)
+        assert r.n == 24 * 8 - 4
+    assert all(met[a] & met[b] for a, b in pairs)
+    assert sum(bool(met[a] & met[b]) for a in range(120) for b in range(a)) < 120 * 119 / 2
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(3)
     centres = rng.standard_normal((6, 16))
