@@ -2,7 +2,8 @@
 
 Each distinct vector is a node. A first graph comes from random-projection leaves; each
 round of NN-descent then joins nodes with the neighbours of their neighbours and keeps
-the best. Rounds work on vectors coded in one byte per component; scores that are
+the best. Rounds work on vectors coded in one byte per component, each
+in its own unit; scores that are
 returned are worked out in double precision from the vectors as given.
 """
 
@@ -28,15 +29,18 @@ NEAREST = 20
 POOL = 160  # best nodes that a query holds during its search
 EXPANDED = 24  # nodes that a query looks beyond in a round of its search
 MOST_ROUNDS = 12
+SCALE_BYTES = 8  # of a code: the vector's own unit in double precision, then a byte per component
 STRIDE = 20  # rows whose id this divides are queries
 
 
 # ---- vectors of a task ----------------------------------------------------------------
 
-def matrix(column: pa.Array, kind=np.int8) -> np.ndarray:
-    """Codes of equal length as rows."""
-    data = b"".join(x.as_py() for x in column)
-    return np.frombuffer(data, kind).reshape(len(column), -1) if len(column) else np.zeros((0, 1), kind)
+def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Components of codes of equal length as rows, and what each row is to be multiplied with."""
+    if not len(column):
+        return np.zeros((0, 1), np.float32), np.zeros(0)
+    data = np.frombuffer(b"".join(x.as_py() for x in column), np.int8).reshape(len(column), -1)
+    return data[:, SCALE_BYTES:].astype(np.float32), data[:, :SCALE_BYTES].copy().view(np.float64)[:, 0]
 
 
 def group_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
@@ -61,13 +65,14 @@ def best_in_groups(batches: Iterator[pa.RecordBatch], key: str, keep: int) -> It
     """For each node of a group, its ``keep`` best others in that group: node, other, score."""
     for batch in group_runs(batches, key):
         keys = batch.column(key).to_numpy()
-        nodes, codes = batch.column("node").to_numpy(), matrix(batch.column("code")).astype(np.float32)
+        nodes = batch.column("node").to_numpy()
+        codes, units = matrix(batch.column("code"))
         edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
         out = []
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             if b - a < 2:
                 continue
-            score = codes[a:b] @ codes[a:b].T
+            score = (codes[a:b] @ codes[a:b].T).astype(np.float64) * units[a:b, None] * units[a:b]
             np.fill_diagonal(score, -np.inf)
             n = min(keep, b - a - 1)
             top = np.argpartition(-score, n - 1, axis=1)[:, :n] if n < b - a - 1 else np.argsort(-score, axis=1)[:, :n]
@@ -104,38 +109,42 @@ def distinct_vectors(rows: DataFrame, most: int) -> DataFrame:
     held = rows.withColumn("key", key)
     first = Window.partitionBy("key").orderBy("id")
     top = held.withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= most)
-    scale = F.array_max(F.transform("vector", F.abs))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wide = np.array([x.values.to_numpy() for x in batch.column("vector")]).reshape(batch.num_rows, -1)
-            unit = batch.column("unit").to_numpy()[:, None]
-            codes = np.rint(np.clip(wide / unit * 127, -127, 127)).astype(np.int8)
+            unit = np.abs(wide).max(axis=1, keepdims=True, initial=0.0)
+            codes = np.rint(wide / unit * 127).astype(np.int8)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), batch.column("ids"), batch.column("vector"),
-                 pa.array([c.tobytes() for c in codes], pa.binary())], ["key", "ids", "vector", "code"])
+                 pa.array([u.tobytes() + c.tobytes() for u, c in zip(unit / 127, codes, strict=True)], pa.binary())],
+                ["key", "ids", "vector", "code"])
 
     nodes = top.groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids"), F.first("vector").alias("vector"))
-    unit = nodes.agg(F.max(scale)).first()[0] or 1.0
     kind = rows.schema["id"].dataType.simpleString()
-    return nodes.withColumn("unit", F.lit(float(unit))).mapInArrow(
+    return nodes.mapInArrow(
         code, f"key binary, ids array<{kind}>, vector array<double>, code binary",
     ).withColumn("node", F.monotonically_increasing_id())
 
 
+def heights(column: pa.Array, planes: np.ndarray) -> np.ndarray:
+    codes, units = matrix(column)
+    return (codes @ planes.T).astype(np.float64) * units[:, None]
+
+
 def leaves(nodes: DataFrame, count: int, dims: int) -> DataFrame:
     """leaf, node and code: one leaf per tree, by the sides of random planes."""
     depth = max(0, int(np.ceil(np.log2(max(count, 1) / LEAF))))
     rng = np.random.default_rng(7)
     planes = rng.standard_normal((TREES * depth, dims)).astype(np.float32)
     fit = nodes.orderBy(F.xxhash64("node")).limit(FIT_ROWS).select("code").toArrow()["code"].combine_chunks()
-    middle = np.median(matrix(fit).astype(np.float32) @ planes.T, axis=0) if depth and len(fit) else np.zeros(TREES * depth)
+    middle = np.median(heights(fit, planes), axis=0) if depth and len(fit) else np.zeros(TREES * depth)
     held = nodes.sparkSession.sparkContext.broadcast((planes, middle))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes, middle = held.value
         for batch in batches:
-            side = (matrix(batch.column("code")).astype(np.float32) @ planes.T > middle).astype(np.int64)
+            side = (heights(batch.column("code"), planes) > middle).astype(np.int64)
             powers = 1 << np.arange(depth, dtype=np.int64)
             for t in range(TREES):
                 leaf = side[:, t * depth:(t + 1) * depth] @ powers + (t << 40)
@@ -165,7 +174,7 @@ def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS, k: int = K) -> DataF
     """node, other, score and turn (1: nearest) for the k nearest found of each node."""
     count = nodes.count()
     first = nodes.select(F.length("code")).first()
-    graph = stored(nearest_only(in_groups(leaves(nodes, count, first[0] if first else 1), "leaf", k)
+    graph = stored(nearest_only(in_groups(leaves(nodes, count, first[0] - SCALE_BYTES if first else 1), "leaf", k)
                                 .distinct(), k), "graph")
     for turn in range(rounds):
         # A node's own neighbours and the nodes it is a neighbour of meet at that node.
@@ -198,10 +207,11 @@ def scored(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = matrix(batch.column("a")).astype(np.float32), matrix(batch.column("b")).astype(np.float32)
+            (a, a_unit), (b, b_unit) = matrix(batch.column("a")), matrix(batch.column("b"))
+            score = np.einsum("ij,ij->i", a, b).astype(np.float64) * a_unit * b_unit if len(a) else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("query"), batch.column("node"),
-                 pa.array(np.einsum("ij,ij->i", a, b).astype(np.float64) if len(a) else np.zeros(0))],
+                 pa.array(score)],
                 ["query", "node", "score"])
 
     code = nodes.select("node", F.col("code").alias("b"))

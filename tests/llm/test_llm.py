@@ -313,6 +313,22 @@ def test_neighbours_against_brute_force(spark):
     assert hits >= 0.9 * 20 * len(found)
 
 
+def test_one_very_long_vector_leaves_the_others_apart(spark):
+    rng = np.random.default_rng(5)
+    matrix = rng.standard_normal((400, 16))
+    matrix[7] *= 1e6
+    rows = spark.createDataFrame(list(enumerate(matrix.tolist())), "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.nearest(rows, stride=40).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for query, got in found.items():
+        score = matrix @ matrix[query]
+        score[query] = -np.inf
+        hits += len(set(np.argsort(-score)[:20].tolist()) & got)
+    assert len(found) == 10 and hits >= 0.9 * 200
+
+
 def test_few_vectors(spark):
     rows = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (20, [1.0, 0.0])], "vec_id long, embedding array<float>")
     found = [tuple(r) for r in neighbours.nearest(rows).orderBy("query_id", "rank").collect()]
