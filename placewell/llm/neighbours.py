@@ -9,6 +9,7 @@ returned are worked out in double precision from the vectors as given.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,13 +23,12 @@ from placewell.llm.ragged import spread
 K = 24  # neighbours of a node in the graph
 TREES = 6
 LEAF = 128
-ROUNDS = 4
+SETTLED = 0.01  # share of the edges; the round that changes no more is the last
 SAMPLE = 14  # neighbours, and as many reverse ones, that a node joins in a round
 FIT_ROWS = 4096  # rows at most that the projections' medians are taken from
 NEAREST = 20
 POOL = 160  # best nodes that a query holds during its search
 EXPANDED = 24  # nodes that a query looks beyond in a round of its search
-MOST_ROUNDS = 12
 SCALE_BYTES = 8  # of a code: the vector's own unit in double precision, then a byte per component
 STRIDE = 20  # rows whose id this divides are queries
 
@@ -170,13 +170,13 @@ def nearest_only(edges: DataFrame, k: int) -> DataFrame:
     return edges.withColumn("turn", F.row_number().over(ordered)).where(F.col("turn") <= k)
 
 
-def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS, k: int = K) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, k: int = K) -> DataFrame:
     """node, other, score and turn (1: nearest) for the k nearest found of each node."""
     count = nodes.count()
     first = nodes.select(F.length("code")).first()
     graph = stored(nearest_only(in_groups(leaves(nodes, count, first[0] - SCALE_BYTES if first else 1), "leaf", k)
                                 .distinct(), k), "graph")
-    for turn in range(rounds):
+    for turn in itertools.count():
         # A node's own neighbours and the nodes it is a neighbour of meet at that node.
         back = graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "score")
         order = Window.partitionBy("node").orderBy(F.xxhash64(F.lit(turn), "node", "other"), "other")
@@ -187,8 +187,11 @@ def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS, k: int = K) -> DataF
         met = around.select(F.col("node").alias("centre"), F.col("other").alias("node")).unionByName(
             nodes.select(F.col("node").alias("centre"), "node")).join(nodes.select("node", "code"), "node")
         found = in_groups(met, "centre", k // 2)
-        graph = stored(nearest_only(graph.select("node", "other", "score").unionByName(found).distinct(), k), "graph")
-    return graph
+        before = graph
+        graph = stored(nearest_only(before.select("node", "other", "score").unionByName(found).distinct(), k), "graph")
+        fresh = graph.join(before.select("node", "other"), ["node", "other"], "left_anti").count()
+        if fresh <= SETTLED * graph.count():
+            return graph
 
 
 # ---- search ---------------------------------------------------------------------------
@@ -230,7 +233,7 @@ def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, pool:
     held = stored(queries.join(graph.withColumnRenamed("node", "query"), "query").select(
         "query", F.col("other").alias("node"), "score", F.lit(False).alias("seen")), "pool")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "node")
-    for _ in range(MOST_ROUNDS):
+    while True:  # a node is looked beyond once
         ranked = held.withColumn("open", F.row_number().over(
             Window.partitionBy("query", "seen").orderBy(F.desc("score"), "node")))
         ahead = ranked.where(~F.col("seen") & (F.col("open") <= EXPANDED)).select("query", "node")
