@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placewell.llm import (
-    byte_bpe, html_text, licenses, near_dedup, neighbours, packing, quality_classifier, quality_rules,
-    token_counts, url_filters,
+    byte_bpe, html_text, licenses, near_dedup, neighbours, packing, periodic_runs, quality_classifier,
+    quality_rules, token_counts, url_filters,
 )
 from placewell.llm.oracle import ORACLE
 from placewell.llm.workers import importable
@@ -74,9 +74,15 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.find_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_license_scan, op3_byte_bpe, op4_token_counts, op5_quality_classifier,
-        op6_quality_rules, op7_near_dedup, op8_html_extraction, op9_url_filters, op10_nearest_neighbours)
+        op6_quality_rules, op7_near_dedup, op8_html_extraction, op9_url_filters, op10_nearest_neighbours,
+        op11_periodic_runs)
 }
 __all__ = ["ORACLE", "QUERIES"]
