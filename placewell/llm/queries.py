@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from placewell.llm import (
     byte_bpe, html_text, licenses, near_dedup, neighbours, packing, periodic_runs, quality_classifier,
-    quality_rules, token_counts, url_filters,
+    quality_rules, token_counts, token_links, url_filters,
 )
 from placewell.llm.oracle import ORACLE
 from placewell.llm.workers import importable
@@ -79,10 +79,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.find_runs(docs))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_links.align(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(UNITS), public_tokenizers.path(PIECES), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_license_scan, op3_byte_bpe, op4_token_counts, op5_quality_classifier,
         op6_quality_rules, op7_near_dedup, op8_html_extraction, op9_url_filters, op10_nearest_neighbours,
-        op11_periodic_runs)
+        op11_periodic_runs, op12_token_alignment)
 }
 __all__ = ["ORACLE", "QUERIES"]
