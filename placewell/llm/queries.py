@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from placewell.llm import (
     byte_bpe, html_text, licenses, near_dedup, neighbours, packing, periodic_runs, quality_classifier,
-    quality_rules, token_counts, token_links, url_filters,
+    quality_rules, repeated_spans, token_counts, token_links, url_filters,
 )
 from placewell.llm.oracle import ORACLE
 from placewell.llm.workers import importable
@@ -85,10 +85,18 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_spans.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)")
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_license_scan, op3_byte_bpe, op4_token_counts, op5_quality_classifier,
         op6_quality_rules, op7_near_dedup, op8_html_extraction, op9_url_filters, op10_nearest_neighbours,
-        op11_periodic_runs, op12_token_alignment)
+        op11_periodic_runs, op12_token_alignment, op13_repeated_spans)
 }
 __all__ = ["ORACLE", "QUERIES"]
