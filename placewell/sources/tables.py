@@ -3,35 +3,56 @@
 A table is a folder. Each refresh writes ``data/version=V`` and then commits it by
 writing ``log/version=V``; readers take the newest committed version, in this session or
 in any later one. A job that stops before the commit leaves the old version in place.
-Those still reading the version before keep it until the next refresh.
+Views look the newest version up when they are queried. A version is deleted once it has
+been out of date for a while, so whoever still reads it can finish.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from placewell.functions.ordering import quoted
 
-def replace_table(df: DataFrame, location: str, name: str, keep: int = 2) -> DataFrame:
+VERSION = "v%Y%m%d%H%M%S%f"  # the letter keeps the number a text when Spark infers partition values
+RETAIN = timedelta(days=1)
+
+
+def replace_table(df: DataFrame, location: str, name: str, retain: timedelta = RETAIN) -> DataFrame:
     """Write ``df`` as the new version of the table and return the stored rows.
 
-    One refresh of a table runs at a time: versions older than the ``keep`` newest, and
-    those of jobs that stopped early, are deleted.
+    One refresh of a table runs at a time. Versions that were replaced ``retain`` ago or
+    earlier are deleted, and so are those of jobs that stopped before their commit.
     """
     spark = df.sparkSession
-    # the letter keeps the number a text when Spark infers partition values
-    version = datetime.now(timezone.utc).strftime("v%Y%m%d%H%M%S%f")
+    version = _now().strftime(VERSION)
     home = f"{location}/{name}"
     df.write.parquet(f"{home}/data/version={version}")
     spark.range(0, 1, 1, 1).write.parquet(f"{home}/log/version={version}")
-    kept = _committed(spark, home)[-keep:]
+    remove_old_versions(spark, location, name, retain)
+    return stored_table(spark, location, name)
+
+
+def remove_old_versions(spark: SparkSession, location: str, name: str, retain: timedelta = RETAIN) -> None:
+    """Delete what no reader of the last ``retain`` can have opened.
+
+    That is each version before the last one that had been committed by then; versions
+    that were never committed go with them, but not those that may still be written.
+    """
+    home = f"{location}/{name}"
+    limit = (_now() - retain).strftime(VERSION)
+    committed = _committed(spark, home)
+    then = [v for v in committed if v <= limit]
     for part in ("log", "data"):
         for folder in _folders(spark, f"{home}/{part}"):
-            if folder.removeprefix("version=") not in kept:
+            if then and folder.removeprefix("version=") < then[-1]:
                 _delete(spark, f"{home}/{part}/{folder}")
-    return stored_table(spark, location, name)
+
+
+def _now() -> datetime:
+    return datetime.now(timezone.utc)
 
 
 def stored_table(spark: SparkSession, location: str, name: str) -> DataFrame:
@@ -42,30 +63,45 @@ def stored_table(spark: SparkSession, location: str, name: str) -> DataFrame:
 def open_tables(spark: SparkSession, location: str, database: str | None = None) -> list[str]:
     """Views of all committed tables of a location, in this session or in a database.
 
-    A view stays with the version it was opened on.
+    A view is stored as text and takes the version that is newest when it is queried. Open
+    the tables again when a refresh has changed their columns.
     """
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = [n for n in _folders(spark, location) if _committed(spark, f"{location}/{n}")]
     for name in names:
-        if database:
-            place = _newest(spark, location, name)
-            spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM parquet.`{place}`")
-        else:
-            stored_table(spark, location, name).createOrReplaceTempView(name)
+        columns = [quoted(c) for c in stored_table(spark, location, name).columns]
+        home = qualified(spark, f"{location}/{name}")
+        # Versions of other columns may lie beside the newest; Spark looks at one file, if not told otherwise.
+        plain = set(map(quoted, spark.read.parquet(f"{home}/data").columns)) >= set(columns)
+        merge = "" if plain else "WITH (mergeSchema = true)"
+        create_view(spark, f"{database}.{name}" if database else name, f"""
+            WITH newest AS (SELECT max(version) AS version FROM parquet.`{home}/log`)
+            SELECT {", ".join(columns)} FROM parquet.`{home}/data` {merge}
+            WHERE version = (SELECT version FROM newest)""", database is None)
     return names
 
 
+def create_view(spark: SparkSession, name: str, text: str, temporary: bool) -> None:
+    """A view that is worked out, and whose files are listed, anew in each query."""
+    spark.sql(f"CREATE OR REPLACE {'TEMPORARY ' if temporary else ''}VIEW {name} AS {text}")
+
+
+def qualified(spark: SparkSession, place: str) -> str:
+    """The folder's full name, which does not depend on the session's working folder."""
+    path = _path(spark, place)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _newest(spark: SparkSession, location: str, name: str) -> str:
     versions = _committed(spark, f"{location}/{name}")
     if not versions:
         raise FileNotFoundError(f"no version of {name} is committed in {location}")
-    path = _path(spark, f"{location}/{name}/data/version={versions[-1]}")
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return qualified(spark, f"{location}/{name}/data/version={versions[-1]}")
 
 
 def _committed(spark: SparkSession, home: str) -> list[str]:
-    """Versions whose log entry is complete, oldest first; at most a few are kept."""
+    """Versions whose log entry is complete, oldest first: those of the last ``retain`` or so."""
     try:
         log = spark.read.schema("id bigint, version string").parquet(f"{home}/log")
     except AnalysisException as error:

@@ -2,7 +2,9 @@
 
 import json
 import os
+import re
 import tempfile
+from datetime import datetime, timedelta, timezone
 from types import SimpleNamespace
 
 import pytest
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from placewell.plans.readings import readings_typed
 from placewell.session import scratch_dir
-from placewell.sources import files, ingest, landing
+from placewell.sources import files, ingest, landing, tables
 from placewell.sources.datasets import DATASETS
 from placewell.sources.tables import open_tables, replace_table, stored_table
 
@@ -294,7 +296,22 @@ def test_replace_table(spark, folder):
     for n in (4, 5):
         replace_table(spark.range(n), folder, "t")
     replace_table(spark.range(7), folder, "t__x")
-    assert len(os.listdir(f"{folder}/t/data")) == 2 and stored_table(spark, folder, "t").count() == 5
+    assert first.count() == 3 and stored_table(spark, folder, "t").count() == 5
+
+
+def test_versions_go_when_they_have_been_out_of_date_for_a_while(spark, folder, monkeypatch):
+    start = datetime(2026, 3, 1, tzinfo=timezone.utc)
+    opened = []
+    for hour, kept in ((0, 1), (10, 2), (20, 3), (30, 4), (40, 4), (100, 2)):
+        monkeypatch.setattr(tables, "_now", lambda: start + timedelta(hours=hour))
+        spark.range(9).write.parquet(f"{folder}/t/data/version=v20260228{hour:03d}")  # never committed
+        replace_table(spark.range(hour), folder, "t")
+        opened.append(stored_table(spark, folder, "t"))
+        names = [n for n in os.listdir(f"{folder}/t/log") if n.startswith("version=")]
+        assert len(names) == kept
+        assert stored_table(spark, folder, "t").count() == hour
+    assert opened[-2].count() == 40  # replaced just now
+    assert not [n for n in os.listdir(f"{folder}/t/data") if "20260228" in n]
 
 
 def test_tables_open_as_views(spark, folder, database):
@@ -306,6 +323,26 @@ def test_tables_open_as_views(spark, folder, database):
         stored_table(spark, folder, "other")
 
 
+def test_views_take_the_newest_version_when_they_are_queried(spark, folder, database):
+    replace_table(spark.range(3), folder, "late")
+    open_tables(spark, folder)
+    open_tables(spark, folder, database)
+    for n in (4, 5, 6):
+        replace_table(spark.range(n), folder, "late", retain=timedelta(0))
+        for name in ("late", f"{database}.late"):
+            assert spark.table(name).count() == n
+        assert spark.newSession().table(f"{database}.late").count() == n
+    plan = spark.table("late")
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*version#\d+ = Subquery", text)  # other versions are not read
+    # a refresh with one more column, while the old version is still there
+    replace_table(spark.range(7).withColumn("more", F.lit("x")), folder, "late")
+    assert spark.table("late").count() == 7
+    open_tables(spark, folder)
+    assert spark.table("late").where("more = 'x'").count() == 7
+
+
 def test_a_failed_refresh_leaves_the_table_as_it_was(spark, folder):
     replace_table(spark.range(3), folder, "t")
     with pytest.raises(Exception, match="no good"):
