@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placewell.functions.scalars import (
@@ -10,6 +10,8 @@ from placewell.functions.scalars import (
 )
 from placewell.operators.profiling import newest_first
 from placewell.operators.ranking import latest_per_key
+from placewell.sources.compaction import variants_text
+from placewell.sources.tables import create_view
 
 # Year and zones of the readings.
 READING_YEAR = 2026
@@ -105,10 +107,57 @@ def latest_report(latest: DataFrame) -> DataFrame:
 
 
 def register_views(raw: DataFrame, year: int | None = READING_YEAR) -> None:
-    """The two views over the raw readings.
-
-    They show the batches that were published when ``raw`` was read; call this again after
-    an ingest.
-    """
+    """The two views over rows at hand; ``open_views`` is for stored tables."""
     readings_typed(raw, year).createOrReplaceTempView("readings_final")
     readings_latest(raw, year).createOrReplaceTempView("readings_latest")
+
+
+def open_views(spark: SparkSession, target: str, year: int | None = READING_YEAR,
+               database: str | None = None, names: tuple[str, str] = ("readings_final", "readings_latest")) -> None:
+    """The two views over a stored table of variants, in this session or in a database.
+
+    They are stored as text: each query sees the batches that are published by then,
+    whether these lie in their own folders or in segments.
+    """
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    rows = variants_text(spark, target)
+    for name, text in zip(names, (typed_text(rows, year), latest_text(rows, year)), strict=True):
+        create_view(spark, f"{database}.{name}" if database else name, text, database is None)
+
+
+def fields_text(rows: str, year: int | None) -> str:
+    """``reading_fields`` as SQL over the query ``rows``."""
+    fields = ", ".join(f"try_variant_get(raw_data, '$.{f}', '{dtype}') AS {c}" for c, (f, dtype) in FIELDS.items())
+    pruned = kept = ""
+    if year is not None:
+        pruned = f"WHERE payload_year = '{year}'"
+        kept = (f"AND {INSTANT} >= TIMESTAMP_NTZ '{year:04d}-01-01' "
+                f"AND {INSTANT} < TIMESTAMP_NTZ '{year + 1:04d}-01-01'")
+    return (f"SELECT * FROM (SELECT {fields} FROM ({rows}) {pruned}) "
+            f"WHERE business_id IS NOT NULL AND {INSTANT} IS NOT NULL {kept}")
+
+
+def columns_text(fields: str, *more: str) -> str:
+    """``typed_columns`` as SQL over the query ``fields``."""
+    whole = [f"try_cast(round({c}, 0) AS BIGINT) AS {c}" for c in (
+        "current_speed", "free_flow_speed", "current_travel_time", "free_flow_travel_time")]
+    columns = [
+        "business_id", "try_cast(split_part(coord, ',', 1) AS DOUBLE) AS lat",
+        "try_cast(split_part(coord, ',', 2) AS DOUBLE) AS lon", "city", "road_class", "data_confidence", "is_closed",
+        *whole, "CASE WHEN free_flow_speed <> 0 THEN current_speed / free_flow_speed END AS speed_ratio", *more,
+        f"convert_timezone('{SOURCE_ZONE}', '{LOCAL_ZONE}', {INSTANT}) AS event_time"]
+    return f"SELECT {', '.join(columns)} FROM ({fields})"
+
+
+def typed_text(rows: str, year: int | None = READING_YEAR) -> str:
+    """``readings_typed`` as SQL over the query ``rows``."""
+    return columns_text(fields_text(rows, year), INSTANT)
+
+
+def latest_text(rows: str, year: int | None = READING_YEAR) -> str:
+    """``readings_latest`` as SQL over the query ``rows``."""
+    ties = ", ".join(f"{c} DESC NULLS LAST" for c in FIELDS if c not in ("business_id", INSTANT))
+    ranked = (f"SELECT *, row_number() OVER (PARTITION BY business_id ORDER BY {INSTANT} DESC NULLS FIRST, {ties}) "
+              f"AS rank_in_key FROM ({fields_text(rows, year)})")
+    return columns_text(f"SELECT * FROM ({ranked}) WHERE rank_in_key = 1")

@@ -13,7 +13,10 @@ micro-batch is one batch job over the new files:
 Readers see published batches only. A batch that is run again after a failure
 overwrites its own folders, so each row arrives once. The status of a file is
 ``loaded``, ``no_rows`` (empty), ``skipped`` (with errors) or ``missing`` (replaced or
-removed before it was read).
+removed before it was read); ``first_error`` says what is wrong with a skipped file.
+
+Many small batches are rewritten as few large segments by ``compaction``; a segment
+replaces all batches up to its number at the moment it is entered in ``segment_log``.
 """
 
 from __future__ import annotations
@@ -45,8 +48,11 @@ WIDENING = (
 )
 HISTORY_SCHEMA = (
     "file_name string, file_size bigint, modified_at timestamp, file_rows bigint, "
-    "row_count bigint, status string, last_load_time timestamp, batch_id bigint"
+    "row_count bigint, status string, first_error string, last_load_time timestamp, batch_id bigint"
 )
+SEGMENT_LOG = "low int, high int, committed_at timestamp"
+YEAR = "payload_year"
+BATCH = "batch"
 
 
 def ingest_table(spark: SparkSession, source: str, target: str, schema: T.StructType,
@@ -66,7 +72,7 @@ def ingest_table(spark: SparkSession, source: str, target: str, schema: T.Struct
             F.col("_metadata.file_path").alias(SOURCE_FILE),
         )
 
-    return _run(spark, source, target, pattern, max_files, interval, read, partitions=[])
+    return _run(spark, source, target, pattern, max_files, interval, read, [], schema)
 
 
 def ingest_variant(spark: SparkSession, source: str, target: str, time_field: str,
@@ -87,13 +93,13 @@ def ingest_variant(spark: SparkSession, source: str, target: str, time_field: st
             )
             for df in _by_schema(spark, paths)
         ]).withColumn(
-            "payload_year",
+            YEAR,
             F.substring(F.try_variant_get("raw_data", f"$.{time_field}", "string"), 1, 4),
         )
 
     _pin(spark, target, T.StructType.fromDDL(VARIANT_DDL))
     return _run(
-        spark, source, target, pattern, max_files, interval, read, partitions=["payload_year"])
+        spark, source, target, pattern, max_files, interval, read, [YEAR])
 
 
 def as_variant(df: DataFrame) -> Column:
@@ -102,42 +108,95 @@ def as_variant(df: DataFrame) -> Column:
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
-    """Rows of all published batches, with the table's stored schema.
+    """Rows of all published batches, with the table's stored schema."""
+    rows = published_rows(spark, target)
+    if rows is None:
+        raise FileNotFoundError(f"nothing is loaded in {target}")
+    return rows.drop(BATCH)
+
+
+def published_rows(spark: SparkSession, target: str, after: int = -1) -> DataFrame | None:
+    """Rows of the published batches after a number, with the number of each row's batch.
 
-    Batches run one after the other, so only the newest can be unpublished: a bound on
-    ``batch_id`` prunes it.
+    None if nothing is published. Batches run one after the other, so only the newest can
+    be unpublished: a bound on ``batch_id`` prunes it, as it prunes those that segments
+    hold. The history is read first, then the log, then the folders: what they name is
+    complete by then.
     """
-    last = load_history(spark, target).agg(F.max("batch_id")).first()[0]
+    last = published_upto(spark, target)
+    ends = segment_ends(spark, target)
     if last is None:
-        raise FileNotFoundError(f"nothing is loaded in {target}")
+        return None
+    high = ends[-1] if ends else -1
     pinned = stored_schema(spark, target)
-    reader = spark.read
-    if pinned is not None:  # a table loaded before schemas were stored has none
-        # the partition column of variants comes last; names stand once
-        names = [f for f in pinned.fields if f.name != "payload_year"]
-        parts = [f for f in pinned.fields if f.name == "payload_year"]
-        whole = T.StructType([*names, T.StructField(SOURCE_FILE, T.StringType()),
-                              T.StructField("batch_id", T.IntegerType()), *parts])
-        reader = reader.schema(whole)
+    if pinned is None:  # a table loaded before schemas were stored has none, and no segments
+        data = spark.read.parquet(f"{target}/data").where(
+            (F.col("batch_id") <= last) & (F.col("batch_id") > after))
+        return data.withColumn(BATCH, F.col("batch_id").cast("bigint")).drop("batch_id")
+    # the partition column of variants comes last; names stand once
+    names = [f for f in pinned.fields if f.name != YEAR] + [T.StructField(SOURCE_FILE, T.StringType())]
+    parts = [f for f in pinned.fields if f.name == YEAR]
+    # names are columns here, whatever signs they hold
+    shown = [F.col(quoted(f.name)) for f in names + parts]
+    found = _files(spark, f"{target}/data", [*names, T.StructField("batch_id", T.IntegerType()), *parts])
+    rows = found.where((F.col("batch_id") <= last) & (F.col("batch_id") > max(high, after))).select(
+        *shown, F.col("batch_id").cast("bigint").alias(BATCH))
+    held = [e for e in ends if e > max(after, -1)]
+    if held:
+        whole = [*names, T.StructField(BATCH, T.LongType()), T.StructField("high", T.IntegerType()), *parts]
+        segments = _files(spark, f"{target}/segments", whole).where(F.col("high").isin(held))
+        if after >= 0:
+            segments = segments.where(F.col(BATCH) > after)
+        rows = segments.select(*shown, BATCH).unionByName(rows)
+    return rows
+
+
+def _files(spark: SparkSession, place: str, fields: list[T.StructField]) -> DataFrame:
+    schema = T.StructType(fields)
     try:
-        data = reader.parquet(f"{target}/data")
+        return spark.read.schema(schema).parquet(place)
     except AnalysisException as error:
-        if pinned is None or error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         # every file of every batch was missing
-        return spark.range(0).select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in whole.fields]).drop("batch_id")
-    return data.where(F.col("batch_id") <= last).drop("batch_id")
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
-def load_history(spark: SparkSession, target: str, within: str | None = None) -> DataFrame:
-    """Load history per file, newest first; ``within`` is an interval such as ``14 days``."""
+def published_upto(spark: SparkSession, target: str) -> int | None:
+    """Number of the newest published batch; batches in segments may have no other trace."""
+    newest = _history(spark, f"{target}/history").agg(F.max("batch_id")).first()[0]
+    found = [n for n in (newest, *segment_ends(spark, target)[-1:]) if n is not None and n >= 0]
+    return max(found) if found else None
+
+
+def segment_ends(spark: SparkSession, target: str) -> list[int]:
+    """Last batch of each committed segment, in order; one of -1 holds nothing."""
+    try:
+        log = spark.read.schema(SEGMENT_LOG).parquet(f"{target}/segment_log")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted({r.high for r in log.collect()})
+
+
+def _history(spark: SparkSession, place: str, more: str = "") -> DataFrame:
     try:
-        history = spark.read.schema(HISTORY_SCHEMA).parquet(f"{target}/history")
+        return spark.read.schema(HISTORY_SCHEMA + more).parquet(place)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], HISTORY_SCHEMA)
+        return spark.createDataFrame([], HISTORY_SCHEMA + more)
+
+
+def load_history(spark: SparkSession, target: str, within: str | None = None) -> DataFrame:
+    """Load history per file, newest first; ``within`` is an interval such as ``14 days``."""
+    ends = segment_ends(spark, target)
+    history = _history(spark, f"{target}/history")
+    if ends:
+        old = _history(spark, f"{target}/history_segments", ", high int")
+        history = history.where(F.col("batch_id") > ends[-1]).unionByName(
+            old.where(F.col("high").isin(ends)).drop("high"))
     if within:
         history = history.where(F.col("last_load_time") >= F.expr(f"current_timestamp() - interval {within}"))
     return history.orderBy(F.col("last_load_time").desc_nulls_first(), "file_name")
@@ -194,9 +253,9 @@ def _reader(spark: SparkSession):
 
 def _run(spark: SparkSession, source: str, target: str, pattern: str, max_files: int,
          interval: str | None, read: Callable[[list[str]], DataFrame],
-         partitions: list[str]) -> StreamingQuery:
+         partitions: list[str], schema: T.StructType | None = None) -> StreamingQuery:
     def load(files: DataFrame, batch_id: int) -> None:
-        _load_batch(spark, files, batch_id, target, read, partitions)
+        _load_batch(spark, files, batch_id, target, read, partitions, schema)
 
     query = (
         stream_files(spark, source, pattern, max_files)
@@ -211,7 +270,8 @@ def _run(spark: SparkSession, source: str, target: str, pattern: str, max_files:
 
 
 def _load_batch(spark: SparkSession, files: DataFrame, batch_id: int, target: str,
-                read: Callable[[list[str]], DataFrame], partitions: list[str]) -> None:
+                read: Callable[[list[str]], DataFrame], partitions: list[str],
+                schema: T.StructType | None = None) -> None:
     # one row per file, at most maxFilesPerTrigger of them; so are the counts below
     events = files.collect()
     listed = {e.file_name: e.path for e in events}
@@ -229,13 +289,24 @@ def _load_batch(spark: SparkSession, files: DataFrame, batch_id: int, target: st
     promised = _rows_per_file(
         _reader(spark).schema("_none string").parquet(*paths.values()),
         F.col("_metadata.file_path")) if paths else {}
-    landed = write(read(list(paths.values()))) if paths else {}
+    unfit: set[str] = set()
+    try:
+        landed = write(read(list(paths.values()))) if paths else {}
+    except (PySparkException, Py4JJavaError):
+        # a list or struct where the table has a plain value ends the scan; other misfits do not
+        with ThreadPoolExecutor(16) as pool:
+            found = pool.map(lambda n: misfit(spark, paths[n], schema), paths)
+        unfit = {n for n, reason in zip(paths, found, strict=True) if reason}
+        if not unfit:
+            raise
+        rest = [p for n, p in paths.items() if n not in unfit]
+        landed = write(read(rest)) if rest else {}
     status = {n: "loaded" for n in promised} | {n: "missing" for n in listed if n not in paths}
     # a read that failed once may have been a passing fault; ask again before rejecting
     for name in paths:
         if name not in promised:
             status[name] = _status_without_rows(spark, paths[name])
-        elif landed.get(name, 0) < promised[name] and not _reads_whole(
+        elif name in unfit or landed.get(name, 0) < promised[name] and not _reads_whole(
                 read, paths[name], promised[name]):
             status[name] = "skipped"
     if landed != promised:
@@ -244,15 +315,46 @@ def _load_batch(spark: SparkSession, files: DataFrame, batch_id: int, target: st
     if landed != {n: rows for n, rows in promised.items() if status[n] == "loaded"}:
         raise OSError(f"batch {batch_id}: files changed or became unreadable during the load")
 
+    bad = [n for n in paths if status[n] == "skipped"]
+    with ThreadPoolExecutor(16) as pool:
+        reasons = dict(zip(bad, pool.map(lambda n: first_error(spark, paths[n], schema), bad)))
     spark.createDataFrame(
         [(e.file_name, e.length, e.modificationTime, promised.get(e.file_name, 0),
-          landed.get(e.file_name, 0), status[e.file_name]) for e in events],
+          landed.get(e.file_name, 0), status[e.file_name], reasons.get(e.file_name)) for e in events],
         "file_name string, file_size bigint, modified_at timestamp, file_rows bigint, "
-        "row_count bigint, status string",
+        "row_count bigint, status string, first_error string",
     ).withColumn("last_load_time", F.current_timestamp()).coalesce(1).write.mode(
         "overwrite").parquet(f"{target}/history/batch_id={batch_id}")
 
 
+def first_error(spark: SparkSession, path: str, schema: T.StructType | None) -> str:
+    """Why a file cannot be loaded: its first column of another type, or of damaged blocks."""
+    found = misfit(spark, path, schema)
+    if found:
+        return found
+    for name in spark.read.parquet(path).columns:
+        try:
+            # the JSON length makes the scan read the whole column
+            spark.read.parquet(path).agg(F.sum(F.length(F.to_json(F.struct(quoted(name)))))).collect()
+        except (PySparkException, Py4JJavaError):
+            return f"column {name}: damaged"
+    return "unreadable with the table's schema"
+
+
+def misfit(spark: SparkSession, path: str, schema: T.StructType | None) -> str | None:
+    """What a file's footer says against the table's schema, if anything."""
+    try:
+        own = spark.read.parquet(path).schema
+    except (PySparkException, Py4JJavaError):
+        return "no readable footer"
+    held = {f.name.lower(): f.dataType for f in own.fields}
+    for wanted in schema.fields if schema else ():
+        there = held.get(wanted.name.lower(), wanted.dataType)
+        if wider(wanted.dataType, there) != wider(there, wanted.dataType):
+            return f"column {wanted.name}: {there.simpleString()} instead of {wanted.dataType.simpleString()}"
+    return None
+
+
 def _is_published(spark: SparkSession, target: str, batch_id: int, files: set[str]) -> bool:
     """True if a batch is run again although it had been published."""
     try:

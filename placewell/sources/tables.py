@@ -46,9 +46,9 @@ def remove_old_versions(spark: SparkSession, location: str, name: str, retain: t
     committed = _committed(spark, home)
     then = [v for v in committed if v <= limit]
     for part in ("log", "data"):
-        for folder in _folders(spark, f"{home}/{part}"):
+        for folder in list_folders(spark, f"{home}/{part}"):
             if then and folder.removeprefix("version=") < then[-1]:
-                _delete(spark, f"{home}/{part}/{folder}")
+                delete_folder(spark, f"{home}/{part}/{folder}")
 
 
 def _now() -> datetime:
@@ -68,7 +68,7 @@ def open_tables(spark: SparkSession, location: str, database: str | None = None)
     """
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    names = [n for n in _folders(spark, location) if _committed(spark, f"{location}/{n}")]
+    names = [n for n in list_folders(spark, location) if _committed(spark, f"{location}/{n}")]
     for name in names:
         columns = [quoted(c) for c in stored_table(spark, location, name).columns]
         home = qualified(spark, f"{location}/{name}")
@@ -117,12 +117,13 @@ def _path(spark: SparkSession, name: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
 
 
-def _folders(spark: SparkSession, place: str) -> list[str]:
+def list_folders(spark: SparkSession, place: str) -> list[str]:
+    """Names of the folders in a place; none if there is no such place."""
     path = _path(spark, place)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return sorted(s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()) if files.exists(path) else []
 
 
-def _delete(spark: SparkSession, place: str) -> None:
+def delete_folder(spark: SparkSession, place: str) -> None:
     path = _path(spark, place)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

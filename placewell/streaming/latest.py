@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from placewell.functions.ordering import quoted
 from placewell.operators.ranking import latest_per_key
-from placewell.sources.ingest import HISTORY_SCHEMA
+from placewell.sources.ingest import BATCH, HISTORY_SCHEMA, published_rows, published_upto
 
 
 def latest_state(stream: DataFrame, key: str, ts: str) -> DataFrame:
@@ -47,24 +47,39 @@ def follow_latest(spark: SparkSession, raw: str, target: str, key: str, ts: str,
                   interval: str | None = None) -> StreamingQuery:
     """The same changes, driven by the batches that an ingest publishes in ``raw``.
 
-    The stream is the load history, so a batch is read only when it is complete and
-    checked. The latest row per key of the new batches alone is added; no state is kept.
+    The stream is the load history: a new file in it says that a batch is complete and
+    checked. Which batches are new is told by the number that the last trigger came to,
+    so that it does not matter whether they lie in their own folders or in segments by
+    now. The latest row per key of the new batches alone is added; no state is kept.
     """
     published = spark.readStream.schema(HISTORY_SCHEMA).option(
         "maxFilesPerTrigger", 1000).parquet(f"{raw}/history")
 
     def write(history: DataFrame, batch_id: int) -> None:
-        # numbers of the new batches: one history file each, limited per trigger
-        loaded = history.where("row_count > 0").select("batch_id").distinct()
-        folders = [f"{raw}/data/batch_id={r.batch_id}" for r in loaded.collect()]
-        if folders:
-            rows = spark.read.option("basePath", f"{raw}/data").parquet(*folders)
+        done = _followed(spark, target, batch_id)
+        upto = published_upto(spark, raw)
+        if upto is not None and upto > done:
+            rows = published_rows(spark, raw, done).where(F.col(BATCH) <= upto).drop(BATCH)
             latest_per_key(fields(rows), key, ts).write.mode("overwrite").parquet(
                 f"{target}/changes/batch_id={batch_id}")
+            spark.range(upto, upto + 1, 1, 1).write.mode("overwrite").parquet(
+                f"{target}/followed/trigger={batch_id}")
 
     return _start(published.writeStream, write, target, interval)
 
 
+def _followed(spark: SparkSession, target: str, trigger: int) -> int:
+    """The batch that the triggers before this one came to."""
+    try:
+        log = spark.read.schema("id bigint, trigger int").parquet(f"{target}/followed")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+    found = log.where(F.col("trigger") < trigger).agg(F.max("id")).first()[0]
+    return -1 if found is None else found
+
+
 def _start(writer: DataStreamWriter, write: Callable[[DataFrame, int], None], target: str,
            interval: str | None) -> StreamingQuery:
     return (

@@ -10,9 +10,9 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from placewell.plans.readings import readings_typed
+from placewell.plans.readings import open_views, readings_latest, readings_typed
 from placewell.session import scratch_dir
-from placewell.sources import files, ingest, landing, tables
+from placewell.sources import compaction, files, ingest, landing, tables
 from placewell.sources.datasets import DATASETS
 from placewell.sources.tables import open_tables, replace_table, stored_table
 
@@ -400,3 +400,129 @@ def test_places_land_with_fixed_types(spark, folder):
             out.write(json.dumps({"business_id": name, "stars": stars}))
         landing.land_dataset(spark, "business", f"{folder}/{name}.json", f"{folder}/{name}")
         assert dict(spark.read.parquet(f"{folder}/{name}").dtypes)["stars"] == "double"
+
+
+# --- compaction ------------------------------------------------------------
+
+
+def batches(spark, folder, *numbers, ddl=SCHEMA):
+    for n in numbers:
+        drop(spark, f"{folder}/in/{n:03d}", [(n, "x")], ddl)
+        load(spark, folder, ddl)
+
+
+def names(folder, part):
+    return sorted(n for n in os.listdir(f"{folder}/raw/{part}") if "=" in n)
+
+
+def test_batches_become_a_segment_and_readers_notice_nothing(spark, folder, monkeypatch):
+    target = f"{folder}/raw"
+    batches(spark, folder, *range(5))
+    assert compaction.compact(spark, target, leave=5) is None
+    opened = ingest.read_table(spark, target)
+    before = statuses(spark, folder)
+    assert compaction.compact(spark, target, sort_by=["id"]) == 3
+    assert compaction.vacuum(spark, target) == 0  # too early
+    assert sorted(r.id for r in opened.collect()) == [0, 1, 2, 3, 4]
+    assert load(spark, folder)[-1] == (4, "x") and statuses(spark, folder) == before
+    batches(spark, folder, 5, 6)
+    # a compaction that stops before its commit
+    monkeypatch.setattr(compaction, "_commit", lambda *a: None)
+    assert compaction.compact(spark, target) == 5
+    monkeypatch.undo()
+    batches(spark, folder, 7)
+    assert compaction.compact(spark, target) == 6
+    assert compaction.compact(spark, target) is None
+    assert compaction.vacuum(spark, target, timedelta(0)) > 0
+    assert names(folder, "segments") == ["high=3", "high=6"]
+    assert names(folder, "data") == names(folder, "history") == ["batch_id=7"]
+    assert load(spark, folder) == [(n, "x") for n in range(8)]
+    assert sorted(r.batch_id for r in ingest.load_history(spark, target).collect()) == list(range(8))
+    # a wider type and a new column after all that
+    drop(spark, f"{folder}/in/new", [(2**40, "x", 1.5)], f"{SCHEMA}, more double")
+    ingest.ingest_table(spark, f"{folder}/in", target, schema_of(spark, f"{SCHEMA}, more double"))
+    assert {(r.id, r.more) for r in ingest.read_table(spark, target).collect()} >= {(0, None), (2**40, 1.5)}
+    with pytest.raises(ValueError):
+        compaction.compact(spark, target, leave=0)
+    with pytest.raises(ValueError):
+        compaction.compact(spark, f"{folder}/none")
+
+
+def test_many_small_batches_become_few_files(spark, folder):
+    for n in range(12):
+        spark.createDataFrame([(n, "x")], SCHEMA).coalesce(1).write.parquet(f"{folder}/in/{n:03d}")
+    load(spark, folder, max_files=1)
+    target = f"{folder}/raw"
+    assert len(names(folder, "data")) == 12
+    opened = ingest.read_table(spark, target)
+    assert compaction.compact(spark, target) == 10
+    assert opened.count() == 12
+    compaction.vacuum(spark, target, timedelta(0))
+    files_ = [f for _, _, found in os.walk(target) for f in found if f.endswith(".parquet") and "checkpoint" not in f]
+    assert len(files_) < 12
+    assert load(spark, folder) == [(n, "x") for n in range(12)]
+
+
+def test_segments_without_rows(spark, folder):
+    os.makedirs(f"{folder}/in")
+    for n in range(3):
+        with open(f"{folder}/in/{n}.parquet", "w") as out:
+            out.write("no parquet")
+        load(spark, folder)
+    target = f"{folder}/raw"
+    assert compaction.compact(spark, target) == 1
+    compaction.vacuum(spark, target, timedelta(0))
+    assert load(spark, folder) == [] and len(statuses(spark, folder)) == 3
+
+
+def test_views_see_batches_that_come_later(spark, folder, database):
+    target = f"{folder}/raw"
+
+    def reading(n, year=2026):
+        drop(spark, f"{folder}/in/{n}", [(f"p{n % 2}", f"{year}-03-06T21:0{n}:00", float(n), "1.5,x")],
+             "BUSINESS_ID string, timestamp string, currentSpeed double, coord string")
+        ingest.ingest_variant(spark, f"{folder}/in", target, "timestamp")
+
+    reading(0)
+    views = [f"late_{n}_{database}" for n in ("final", "latest")]
+    open_views(spark, target, names=views)
+    open_views(spark, target, database=database)
+    both = [views, [f"{database}.{n}" for n in ("readings_final", "readings_latest")]]
+    for step in range(1, 6):
+        reading(step, 2025 if step == 4 else 2026)
+        if step == 2:
+            compaction.compact(spark, target)
+        if step == 5:
+            compaction.compact(spark, target)
+            compaction.vacuum(spark, target, timedelta(0))
+        raw = ingest.read_table(spark, target)
+        for final, latest in both:
+            for view, frame in ((final, readings_typed(raw)), (latest, readings_latest(raw))):
+                shown = spark.newSession().table(view) if "." in view else spark.table(view)
+                assert shown.dtypes == frame.dtypes
+                assert sorted(map(tuple, shown.collect()), key=str) == sorted(map(tuple, frame.collect()), key=str)
+    assert spark.table(views[0]).count() == 5 and spark.table(views[1]).count() == 2
+    # a batch that is being written is not seen
+    reading(6)
+    assert spark.table(views[0]).count() == 6
+    os.rename(f"{target}/history/batch_id=6", f"{folder}/hidden")
+    assert spark.table(views[0]).count() == 5
+    found = spark.table(views[0])
+    found.collect()
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*batch_id#\d+ > .*ubquery", text)
+    assert "ReadSchema: struct<raw_data:struct<" in text  # the fields, not the variant
+
+
+def test_the_reason_is_kept_for_each_rejected_file(spark, folder):
+    drop(spark, f"{folder}/in/a", [(1, "x")])
+    drop(spark, f"{folder}/in/b", [("1", "x")], "ID string, name string")
+    drop(spark, f"{folder}/in/c", [(1, [5])], "id bigint, name array<int>")
+    with open(f"{folder}/in/d.parquet", "w") as out:
+        out.write("no parquet")
+    load(spark, folder)
+    found = {r.file_name.split("/in/")[1][0]: (r.status, r.first_error)
+             for r in ingest.load_history(spark, f"{folder}/raw").collect()}
+    assert found == {
+        "a": ("loaded", None), "b": ("skipped", "column id: string instead of bigint"),
+        "c": ("skipped", "column name: array<int> instead of string"), "d": ("skipped", "no readable footer")}
