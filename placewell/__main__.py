@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import argparse
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 
 from placewell.operators.joins import attach_key, point_keys
 from placewell.plans import checks
+from placewell.plans.places import regional_top_with_latest
 from placewell.plans.readings import (
     INSTANT, READING_YEAR, latest_report, reading_fields, readings_latest,
 )
 from placewell.plans.refresh import refresh
 from placewell.session import build_session
+from placewell.sources.compaction import compact, vacuum
 from placewell.sources.datasets import DATASETS
 from placewell.sources.ingest import ingest_table, ingest_variant, load_history, read_table
 from placewell.sources.landing import (
@@ -22,13 +25,21 @@ from placewell.sources.tables import stored_table
 from placewell.streaming.latest import fold_changes, follow_latest
 
 
+PRINTED = 1_000  # rows at most; longer results need a folder
+
+
 def deliver(result: DataFrame, output: str | None) -> None:
-    """The whole result: to a Parquet folder if one is named, else printed."""
+    """The whole result: to a Parquet folder if one is named, else printed, if it is short."""
     if output:
         result.write.mode("overwrite").parquet(output)
         print(f"written to {output}: {result.sparkSession.read.parquet(output).count()} rows")
-    else:
-        result.show(result.count(), truncate=False)
+        return
+    head = result.limit(PRINTED + 1).collect()
+    if len(head) > PRINTED:
+        raise SystemExit(f"more than {PRINTED} rows: name a folder for them with --output")
+    print("\t".join(result.columns))
+    for row in head:
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -59,11 +70,18 @@ def parser() -> argparse.ArgumentParser:
     clean.add_argument("--checkin-lists", action="store_true", help="also the table of lists")
     job("check", "null profiles, row counts and monthly trend", "places", "reviews").add_argument(
         "--location", required=True, help="folder of the clean tables")
+    top_places = job("top", "best places of the region with their latest reading", "raw")
+    top_places.add_argument("--location", required=True, help="folder of the clean tables")
+    top_places.add_argument("--year", type=int, default=READING_YEAR)
+    small = job("compact", "rewrite published batches of a raw table as few large files", "target")
+    small.add_argument("--leave", type=int, default=1, help="newest batches that stay as they are")
+    small.add_argument("--sort-by", action="append", default=[], metavar="COLUMN")
+    small.add_argument("--retain-hours", type=float, default=24, help="age at which replaced folders are deleted")
     job("fold", "fold the changes that watch has written", "target")
     report = job("latest", "latest reading per place", "raw")
     report.add_argument("--year", type=int, default=READING_YEAR)
-    for name in ("history", "check", "latest"):
-        jobs.choices[name].add_argument("--output", help="folder for the result; without it all rows are printed")
+    for name in ("history", "check", "latest", "top"):
+        jobs.choices[name].add_argument("--output", help=f"folder for the result; without it up to {PRINTED} rows are printed")
     stream = job("watch", "keep the latest reading per place from arriving raw files", "raw", "target")
     stream.add_argument("--year", type=int, default=READING_YEAR)
     stream.add_argument("--interval", help="such as '20 minutes'; without it the job ends when done")
@@ -103,6 +121,14 @@ def main(argv: list[str] | None = None) -> None:
             deliver(result, args.output and f"{args.output}/{number:02d}")
     elif args.job == "latest":
         deliver(latest_report(readings_latest(read_table(spark, args.raw), args.year)), args.output)
+    elif args.job == "top":
+        clean = stored_table(spark, args.location, "entity_clean")
+        deliver(regional_top_with_latest(clean, read_table(spark, args.raw), args.year).orderBy(
+            "primary_category", "rank_in_category"), args.output)
+    elif args.job == "compact":
+        done = compact(spark, args.target, args.leave, sort_by=args.sort_by)
+        gone = vacuum(spark, args.target, timedelta(hours=args.retain_hours))
+        print(f"segment up to batch {done}" if done is not None else "too few batches", f"{gone} folders deleted", sep=", ")
     elif args.job == "fold":
         fold_changes(spark, args.target, "business_id", INSTANT)
     elif args.job == "watch":

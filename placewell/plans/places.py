@@ -25,6 +25,7 @@ REGION_CLASSES = (
     "Home Services",
 )
 REGION_TOP = 5
+DRIVER_ROWS = 1_000  # so many ranked places at most are held by the driver
 
 
 def entity_clean(raw: DataFrame, rules: Rules = PLACE_RULES) -> DataFrame:
@@ -78,11 +79,18 @@ def regional_top_with_latest(clean: DataFrame, raw_readings: DataFrame, year: in
                              **region) -> DataFrame:
     """The best places of a region with their latest reading, where there is one.
 
-    The readings are cut to the few wanted places before any is ranked. The number of
-    classes bounds the places, so they are broadcast if that bound allows it.
+    The number of classes bounds the places. Up to DRIVER_ROWS of them are worked out first,
+    and their keys go into the scan of the readings as a filter; beyond that the readings
+    are cut to the wanted places by a join before any is ranked.
     """
     best = regional_top(clean, classes=classes, n=n, **region)
     rows = n * len(classes)
-    mine = only_keys_of(reading_fields(raw_readings, year), best, "business_id", rows)
+    fields = reading_fields(raw_readings, year)
+    if rows <= DRIVER_ROWS:
+        held = best.collect()
+        best = best.sparkSession.createDataFrame(held, best.schema)
+        mine = fields.where(F.col("business_id").isin([r.business_id for r in held]))
+    else:
+        mine = only_keys_of(fields, best, "business_id", rows)
     latest = typed_columns(latest_per_key(mine, "business_id", INSTANT)).drop(INSTANT, "city")
     return attach_latest(best, latest, "business_id", rows)

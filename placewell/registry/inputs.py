@@ -105,18 +105,26 @@ PAYLOAD_COLUMNS = {
 }
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stored raw table with one variant per event."""
+def reading_records(spark: SparkSession, sf_dir: str, of_places: bool = False) -> DataFrame:
+    """One reading per event, of its user, or of the place with the event's number."""
     k = F.get_json_object("props", "$.k").cast("bigint")
-    payload = [F.expr(e).alias(c) for c, e in PAYLOAD_COLUMNS.items()]
+    events = table(spark, sf_dir, "events")
+    columns = dict(PAYLOAD_COLUMNS)
+    if of_places:
+        events = events.join(table(spark, sf_dir, "part"), F.col("event_id") == F.col("p_partkey"), "left")
+        columns["BUSINESS_ID"] = PLACE_COLUMNS["business_id"]
+    return events.select(
+        *[F.expr(e).alias(c) for c, e in columns.items()],
+        k.alias("freeFlowSpeed"),
+        F.when(F.col("event_type") == "click", F.col("value").cast("string"))
+        .otherwise(F.concat_ws(",", "value", "event_id")).alias("coord"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+    )
+
+
+def readings(spark: SparkSession, sf_dir: str, of_places: bool = False) -> DataFrame:
+    """A stored raw table with one variant per event."""
     raw = scratch_dir(spark, "readings")
-    table(spark, sf_dir, "events").select(
-        F.to_variant_object(F.struct(
-            *payload,
-            k.alias("freeFlowSpeed"),
-            F.when(F.col("event_type") == "click", F.col("value").cast("string"))
-            .otherwise(F.concat_ws(",", "value", "event_id")).alias("coord"),
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        )).alias("raw_data"),
-    ).write.parquet(raw)
+    reading_records(spark, sf_dir, of_places).select(
+        F.to_variant_object(F.struct("*")).alias("raw_data")).write.parquet(raw)
     return spark.read.parquet(raw)

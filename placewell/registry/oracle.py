@@ -89,7 +89,8 @@ CHECKIN_EVENTS = f"""
           WHERE trim(entry, ' ') <> '')
 """
 
-READINGS = f"""
+def _readings(key: str, events: str) -> str:
+    return f"""
     SELECT BUSINESS_ID AS business_id, value AS lat,
            CASE WHEN frc <> 'click' THEN CAST(event_id AS DOUBLE) END AS lon,
            city, frc AS road_class, confidence AS data_confidence, roadClosure AS is_closed,
@@ -99,17 +100,24 @@ READINGS = f"""
            currentSpeed / nullif(CAST(k AS DOUBLE), 0) AS speed_ratio,
            ts AS event_time_utc,
            (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS event_time
-    FROM (SELECT {_select(PAYLOAD_COLUMNS)}, {K} AS k, value, event_id, ts FROM events)
+    FROM (SELECT {_select(PAYLOAD_COLUMNS | {"BUSINESS_ID": key})}, {K} AS k, value, event_id, ts FROM {events})
     WHERE BUSINESS_ID IS NOT NULL AND strftime(ts, '%Y-%m-%d') LIKE '2024-%'
 """
 
-READINGS_LATEST = f"""
+
+def _latest(readings: str) -> str:
+    return f"""
     SELECT * EXCLUDE (event_time_utc, pick)
     FROM (SELECT *, row_number() OVER (PARTITION BY business_id
-                                       ORDER BY event_time_utc DESC) AS pick FROM ({READINGS}))
+                                       ORDER BY event_time_utc DESC) AS pick FROM ({readings}))
     WHERE pick = 1
 """
 
+
+READINGS = _readings(PAYLOAD_COLUMNS["BUSINESS_ID"], "events")
+READINGS_LATEST = _latest(READINGS)
+PLACE_LATEST = _latest(_readings(PLACE_COLUMNS["business_id"], "events LEFT JOIN part ON event_id = p_partkey"))
+
 LATEST_EVENT = """
     SELECT * EXCLUDE (pick)
     FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST) AS pick
@@ -122,6 +130,11 @@ ORACLE = {
     "json_schema_ingest": """
         SELECT event_id, user_id, event_type, value,
                strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS date, ts AS date_ts FROM events""",
+    "json_rescued_fields": """
+        SELECT event_id, event_type, CASE WHEN event_type = 'click' THEN user_id END AS user_id,
+               CASE WHEN event_type = 'error' THEN value END AS code,
+               (event_type = 'click' AND user_id IS NOT NULL) OR (event_type = 'error' AND value IS NOT NULL) AS has_rest
+        FROM events""",
     "parquet_overwrite": "SELECT * FROM orders",
     "land_nested_json": f"""
         SELECT CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
@@ -146,6 +159,13 @@ ORACLE = {
     "load_history": """
         SELECT event_type AS kind, 'loaded' AS status, count(*) AS row_count,
                count(*) AS file_rows FROM events GROUP BY event_type""",
+    "ingest_first_error": """
+        SELECT 'good' AS kind, 'loaded' AS status, CAST(NULL AS VARCHAR) AS first_error, count(*) AS row_count
+        FROM customer
+        UNION ALL SELECT 'wrong_type', 'skipped', 'column c_acctbal: string instead of double', 0
+        UNION ALL SELECT 'nested', 'skipped', 'column c_name: array<string> instead of string', 0
+        UNION ALL SELECT 'not_parquet', 'skipped', 'no readable footer', 0""",
+    "ingest_compacted": "SELECT * FROM events",
     "variant_landing": f"""
         SELECT event_id, value, event_type, ts, {K} AS k,
                CAST(year(ts) AS INTEGER) AS payload_year FROM events""",
@@ -266,6 +286,9 @@ ORACLE = {
                   ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC) AS pick FROM orders)
               WHERE pick = 1) o
           ON b.c_custkey = o.o_custkey""",
+    "regional_top_live": f"""
+        SELECT best.*, latest.* EXCLUDE (business_id, city)
+        FROM ({REGIONAL}) best LEFT JOIN ({PLACE_LATEST}) latest USING (business_id)""",
     "entity_clean": ENTITY,
     "regional_top_entities": REGIONAL,
     "review_clean": REVIEW,
@@ -277,6 +300,7 @@ ORACLE = {
     "checkin_events": CHECKIN_EVENTS,
     "readings_typed": READINGS,
     "readings_latest": READINGS_LATEST,
+    "readings_late_view": READINGS_LATEST,
     "latest_report": f"""
         SELECT business_id, current_speed,
                -- through the text form, so that the value is rounded once, as a decimal

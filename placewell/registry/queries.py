@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,7 @@ from placewell.plans import checkins, checks, places, readings, refresh, reviews
 from placewell.registry import inputs
 from placewell.registry.inputs import TABLES, labelled_documents, table
 from placewell.session import scratch_dir
-from placewell.sources import files, ingest, landing
+from placewell.sources import compaction, files, ingest, landing
 from placewell.streaming import latest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +56,23 @@ def json_schema_ingest(spark, sf_dir):
     )
 
 
+@query
+def json_rescued_fields(spark, sf_dir):
+    """Fields that the declared columns do not have, from beside them."""
+    raw = scratch_dir(spark, "json")
+    table(spark, sf_dir, "events").select(
+        "event_id", F.struct("event_type", F.when(F.col("event_type") == "error", F.col("value")).alias("code")).alias("detail"),
+        F.when(F.col("event_type") == "click", F.col("user_id")).alias("user"),
+    ).write.json(raw)
+    landed = landing.read_json_lines(
+        spark, raw, "event_id BIGINT, detail STRUCT<event_type: STRING>", rescue="rest")
+    return landed.select(
+        "event_id", F.col("detail.event_type").alias("event_type"),
+        F.try_variant_get("rest", "$.user", "bigint").alias("user_id"),
+        F.try_variant_get("rest", "$['detail.code']", "double").alias("code"),
+        F.col("rest").isNotNull().alias("has_rest"))
+
+
 @query
 def parquet_overwrite(spark, sf_dir):
     target = scratch_dir(spark, "orders")
@@ -172,6 +191,36 @@ def load_history(spark, sf_dir):
     ).agg(F.sum("row_count").alias("row_count"), F.sum("file_rows").alias("file_rows"))
 
 
+@query
+def ingest_first_error(spark, sf_dir):
+    """What is wrong with the files of each drop, from the load history."""
+    root = scratch_dir(spark, "ingest")
+    customer = table(spark, sf_dir, "customer")
+    customer.write.parquet(f"{root}/drops/good")
+    customer.withColumn("c_acctbal", F.col("c_name")).write.parquet(f"{root}/drops/wrong_type")
+    customer.withColumn("c_name", F.array("c_name")).write.parquet(f"{root}/drops/nested")
+    customer.select("c_name").write.text(f"{root}/drops/not_parquet")
+    ingest.ingest_table(spark, f"{root}/drops", f"{root}/raw", customer.schema, "part-*")
+    return ingest.load_history(spark, f"{root}/raw").groupBy(
+        F.regexp_extract("file_name", "/drops/([^/]+)/", 1).alias("kind"), "status", "first_error"
+    ).agg(F.sum("row_count").alias("row_count"))
+
+
+@query
+def ingest_compacted(spark, sf_dir):
+    """Batches before, in and after a segment, when their own folders are gone."""
+    root = scratch_dir(spark, "ingest")
+    events = table(spark, sf_dir, "events")
+    views, rest = _halves(events, "event_type = 'view'")
+    clicks, rest = _halves(rest, "event_type = 'click'")
+    for drop, rows in (("a", views), ("b", clicks), ("c", rest)):
+        rows.write.parquet(f"{root}/drops/{drop}")
+        ingest.ingest_table(spark, f"{root}/drops", f"{root}/raw", events.schema)
+    compaction.compact(spark, f"{root}/raw", sort_by=["user_id"])
+    compaction.vacuum(spark, f"{root}/raw", timedelta(0))
+    return ingest.read_table(spark, f"{root}/raw").select(events.columns)
+
+
 @query
 def variant_landing(spark, sf_dir):
     root = scratch_dir(spark, "ingest")
@@ -420,6 +469,13 @@ def top_n_with_latest(spark, sf_dir):
         best, ranking.latest_per_key(mine, "custkey", "o_orderdate"), "custkey")
 
 
+@query
+def regional_top_live(spark, sf_dir):
+    """The best places of the region with their latest reading."""
+    clean = places.entity_clean(inputs.places(spark, sf_dir))
+    return places.regional_top_with_latest(clean, inputs.readings(spark, sf_dir, of_places=True), year=2024)
+
+
 # --- whole transforms ------------------------------------------------------
 
 
@@ -460,6 +516,21 @@ def readings_latest(spark, sf_dir):
     return readings.readings_latest(inputs.readings(spark, sf_dir), year=2024)
 
 
+@query
+def readings_late_view(spark, sf_dir):
+    """The latest readings by a view that was opened before the second load and its compaction."""
+    root = scratch_dir(spark, "views")
+    early, late = _halves(inputs.reading_records(spark, sf_dir), "timestamp < '2024-01-16'")
+    names = [f"{n}_{uuid.uuid4().hex}" for n in ("final", "latest")]
+    for drop, rows in (("a", early), ("b", late)):
+        rows.write.parquet(f"{root}/drops/{drop}")
+        ingest.ingest_variant(spark, f"{root}/drops", f"{root}/raw", "timestamp")
+        if drop == "a":
+            readings.open_views(spark, f"{root}/raw", 2024, names=names)
+    compaction.compact(spark, f"{root}/raw", least=1)
+    return spark.table(names[1])
+
+
 @query
 def latest_report(spark, sf_dir):
     return readings.latest_report(readings_latest(spark, sf_dir))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,24 +14,56 @@ from placewell.sources.datasets import DATASETS
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                     timestamps: Mapping[str, str] | None = None,
-                    sampling_ratio: float | None = None) -> DataFrame:
+                    sampling_ratio: float | None = None, rescue: str | None = None) -> DataFrame:
     """Scan JSON lines with a declared or an inferred schema.
 
-    Inference reads the input once more; ``sampling_ratio`` below 1 shortens that pass
-    for inputs whose fields are known to occur everywhere. With a declared schema a
-    value of the wrong type becomes NULL and a bad line a row of NULLs.
+    Inference reads the input once more; ``sampling_ratio`` below 1 shortens that pass.
+    Fields that are only outside the sample get no column then; ``rescue`` names a column
+    that keeps them (see ``other_fields``). With a declared schema a value of the wrong
+    type becomes NULL and a bad line a row of NULLs.
     """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     elif sampling_ratio is not None:
         reader = reader.option("samplingRatio", sampling_ratio)
-    df = reader.json(path)
+    if rescue:
+        known = schema if isinstance(schema, T.StructType) else (
+            T.StructType.fromDDL(schema) if schema else reader.json(path).schema)
+        lines = spark.read.text(path).where(F.trim("value") != "")
+        df = lines.select(F.from_json("value", known).alias("known"),
+                          other_fields(F.col("value"), known).alias("rest")).select(
+            "known.*", F.col("rest").alias(rescue))
+    else:
+        df = reader.json(path)
     for text, name in (timestamps or {}).items():
         df = df.withColumn(name, parse_timestamp(F.col(text)))
     return df
 
 
+def other_fields(text: Column, known: T.StructType) -> Column:
+    """A variant object of the fields that ``known`` does not have; NULL if there are none.
+
+    Fields inside known structs count, under dotted names. A value that is null counts as
+    a field.
+    """
+    kind = "map<string,variant>"
+    nothing = F.from_json(F.lit("{}"), kind)
+
+    def unknown(part: Column, struct: T.StructType, path: str) -> list[Column]:
+        names = F.array(*[F.lit(n) for n in struct.names]).cast("array<string>")
+        found = F.map_filter(F.from_json(part, kind), lambda k, _: ~F.array_contains(names, k))
+        out = [F.coalesce(F.transform_keys(found, lambda k, _: F.concat(F.lit(path), k)), nothing)]
+        for field in struct.fields:
+            if isinstance(field.dataType, T.StructType) and "'" not in field.name:
+                inner = F.get_json_object(part, f"$['{field.name}']")
+                out += unknown(inner, field.dataType, f"{path}{field.name}.")
+        return out
+
+    found = F.map_concat(*unknown(text, known, ""))
+    return F.when(F.size(found) > 0, F.to_variant_object(found))
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet sink; a rerun replaces the previous output."""
     df.write.mode(mode).parquet(path)

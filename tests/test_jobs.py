@@ -7,9 +7,10 @@ import sys
 
 import pytest
 
-from placewell.__main__ import main, parser
+from placewell.__main__ import PRINTED, deliver, main, parser
+from placewell.plans.places import entity_clean
 from placewell.plans.readings import INSTANT
-from placewell.sources.tables import stored_table
+from placewell.sources.tables import replace_table, stored_table
 from placewell.streaming.latest import read_latest_state
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -40,7 +41,7 @@ def test_batch_jobs(spark, folder, capsys):
     main(["land", f"{folder}/review.json", f"{folder}/landed/review", "--dataset", "review"])
     main(["ingest", f"{folder}/landed/review", f"{folder}/raw/review", "--dataset", "review"])
     main(["history", f"{folder}/raw/review"])
-    assert capsys.readouterr().out.count("|loaded|") == 2
+    assert capsys.readouterr().out.count("\tloaded\t") == 2
     main(["refresh", *[f"{folder}/raw/{n}" for n in inputs],
           "--location", f"{folder}/clean", "--checkin-lists"])
     counts = {t: stored_table(spark, f"{folder}/clean", t).count()
@@ -68,10 +69,28 @@ def test_reading_jobs(spark, folder, capsys):
     main(["fold", f"{folder}/state"])
     main(["latest", f"{folder}/raw"])
     assert "p1" in capsys.readouterr().out
+    place = {"business_id": "p1", "name": "A", "address": "x", "city": "Philadelphia", "state": "PA", "postal_code": "1",
+             "latitude": 1.0, "longitude": 2.0, "stars": 4.5, "review_count": 3, "is_open": 1, "categories": "Pizza",
+             "attributes": "", "hours": ""}
+    replace_table(entity_clean(spark.createDataFrame([place])), f"{folder}/clean", "entity_clean")
+    main(["top", f"{folder}/raw", "--location", f"{folder}/clean"])
+    shown = capsys.readouterr().out
+    assert "p1\tA\tx" in shown and "\t30\t40\t" in shown
+    main(["compact", f"{folder}/raw"])
+    assert "too few batches, 0 folders" in capsys.readouterr().out
     state = read_latest_state(spark, f"{folder}/state", "business_id", INSTANT)
     assert {(r.business_id, r.current_speed) for r in state.collect()} == {("p1", 30.0), ("p2", 20.0)}
 
 
+def test_long_results_need_a_folder(spark, folder, capsys):
+    with pytest.raises(SystemExit, match="--output"):
+        deliver(spark.range(PRINTED + 1), None)
+    deliver(spark.range(PRINTED), None)
+    assert capsys.readouterr().out.count("\n") == PRINTED + 1
+    deliver(spark.range(PRINTED + 1), f"{folder}/out")
+    assert f"{PRINTED + 1} rows" in capsys.readouterr().out
+
+
 @pytest.mark.parametrize("arguments", [[], ["land", "a", "b"], ["land", "a", "b", "--dataset", "x"]])
 def test_wrong_arguments(arguments):
     with pytest.raises(SystemExit):

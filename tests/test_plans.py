@@ -6,6 +6,7 @@ import pytest
 
 from placewell.registry.queries import QUERIES
 from placewell.operators import joins
+from placewell.plans import places
 from placewell.plans.readings import readings_typed
 from placewell.registry import inputs
 from placewell.sources import ingest
@@ -73,6 +74,13 @@ def test_variant_fields_are_read_by_the_scan(spark):
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(raw_data", text)
 
 
+def test_keys_of_ranked_places_reach_the_scan_of_readings(spark):
+    clean = places.entity_clean(inputs.places(spark, SF_DIR))
+    text = plan(places.regional_top_with_latest(clean, inputs.readings(spark, SF_DIR, of_places=True), 2024))
+    assert re.search(r"PushedFilters: \[[^]]*In\(raw_data\S* ?\[", text) or "In(raw_data" in text
+    assert text.count("Scan parquet") == 1 or text.count("FileScan parquet") == 1  # places were ranked before
+
+
 def test_a_year_of_raw_readings_opens_its_own_files(spark, folder):
     for year in (2025, 2026):
         spark.createDataFrame(

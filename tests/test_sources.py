@@ -87,6 +87,19 @@ def polls(spark, folder, *responses):
     return landing.read_json_lines(spark, source, timestamps={"polled_at": "polled_at"})
 
 
+def test_fields_outside_the_sample_are_kept_beside_the_columns(spark, folder):
+    rare = {"id": 7, "s": {"a": 1, "new": {"x": [1, None]}}, "odd 'name'": None, "more": "y"}
+    source = lines(folder, "in.json", *([{"id": n, "s": {"a": n}} for n in range(10_000)]), rare, "{bad", "", {"id": "text"})
+    df = landing.read_json_lines(spark, source, sampling_ratio=0.01, rescue="rest")
+    assert df.drop("_corrupt_record").dtypes == [("id", "bigint"), ("s", "struct<a:bigint>"), ("rest", "variant")]
+    found = df.where("rest IS NOT NULL").select("id", "s.a", F.to_json("rest").alias("rest")).collect()
+    assert [(r.id, r.a, json.loads(r.rest)) for r in found] == [
+        (7, 1, {"s.new": {"x": [1, None]}, "odd 'name'": None, "more": "y"})]
+    assert df.count() == 10_003
+    same = landing.read_json_lines(spark, source, "id BIGINT, s STRUCT<a: BIGINT>")
+    assert df.select("id", "s").exceptAll(same).isEmpty() and same.count() == 10_003
+
+
 def test_land_readings_flattens_and_keeps_failed_polls(spark, folder):
     frame = polls(
         spark, folder,
