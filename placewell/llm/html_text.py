@@ -3,13 +3,20 @@
 Paragraphs pass points for length and commas to their ancestors, fewer with each level;
 a container's points are discounted by the share of its text that lies in links. The
 best container is kept with those of its siblings that read like text.
+
+Elements that never hold an article are left out by their kind. A class or id that
+speaks of something else counts against an element, but does not decide: what holds an
+article element or most of the page's points stays. Articles inside an article are
+comments if that has a text of its own.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,9 +40,9 @@ PARAGRAPHS = frozenset("p li dd td th pre blockquote div section article main bo
 NEVER_BY_NAME = frozenset("html body main".split())
 BOILERPLATE = frozenset("""nav navbar navigation menu sidebar footer header masthead breadcrumb breadcrumbs ad ads
     advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice
-    popup modal overlay newsletter subscribe subscription signup share sharing social comment comments discussion
-    disqus replies reply respond related recommended recommendations pagination pager skip login toolbar copyright
-    legal disclaimer alert widget""".split())
+    popup modal overlay newsletter subscribe subscription signup share sharing social related recommended
+    recommendations pagination pager skip login toolbar copyright legal disclaimer alert widget""".split())
+REMARKS = frozenset("comment comments discussion disqus replies reply respond".split())
 ROLES = frozenset("""navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar
     toolbar""".split())
 # An open element that a starting one closes, and where the search for it stops.
@@ -46,55 +53,119 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 SCOPES = frozenset("table td th caption html button object".split())
+SCOPED = frozenset("p li b i a span em strong".split())  # their end tags do not reach beyond a scope
+MOST = 0.5  # of the page's points: what holds so many is no boilerplate, whatever its name
+LEVELS = 40  # that points are passed up; beyond them a share is nothing
+KEPT, NAMED, REMARK, DROPPED_BY_KIND = range(4)
 
 
 class Node:
-    __slots__ = ("name", "up", "parts", "points", "size", "linked", "dropped")
+    """``closes``: the outermost open element that a starting one of each kind closes here."""
+
+    __slots__ = ("name", "up", "parts", "points", "size", "linked", "dropped", "doubt", "open_p", "closes", "inside",
+                 "articles")
 
-    def __init__(self, name: str, up: Node | None, dropped: bool) -> None:
-        self.name, self.up, self.dropped = name, up, dropped
+    def __init__(self, name: str, up: Node | None, doubt: int) -> None:
+        self.name, self.up, self.doubt = name, up, doubt
+        self.dropped = doubt == DROPPED_BY_KIND or up is not None and up.dropped
         self.parts: list = []
         self.points = 0.0
-        self.size = self.linked = 0
+        self.size = self.linked = self.articles = 0
+        self.open_p = self if name == "p" else None if up is None or name in SCOPES else up.open_p
+        self.inside = (up.inside if up is not None else frozenset()) | (
+            {name} if up is not None and name in ("html", "body") else frozenset())
+        self.closes = up.closes if up is not None else {}
+        if name in CLOSING:
+            self.closes = dict(self.closes)
+            for kind, (closed, stop) in CLOSES.items():
+                if name in stop:
+                    self.closes[kind] = None
+                elif name in closed and self.closes.get(kind) is None:
+                    self.closes[kind] = self
+
 
+CLOSING = frozenset(n for closed, stop in CLOSES.values() for n in closed | stop)
 
-def boilerplate(name: str, attributes: str) -> bool:
+
+def doubt(name: str, attributes: str) -> int:
+    """What speaks against an element: its kind, or only a name it was given."""
     if name in DROPPED:
-        return True
+        return DROPPED_BY_KIND
     if not attributes or name in NEVER_BY_NAME:
-        return False
+        return KEPT
+    most = KEPT
     for found in ATTRIBUTE.finditer(attributes):
         kind = found[1].lower()
         value = (found[2] or found[3] or found[4] or "").lower()
         if kind == "hidden" or kind == "aria-hidden" and value == "true":
-            return True
+            return DROPPED_BY_KIND
         if kind == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return DROPPED_BY_KIND
         if kind == "role" and value.strip() in ROLES:
-            return True
+            return DROPPED_BY_KIND
         if kind in ("class", "id"):
             for label in value.split():
                 words = re.split(r"[-_:]+", label)
-                if words[0] in BOILERPLATE or words[-1] in BOILERPLATE and words[0] not in ("has", "with", "no", "without"):
-                    return True
-    return False
+                if words[0] in ("has", "with", "no", "without"):
+                    continue
+                for names, level in ((REMARKS, REMARK), (BOILERPLATE, NAMED)):
+                    if words[0] in names or words[-1] in names:
+                        most = max(most, level)
+    return most
+
+
+class Builder:
+    """The open elements of a page while it is read."""
+
+    def __init__(self) -> None:
+        self.root = self.top = Node("html", None, KEPT)
+        self.all: Counter = Counter()  # open names
+        self.scopes: list[Counter] = [Counter()]  # and those since each open scope began
+
+    def start(self, name: str, attributes: str) -> None:
+        node = Node(name, self.top, doubt(name, attributes))
+        self.top.parts.append(node)
+        self.top = node
+        self.all[name] += 1
+        if name in SCOPES:
+            self.scopes.append(Counter())
+        self.scopes[-1][name] += 1
+
+    def close(self, node: Node) -> None:
+        """Close the element and all that are open in it."""
+        while True:
+            last = self.top
+            self.all[last.name] -= 1
+            self.scopes[-1][last.name] -= 1
+            if last.name in SCOPES:
+                self.scopes.pop()
+            self.top = last.up
+            if last is node:
+                return
+
+    def end(self, name: str) -> None:
+        if (self.scopes[-1] if name in SCOPED else self.all)[name] > 0:
+            node = self.top
+            while node.name != name:
+                node = node.up
+            self.close(node)
 
 
 def parse(source: str) -> Node:
     """The tree of a page; markup that is left open ends with its container."""
-    root = Node("html", None, False)
-    top, at, raw = root, 0, None
+    tree = Builder()
+    at, raw = 0, None
     end = len(source)
     while at < end:
         if raw is not None:  # text up to the end tag, whatever it holds
-            found = re.compile(rf"</{re.escape(raw)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
+            found = raw_end(raw).search(source, at)
             at, raw = (found.end() if found else end), None
-            top = top.up
+            tree.close(tree.top)
             continue
         found = MARKUP.search(source, at)
         if found is None or found.start() > at:
             text = source[at:found.start() if found else end]
-            top.parts.append(html.unescape(text) if "&" in text else text)
+            tree.top.parts.append(html.unescape(text) if "&" in text else text)
         if found is None:
             break
         at = found.end()
@@ -103,42 +174,29 @@ def parse(source: str) -> Node:
             continue
         name = name.lower()
         if found[1] or found[4]:
-            node = top
-            while node is not None and node.name != name:
-                if node.name in SCOPES and name not in SCOPES and name in ("p", "li", "b", "i", "a", "span", "em", "strong"):
-                    node = None
-                    break
-                node = node.up
-            if node is not None and node.up is not None:
-                top = node.up
+            tree.end(name)
             continue
-        if name in ("html", "body") and any(n.name == name for n in path(top)):
+        if name in tree.top.inside:
             continue
-        if name in BLOCKS:
-            for node in path(top):
-                if node.name == "p":
-                    top = node.up
-                    break
-                if node.name in SCOPES:
-                    break
-        if name in CLOSES:
-            closed, stop = CLOSES[name]
-            for node in path(top):
-                if node.name in stop:
-                    break
-                if node.name in closed:
-                    top = node.up
+        if name in BLOCKS and tree.top.open_p is not None:
+            tree.close(tree.top.open_p)
+        if name in CLOSES and tree.top.closes.get(name) is not None:
+            tree.close(tree.top.closes[name])
         if name in VOID:
-            top.parts.append(Node(name, top, False))
+            tree.top.parts.append(Node(name, tree.top, KEPT))
             continue
         attributes = found[3] or found[6] or ""
-        node = Node(name, top, top.dropped or boilerplate(name, attributes))
-        top.parts.append(node)
+        tree.start(name, attributes)
         if name in RAW:
             raw = name
-        if not attributes.endswith("/") or name in BLOCKS or name in RAW:
-            top = node
-    return root
+        elif attributes.endswith("/") and name not in BLOCKS:
+            tree.close(tree.top)
+    return tree.root
+
+
+@lru_cache(maxsize=32)
+def raw_end(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I)
 
 
 def path(node: Node | None) -> Iterator[Node]:
@@ -147,6 +205,60 @@ def path(node: Node | None) -> Iterator[Node]:
         node = node.up
 
 
+def paragraph_points(node: Node) -> float:
+    text = direct_text(node) if node.name in PARAGRAPHS else ""
+    return (1 + sum(text.count(c) for c in ",،、，") + min(len(text) / 100, 3.0)) * (1 - density(node)) if text else 0.0
+
+
+def prune(root: Node) -> None:
+    """Drop what its name and its place in the page say is no part of the article."""
+    nodes = measured(root)
+    # Points of all paragraphs inside each node, whole; articles inside each node.
+    whole = {id(n): paragraph_points(n) for n in nodes}
+    for node in reversed(nodes):
+        if node.up is not None:
+            whole[id(node.up)] += whole[id(node)]
+            node.up.articles += node.articles + (node.name in ("article", "main"))
+    first = next((n for n in nodes if n.name in ("article", "main")), None)
+    opening = {id(n) for n in path(first)} if first else set()
+    total = whole[id(root)]
+    gone = sum(whole[id(n)] for n in nodes if n.doubt == REMARK and id(n) not in opening)
+    least = MOST * max(total - gone, 0.0)
+    for node in nodes:
+        if node.doubt == REMARK:
+            node.dropped = id(node) not in opening and (first is not None or whole[id(node)] < MOST * total)
+        elif node.doubt == NAMED and node.name != "article":
+            node.dropped = not node.articles and whole[id(node)] < least
+    remarks_in_articles(nodes, whole)
+    for node in nodes:  # from the top down
+        node.dropped = node.dropped or node.up is not None and node.up.dropped
+        node.size = node.linked = 0
+
+
+def remarks_in_articles(nodes: list[Node], whole: dict[int, float]) -> None:
+    """Articles in an article that has a longer text of its own, and what only holds such."""
+    outer: dict[int, Node | None] = {}
+    inner: dict[int, list[Node]] = {}
+    for node in nodes:
+        above = outer.get(id(node.up)) if node.up is not None else None
+        if node.name == "article" and above is not None:
+            inner.setdefault(id(above), []).append(node)
+        outer[id(node)] = node if node.name == "article" and above is None else above
+    lost: dict[int, float] = {}
+    for node in nodes:
+        found = inner.get(id(node), [])
+        if found and whole[id(node)] - sum(whole[id(n)] for n in found) >= max(whole[id(n)] for n in found):
+            for n in found:
+                n.dropped = True
+                for above in path(n.up):
+                    if above is node:
+                        break
+                    lost[id(above)] = lost.get(id(above), 0.0) + whole[id(n)]
+    for node in nodes:
+        if lost.get(id(node), 0.0) > 0.7 * whole[id(node)]:
+            node.dropped = True
+
+
 def walk(root: Node) -> Iterator[Node]:
     """Nodes in page order, dropped ones left out."""
     waiting = [root]
@@ -156,8 +268,8 @@ def walk(root: Node) -> Iterator[Node]:
         waiting.extend(p for p in reversed(node.parts) if isinstance(p, Node) and not p.dropped)
 
 
-def score(root: Node) -> list[Node]:
-    """Points, text sizes and link sizes of all nodes; the nodes in page order."""
+def measured(root: Node) -> list[Node]:
+    """The nodes in page order, with their text sizes and link sizes."""
     nodes = list(walk(root))
     for node in reversed(nodes):
         own = " ".join(p for p in node.parts if isinstance(p, str)).split()
@@ -167,17 +279,21 @@ def score(root: Node) -> list[Node]:
         if node.up is not None:
             node.up.size += node.size
             node.up.linked += node.linked
+    return nodes
+
+
+def score(root: Node) -> list[Node]:
+    """Points of all nodes; the nodes in page order."""
+    nodes = measured(root)
     for node in nodes:
-        if node.name not in PARAGRAPHS:
-            continue
-        text = direct_text(node)
-        size = len(text)
-        if not size:
+        points = paragraph_points(node)
+        if not points:
             continue
-        points = (1 + sum(text.count(c) for c in ",،、，") + min(size / 100, 3.0)) * (1 - density(node))
         share = 1.0
         above = node.up if node.name not in ("body", "html", "main", "article") else node
-        while above is not None:
+        for _ in range(LEVELS):
+            if above is None:
+                break
             above.points += points * share
             share /= 2
             above = above.up
@@ -203,6 +319,7 @@ def density(node: Node) -> float:
 
 def best_nodes(root: Node) -> list[Node]:
     """The best container and the siblings that are kept, in page order."""
+    prune(root)
     nodes = score(root)
     best = max(nodes, key=lambda n: n.points * (1 - density(n)) + (5 if n.name in ("article", "main") and n.size else 0))
     if not best.size:
