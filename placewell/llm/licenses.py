@@ -1,8 +1,10 @@
 """Licence scans by sentence rules: known sentences become identifiers, rules match their order.
 
-Everything is a DataFrame expression. A text is cut at line ends and sentence ends, each
-sentence is normalised and looked up, and neighbouring known sentences form runs. Rules
-are tried in order on the runs; what a rule has matched is used up.
+Everything is a DataFrame expression. Lines are freed of comment and list marks and
+joined, unless one is blank or begins or ends with a known sentence; the text is then cut
+at sentence ends, each sentence is normalised and looked up, and neighbouring known
+sentences form runs. Rules are tried in order on the runs; what a rule has matched is used
+up.
 """
 
 from __future__ import annotations
@@ -90,9 +92,14 @@ RULES = (
     ("CC0-1.0", ("CC0_REF",)),
     ("all-rights-reserved", ("RESERVED",)),
 )
-# Line ends, and white space after the end of a sentence or clause.
-BREAKS = r"[\n\r]+|(?<=[.!?;:])[ \t]+"
+LINE_ENDS = r"\r\n|[\n\r]"
+# Comment signs and the number or letter of a list item, at the start of a line.
+MARKS = r"^[ \t]*(?:(?:[*#>;%|+-]+|//+|/\*+|\*/|<!--|-->|\(?(?:[0-9]{1,2}|[A-Za-z]|[ivx]{1,4})[.)])(?:[ \t]+|$)){0,8}"
+SENTENCE_ENDS = r"(?<=[.!?;:])[ \t]+"
 SIGNS = r"[^a-z0-9]+"
+ITEM = r"^(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})$"  # what is left of a list mark inside a line
+# Every known sentence has one of these; texts without any need not be cut.
+WORDS = ("licens", "software", "reserved", "warrant", "copyright", "redistribut", "cc0", "cc by", "cc-by")
 
 
 def patterns(rules=RULES) -> list[tuple[str, str]]:
@@ -105,13 +112,25 @@ def sentence_runs(text: Column, sentences=SENTENCES) -> Column:
     known = {s: name for name, found in sentences.items() for s in found}
     table = F.create_map(*[F.lit(x) for pair in sorted(known.items()) for x in pair])
     plain = lambda s: F.trim(F.regexp_replace(F.lower(s), SIGNS, " "))
-    named = F.transform(
-        F.filter(F.split(F.coalesce(text, F.lit("")), BREAKS), lambda s: s.rlike("[A-Za-z0-9]")),
-        lambda s: F.coalesce(F.try_element_at(table, plain(s)), F.lit(";")))
+    name = lambda s: F.try_element_at(table, plain(s))
+
+    def joined_line(line: Column) -> Column:
+        first = F.regexp_extract(line, r"^(.*?[.!?;:](?=[ \t])|.*$)", 1)
+        last = F.regexp_extract(line, r"^(?:.*[.!?;:][ \t]+)?(.*)$", 1)
+        before = F.when(name(first).isNotNull(), F.lit("\n")).otherwise(F.lit(""))
+        after = F.when((F.trim(line) == "") | name(last).isNotNull(), F.lit("\n")).otherwise(F.lit(" "))
+        return F.concat(before, line, after)
+
+    lines = F.transform(F.split(text, LINE_ENDS), lambda x: F.regexp_replace(x, MARKS, ""))
+    whole = F.array_join(F.transform(lines, joined_line), "")
+    spelled = F.filter(F.split(whole, "\n|" + SENTENCE_ENDS),
+                       lambda s: s.rlike("[A-Za-z0-9]") & ~plain(s).rlike(ITEM))
+    named = F.transform(spelled, lambda s: F.coalesce(name(s), F.lit(";")))
     joined = F.concat(F.lit(","), F.array_join(named, ","), F.lit(","))
     # Unknown sentences fold into one mark; marks at the ends go.
     folded = F.regexp_replace(joined, r"(,;)+,", ",;,")
-    return F.regexp_replace(F.regexp_replace(folded, r"^(,;)?,+$|^,;(?=,)", ""), r"(?<=,);,$", "")
+    folded = F.regexp_replace(F.regexp_replace(folded, r"^(,;)?,+$|^,;(?=,)", ""), r"(?<=,);,$", "")
+    return F.when(text.rlike("(?i)" + "|".join(WORDS)), folded).otherwise(F.lit(""))
 
 
 def licences(runs: Column, rules=RULES) -> Column:

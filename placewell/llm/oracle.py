@@ -20,19 +20,28 @@ def _licence_sql() -> str:
             f"CASE WHEN contains(runs, {_text(ids)}) AND NOT list_contains(found, {_text(name)}) "
             f"THEN list_append(found, {_text(name)}) ELSE found END AS found FROM {last})")
         last = f"s{k}"
+    plain = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'))"
+    ends = "string_split(regexp_replace({0}, '([.!?;:])[ \\t]+', '\\1' || chr(10), 'g'), chr(10))"
+    is_known = "m[" + plain + "] IS NOT NULL"
     return f"""
 WITH known AS (SELECT MAP {{{names}}} AS m),
 lines AS (
-  SELECT doc_id, unnest(string_split_regex(coalesce(text, ''), '[\\n\\r]+')) AS line,
-         generate_subscripts(string_split_regex(coalesce(text, ''), '[\\n\\r]+'), 1) AS turn FROM documents),
-marked AS (SELECT doc_id, turn, regexp_replace(line, '([.!?;:])[ \\t]+', '\\1' || chr(10), 'g') AS line FROM lines),
-sentences AS (
-  SELECT doc_id, turn, generate_subscripts(string_split(line, chr(10)), 1) AS step,
-         unnest(string_split(line, chr(10))) AS s FROM marked),
+  SELECT doc_id, unnest(string_split_regex(coalesce(text, ''), '\\r\\n|[\\n\\r]')) AS line,
+         generate_subscripts(string_split_regex(coalesce(text, ''), '\\r\\n|[\\n\\r]'), 1) AS turn FROM documents),
+bare AS (SELECT doc_id, turn, regexp_replace(line, {_text(licenses.MARKS)}, '') AS line FROM lines),
+cut AS (SELECT *, {ends.format('line')} AS p FROM bare),
+whole AS (
+  SELECT doc_id, string_agg(
+    CASE WHEN {is_known.format('p[1]')} THEN chr(10) ELSE '' END || line ||
+    CASE WHEN trim(line, ' ') = '' OR {is_known.format('p[-1]')} THEN chr(10) ELSE ' ' END, '' ORDER BY turn) AS text
+  FROM cut, known GROUP BY doc_id),
+pieces AS (SELECT doc_id, {ends.format('text')} AS p FROM whole),
+sentences AS (SELECT doc_id, 1 AS turn, unnest(p) AS s, generate_subscripts(p, 1) AS step FROM pieces),
 named AS (
   SELECT doc_id, turn, step,
          coalesce(m[trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))], ';') AS name
-  FROM sentences, known WHERE regexp_matches(s, '[A-Za-z0-9]')),
+  FROM sentences, known WHERE regexp_matches(s, '[A-Za-z0-9]')
+    AND NOT regexp_matches({plain.format('s')}, {_text(licenses.ITEM)})),
 folded AS (
   SELECT doc_id, ',' || string_agg(name, ',' ORDER BY turn, step) || ',' AS joined FROM named
   WHERE doc_id IN (SELECT doc_id FROM named WHERE name <> ';') GROUP BY doc_id),
