@@ -2,7 +2,8 @@
 
 Fertility says how well known vocabularies cover a text: characters per token, share of
 tokens that fall back to bytes, and entropy of the tokens. Each is held against a band
-of the text's language; the bands come from all documents.
+of the texts of the same language and about the same length, because entropy falls with
+length and the means of short texts vary more. The bands come from all documents.
 """
 
 from __future__ import annotations
@@ -22,9 +23,11 @@ from placewell.session import scratch_dir
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of words
 WINDOW = 8
-REACH = 4.0  # bands reach so many interquartile ranges beyond the quartiles
-STEADY = 150  # tokens; bands widen for texts with fewer, whose means vary more
-BROADCAST_LANGUAGES = 10_000
+REACH = 2.25  # bands reach so many interquartile ranges beyond the quartiles
+LEAST_CLASS = 100  # texts of a length class; with fewer the language's own band holds
+CLASSES = (5, 24)  # binary logarithms of the numbers of tokens of the first and the last class
+STEADY = 150  # tokens; a language's band widens for texts with fewer
+BROADCAST_BANDS = 10_000
 
 MEASURES = ("m_chars_per_piece", "m_chars_per_unit", "m_byte_share", "m_entropy")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -150,21 +153,40 @@ def base_failed(q: str = "quality.") -> F.Column:
     return (n < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * n)
 
 
-def language_bands(table: DataFrame, reach: float = REACH) -> DataFrame:
-    """lang and, per measure, its quartiles over the documents that pass the base rules."""
-    return table.where(~base_failed()).groupBy("lang").agg(*(
-        F.percentile_approx(f"quality.{m}", F.array(F.lit(0.25), F.lit(0.75)), 10_000).alias(m)
-        for m in MEASURES))
+def length_class(q: str = "quality.") -> F.Column:
+    """About the binary logarithm of the number of tokens."""
+    tokens = F.greatest(F.col(f"{q}n_pieces"), F.lit(1)).cast("double")
+    return F.least(F.greatest(F.floor(F.log2(tokens)), F.lit(CLASSES[0])), F.lit(CLASSES[1])).cast("int")
+
+
+def bands(table: DataFrame) -> DataFrame:
+    """lang, size, n and per measure its quartiles over the n documents that pass the base rules.
+
+    ``size`` is the length class, or null for all documents of the language.
+    """
+    quartiles = [F.percentile_approx(f"quality.{m}", F.array(F.lit(0.25), F.lit(0.75)), 10_000).alias(m)
+                 for m in MEASURES]
+    passed = table.where(~base_failed())
+    by_class = passed.groupBy("lang", length_class().alias("size")).agg(F.count(F.lit(1)).alias("n"), *quartiles)
+    by_lang = passed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *quartiles).withColumn(
+        "size", F.lit(None).cast("int"))
+    return by_class.unionByName(by_lang)
 
 
 def in_bands(reach: float = REACH) -> F.Column:
-    """Whether all measures of a row lie in its language's bands, ``band``; no measure is in."""
-    wide = F.lit(reach) * F.sqrt(1 + F.lit(float(STEADY)) / F.greatest(F.col("quality.n_pieces"), F.lit(1)))
+    """Whether all measures of a row lie in its band: of its class, ``near``, or of its language, ``all``.
+
+    A measure that a text has not is in.
+    """
+    small = F.coalesce(F.col("near.n") < LEAST_CLASS, F.lit(True))
+    few = F.sqrt(1 + F.lit(float(STEADY)) / F.greatest(F.col("quality.n_pieces"), F.lit(1)))
+    wide = F.lit(reach) * F.when(small, few).otherwise(F.lit(1.0))
     ok = F.lit(True)
     for m in MEASURES:
-        low, high, value = F.col(f"band.{m}")[0], F.col(f"band.{m}")[1], F.col(f"quality.{m}")
-        # A band is never narrower than a fiftieth of its middle, or than a share of 0.02.
-        span = F.greatest(high - low, (high + low) / 100, F.lit(0.01 if m == "m_byte_share" else 0.0))
+        low, high = (F.when(small, F.col(f"all.{m}")[k]).otherwise(F.col(f"near.{m}")[k]) for k in (0, 1))
+        value = F.col(f"quality.{m}")
+        # A band is never narrower than a five-hundredth of its middle, or than a share of 0.01.
+        span = F.greatest(high - low, (high + low) / 1000, F.lit(0.01 if m == "m_byte_share" else 0.0))
         fits = (value >= low - wide * span) & (value <= high + wide * span)
         if m == "m_byte_share":
             fits = value <= high + wide * span
@@ -178,8 +200,8 @@ def judge(
 ) -> DataFrame:
     """``docs`` with ``quality`` (counts and measures), ``base_failed`` and ``kept`` in one struct ``rules``.
 
-    A row is kept if it passes the base rules and its measures lie within its language's
-    bands. Null text has no words and fails; null language is a language of its own;
+    A row is kept if it passes the base rules and its measures lie within the bands of its
+    language and length class, or of its language, if the class has few texts. Null text has no words and fails; null language is a language of its own;
     repeated rows are judged alike. Every column of ``docs`` is returned, whatever its
     name; a column named ``rules`` is replaced. No rows give no rows.
     """
@@ -191,10 +213,13 @@ def judge(
         F.coalesce(F.col(lang_column), F.lit("")).alias("lang"), F.col(text_column).alias("text"))
     measured(packed, pieces, units).drop("text").write.parquet(stored)
     table = spark.read.parquet(stored)
-    bands = language_bands(table).select("lang", F.struct(*MEASURES).alias("band"))
-    if bands.count() <= BROADCAST_LANGUAGES:
-        bands = F.broadcast(bands)
+    found = bands(table)
+    near = found.where("size IS NOT NULL").select("lang", "size", F.struct("n", *MEASURES).alias("near"))
+    whole = found.where("size IS NULL").select("lang", F.struct("n", *MEASURES).alias("all"))
+    if near.count() <= BROADCAST_BANDS:
+        near, whole = F.broadcast(near), F.broadcast(whole)
+    table = table.withColumn("size", length_class()).join(near, ["lang", "size"], "left").join(whole, "lang", "left")
     failed = F.coalesce(base_failed(), F.lit(True))
-    return table.join(bands, "lang", "left").select(
+    return table.select(
         "row.*", F.struct("quality", failed.alias("base_failed"),
                           (~failed & in_bands(reach)).alias("kept")).alias("rules"))
