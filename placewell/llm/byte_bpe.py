@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from placewell.llm.ragged import STORE_WORDS, Texts, distinct, pretokens, slices, spread, sums
 from placewell.llm.vocabulary import Merges, read_ranks
+from placewell.llm.workers import lean
 
 # Words of a stretch are replayed together; this many bytes of text at a time are held.
 STRETCH_BYTES = 18_000_000
@@ -243,7 +244,7 @@ def encode_documents(
             yield pa.RecordBatch.from_arrays(columns, found)
 
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return read.mapInArrow(encode, schema).withColumnRenamed("id", id_column)
+    return read.mapInArrow(lean(encode), schema).withColumnRenamed("id", id_column)
 
 
 def decode_documents(
@@ -261,4 +262,4 @@ def decode_documents(
 
     kind = encoded.schema[id_column].dataType.simpleString()
     rows = encoded.select(F.col(id_column).alias("id"), F.col(ids_column).alias("ids"))
-    return rows.mapInArrow(read, f"id {kind}, content binary").withColumnRenamed("id", id_column)
+    return rows.mapInArrow(lean(read), f"id {kind}, content binary").withColumnRenamed("id", id_column)

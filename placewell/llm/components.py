@@ -13,7 +13,16 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     spark = frame.sparkSession
     place = scratch_dir(spark, label)
     frame.write.parquet(place)
-    return spark.read.parquet(place)
+    found = spark.read.parquet(place)
+    found.stored_at = place
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more: all that was made of them is stored itself."""
+    for frame in frames:
+        path = frame.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+        path.getFileSystem(frame.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,14 +30,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hooks every node's root to the smallest root among its neighbours', then
     shortens the way to the root; the number of rounds grows with the logarithm of the
-    longest way. A node with very many edges is pre-aggregated before each shuffle.
-    Nulls and loops are left out, repeated edges count once. No edges give no rows.
+    longest way. The groupings are pre-aggregated before their shuffles. The joins bring
+    one row per node to its edges; a node with very many of them, or the root of very many
+    nodes, is split by adaptive execution. Nulls and loops are left out, repeated edges count once. No edges give no rows.
     """
     links = edges.where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").select("src", "dst").distinct()
     links = stored(links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), "edges")
     # The smallest neighbour first: most stars and pairs are done by that alone.
     roots = stored(links.groupBy("src").agg(F.min("dst").alias("low")).select(
         F.col("src").alias("node"), F.least("src", "low").alias("root")), "roots")
+    before = roots
     while True:
         near = links.join(roots.select(F.col("node").alias("dst"), "root"), "dst").groupBy("src").agg(
             F.min("root").alias("near"))
@@ -37,8 +48,10 @@ def components(edges: DataFrame) -> DataFrame:
             F.min(F.least("root", "near")).alias("low"))
         above = best.select(F.col("root").alias("low"), F.col("low").alias("lower"))
         moves = best.join(above, "low", "left").select("root", F.least("low", "lower").alias("next"))
-        roots = stored(roots.join(moves, "root").select(
+        next_ = stored(roots.join(moves, "root").select(
             "node", F.col("next").alias("root"), (F.col("next") < F.col("root")).alias("moved")), "roots")
-        if roots.where("moved").isEmpty():
-            return roots.select("node", F.col("root").alias("component"))
-        roots = roots.drop("moved")
+        discard(before)
+        if next_.where("moved").isEmpty():
+            discard(links)
+            return next_.select("node", F.col("root").alias("component"))
+        before, roots = next_, next_.drop("moved")

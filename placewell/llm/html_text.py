@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placewell.llm.workers import lean
+
 MARKUP = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
@@ -402,4 +404,4 @@ def extract(
                 [*columns, pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 [*rest, text_column, "n_chars"])
 
-    return source.mapInArrow(read, ", ".join([*fields, f"`{text_column}` string", "n_chars bigint"]))
+    return source.mapInArrow(lean(read), ", ".join([*fields, f"`{text_column}` string", "n_chars bigint"]))

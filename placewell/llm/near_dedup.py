@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from placewell.llm.components import components, stored
 from placewell.llm.ragged import Texts, blank_words, distinct, slices
+from placewell.llm.workers import lean
 
 WORDS = 5  # words of a shingle
 SIMILARITY = 0.8
@@ -25,6 +26,7 @@ SKETCHES = 14
 PICKS = 3  # shingles of a sketch
 DEPTHS = (1, 2, 4)  # neighbouring sketches that make a group of candidates
 FIRST_HUBS = 16  # of a group in the first further round
+SHARE = 500  # members of a group that meet its hubs in one task
 GROWTH = 8  # times as many hubs in each round, until every member has been one
 BUCKETS = 1 << 20  # in which shingles are counted to order them; more of them change no result
 FILTER_BITS = 1 << 25  # of the filter that is broadcast; its size does not grow
@@ -182,7 +184,7 @@ def sketch_table(rows: DataFrame) -> DataFrame:
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.select("id", "key", "words").mapInArrow(
-        sketch, f"id {kind}, key binary, n bigint, sketches array<bigint>")
+        lean(sketch), f"id {kind}, key binary, n bigint, sketches array<bigint>")
 
 
 def group_keys(sketches: Column, depths=DEPTHS) -> Column:
@@ -225,7 +227,7 @@ def sequences(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                     [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())],
                     ["key", "shingles"])
 
-    return rows.select("key", "words", marker.alias("h")).mapInArrow(split, "key binary, shingles binary")
+    return rows.select("key", "words", marker.alias("h")).mapInArrow(lean(split), "key binary, shingles binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -241,7 +243,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     other = texts.select(F.col("node").alias("other"), F.col("shingles").alias("b"))
     hub = texts.select(F.col("node").alias("hub"), F.col("shingles").alias("a"))
     return pairs.join(other, "other").join(hub, "hub").select("hub", "other", "a", "b").mapInArrow(
-        verify, "src bigint, dst bigint")
+        lean(verify), "src bigint, dst bigint")
 
 
 def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
@@ -263,7 +265,7 @@ def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
             places, counts = np.unique(sequences_of(part)[0] % np.uint64(BUCKETS), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int64)), pa.array(counts.astype(np.int64))], ["p", "c"])
 
-    found = texts.select("shingles").mapInArrow(tally, "p bigint, c bigint").groupBy("p").agg(
+    found = texts.select("shingles").mapInArrow(lean(tally), "p bigint, c bigint").groupBy("p").agg(
         F.sum("c").alias("c")).toArrow()  # BUCKETS rows at most
     counts = np.zeros(BUCKETS, np.int64)
     counts[found["p"].to_numpy()] = found["c"].to_numpy()
@@ -285,7 +287,7 @@ def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
                 [pa.array(nodes[owner[taken]]), pa.array(sizes[owner[taken]]), pa.array(label[taken].view(np.int64))],
                 ["node", "n", "g"])
 
-    return texts.select("node", "shingles").mapInArrow(choose, "node bigint, n bigint, g bigint")
+    return texts.select("node", "shingles").mapInArrow(lean(choose), "node bigint, n bigint, g bigint")
 
 
 def classes(
@@ -336,22 +338,26 @@ def classes(
     rarest = stored(rare_shingles(texts, least), "rare")
     meet = rarest.groupBy("g").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     held = rarest.join(meet, "g").select("node", "n", "g", F.pmod(F.xxhash64("node", "g"), F.col("size")).alias("place"),
-                                         F.col("node").alias("label"))
+                                         F.ceil(F.col("size") / SHARE).alias("shares"), F.col("node").alias("label"))
     done, reach = 0, FIRST_HUBS
     while True:
         # Texts that were hubs have met all others; only groups that still hold more than one class go on.
         held = held.where(F.col("place") >= done).join(
             labels.select(F.col("node").alias("label"), "component"), "label", "left").select(
-            "node", "n", "g", "place", F.coalesce("component", "label").alias("label"))
+            "node", "n", "g", "place", "shares", F.coalesce("component", "label").alias("label"))
         open_ = held.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
             "low < high").select("g")
         held = stored(held.join(open_, "g"), "open")
         if held.isEmpty():
             break
+        # A large group is dealt into shares; its hubs go to each of them.
+        share = F.pmod(F.xxhash64("node"), F.col("shares")).alias("share")
         hubs = held.where(F.col("place") < reach).select(
-            F.col("g").alias("hub_g"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"))
+            F.col("g").alias("hub_g"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("hub_share"))
         once = (F.col("place") >= reach) | (F.col("node") > F.col("hub"))
-        new = held.join(hubs, (F.col("g") == F.col("hub_g")) & (F.col("label") != F.col("hub_label"))
+        new = held.select("*", share).join(
+            hubs, (F.col("g") == F.col("hub_g")) & (F.col("share") == F.col("hub_share")) & (F.col("label") != F.col("hub_label"))
                         & fits("n", "hub_n") & once).select(
             F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("other")).distinct()
         both = tried.unionByName(tried.select(F.col("other").alias("hub"), F.col("hub").alias("other")))

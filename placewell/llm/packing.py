@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from placewell.llm.ragged import Texts, distinct, pretokens, slices, sums
 from placewell.llm.token_counts import json_store
+from placewell.llm.workers import lean
 from placewell.session import scratch_dir
 
 CAPACITY = 1024
@@ -223,7 +224,7 @@ def token_table(docs: DataFrame, path: str, id_column: str, text_column: str, ca
     kind = docs.schema[id_column].dataType.simpleString()
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return read.mapInArrow(
-        tokenize, f"id {kind}, doc_tokens bigint, checks array<bigint>, rest binary, rest_check bigint")
+        lean(tokenize), f"id {kind}, doc_tokens bigint, checks array<bigint>, rest binary, rest_check bigint")
 
 
 def pack(

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placewell.llm.ragged import Texts, blank_words, distinct, slices
+from placewell.llm.workers import lean
 
 LEAST_WORDS = 6
 LEAST_PERIODS = 4
@@ -227,7 +228,7 @@ def find_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     kind = docs.schema[id_column].dataType.simpleString()
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return read.mapInArrow(
-        search, f"id {kind}, n_words bigint, "
+        lean(search), f"id {kind}, n_words bigint, "
         "runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed string",
     ).withColumnRenamed("id", id_column)
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from placewell.llm.ragged import Texts, WordStore, blank_words, distinct, pretokens, slices, sums
 from placewell.llm.token_counts import json_store
+from placewell.llm.workers import lean, with_field
 from placewell.session import scratch_dir
 
 LEAST_WORDS = 20
@@ -29,6 +30,7 @@ CLASSES = (5, 24)  # binary logarithms of the numbers of tokens of the first and
 STEADY = 150  # tokens; a language's band widens for texts with fewer
 BROADCAST_BANDS = 10_000
 
+TEXT = "_text"  # a struct's text, beside it inside a task
 MEASURES = ("m_chars_per_piece", "m_chars_per_unit", "m_byte_share", "m_entropy")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOLS = b"#*$%&|<>"
@@ -98,18 +100,24 @@ def piece_store(path: str) -> tuple[WordStore, np.ndarray]:
     return WordStore(encode), np.array([model.is_byte(i) for i in range(model.get_piece_size())])
 
 
-def measured(docs: DataFrame, pieces: str, units: str, text_column: str = "text") -> DataFrame:
+def measured(
+    docs: DataFrame, pieces: str, units: str, text_column: str = "text", struct: str | None = None
+) -> DataFrame:
     """``docs`` with the counts and measures of each row's text as a struct ``quality``.
 
     ``pieces``: a vocabulary with byte fallback, applied to words; ``units``: a byte-level
-    one, applied to the whole text.
+    one, applied to the whole text. ``struct``: the column that holds ``text_column``, if
+    that is no column itself.
     """
+    name = TEXT if struct else text_column
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, byte = piece_store(pieces)
         unit_store, special = json_store(units)
-        for part in slices(batches, text_column):
-            texts = Texts(part.column(text_column))
+        if struct:
+            batches = with_field(batches, struct, text_column, TEXT)
+        for part in slices(batches, name):
+            texts = Texts(part.column(name))
             data, ends = texts.data, texts.offsets
             offsets, first = blank_words(texts)
             words, codes = distinct(data, offsets)
@@ -141,11 +149,13 @@ def measured(docs: DataFrame, pieces: str, units: str, text_column: str = "text"
                 }
             columns = [pa.array(v, mask=~np.isfinite(v)) if v.dtype.kind == "f" else pa.array(v, pa.int64())
                        for v in found.values()]
+            if struct:
+                part = part.drop_columns([TEXT])
             yield part.append_column("quality", pa.StructArray.from_arrays(columns, list(found)))
 
     kinds = ", ".join([f"{c}: bigint" for c in (*COUNTS, "n_pieces")] + [f"{c}: double" for c in MEASURES])
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(measure, f"{fields}, quality struct<{kinds}>")
+    return docs.mapInArrow(lean(measure), f"{fields}, quality struct<{kinds}>")
 
 
 def base_failed(q: str = "quality.") -> F.Column:
@@ -210,8 +220,8 @@ def judge(
     row = docs.drop("rules")
     packed = row.select(
         F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in row.columns]).alias("row"),
-        F.coalesce(F.col(lang_column), F.lit("")).alias("lang"), F.col(text_column).alias("text"))
-    measured(packed, pieces, units).drop("text").write.parquet(stored)
+        F.coalesce(F.col(lang_column), F.lit("")).alias("lang"))
+    measured(packed, pieces, units, text_column, "row").write.parquet(stored)  # the text travels once
     table = spark.read.parquet(stored)
     found = bands(table)
     near = found.where("size IS NOT NULL").select("lang", "size", F.struct("n", *MEASURES).alias("near"))

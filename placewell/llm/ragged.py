@@ -14,8 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-SLICE_BYTES = 6_000_000
-STORE_WORDS = 350_000
+SLICE_BYTES = 2_500_000
+STORE_WORDS = 120_000  # rare words are most of a store; what is frequent comes back soon after it is cleared
 
 # The code points with the White_Space property.
 WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from placewell.llm.components import stored
 from placewell.llm.ragged import Texts, slices
 from placewell.llm.suffix_sort import PAD, sort_suffixes
+from placewell.llm.workers import lean
 
 LENGTH = 400  # bytes
 BLOCK_BITS = 20  # places of a block of text that is hashed at a time
@@ -34,7 +35,7 @@ PLACE = np.uint64(BLOCK - 1)
 FILTER_BITS = 1 << 27  # of each filter that is broadcast, 16 MB; its size does not grow
 MAPS = 32_768  # bits of one of Spark's bitmaps
 SEEN = 200_000  # regions whose text a task remembers to have sent
-MOST_REGIONS = 4_000  # different regions of an anchor that are sorted together
+MOST_REGIONS = 500  # different regions of an anchor that are sorted together
 SORT_BYTES = 2_000_000  # of regions that are sorted together, if an anchor has no more
 
 _draw = np.random.default_rng(20240613)
@@ -155,7 +156,7 @@ def repeated_anchors(texts: DataFrame, length: int) -> DataFrame:
                 found, counts = np.unique(regions(data, offsets, length)[1].view(np.int64), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], ["g", "n"])
 
-    return texts.select("text").mapInArrow(count, "g bigint, n bigint").groupBy("g").agg(
+    return texts.select("text").mapInArrow(lean(count), "g bigint, n bigint").groupBy("g").agg(
         F.sum("n").alias("n")).where("n > 1").select("g")
 
 
@@ -188,7 +189,7 @@ def region_rows(texts: DataFrame, anchors: DataFrame, length: int) -> DataFrame:
                     ["g", "r", "key", "start", "strings", "bytes"])
 
     return texts.select("key", "text").mapInArrow(
-        cut, "g bigint, r bigint, key binary, start bigint, strings bigint, bytes binary")
+        lean(cut), "g bigint, r bigint, key binary, start bigint, strings bigint, bytes binary")
 
 
 def stretches(flags: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
@@ -239,7 +240,7 @@ def sorted_regions(found: DataFrame, length: int) -> DataFrame:
             yield judge(pa.Table.from_batches(held))
 
     return found.select("g", "r", "copies", "bytes").repartition("g").sortWithinPartitions("g").mapInArrow(
-        walk, "g bigint, r bigint, repeats array<struct<low: bigint, high: bigint>>")
+        lean(walk), "g bigint, r bigint, repeats array<struct<low: bigint, high: bigint>>")
 
 
 def split_regions(found: DataFrame, length: int) -> DataFrame:
@@ -271,10 +272,10 @@ def split_regions(found: DataFrame, length: int) -> DataFrame:
                 [batch.column("g"), batch.column("r"), stretches(flags, bounds)], ["g", "r", "repeats"])
 
     strings = stored(found.select("g", "r", "copies", "bytes").mapInArrow(
-        name, "g bigint, r bigint, copies bigint, place bigint, h bigint, i bigint"), "strings")
+        lean(name), "g bigint, r bigint, copies bigint, place bigint, h bigint, i bigint"), "strings")
     again = strings.groupBy("h", "i").agg(F.sum("copies").alias("n")).where("n > 1").select("h", "i")
     return strings.join(again, ["h", "i"]).groupBy("g", "r").agg(F.collect_list("place").alias("places")).mapInArrow(
-        join, "g bigint, r bigint, repeats array<struct<low: bigint, high: bigint>>")
+        lean(join), "g bigint, r bigint, repeats array<struct<low: bigint, high: bigint>>")
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -355,5 +356,5 @@ def remove_repeats(
         F.expr("CAST(array() AS array<struct<start: bigint, end: bigint>>)").alias("spans"),
         F.col("text").cast("binary").alias("kept"))
     other = marked.mapInArrow(passing(True), layout).join(spans, "key", "left").select(
-        "id", "text", "spans").mapInArrow(cut, shape)
+        "id", "text", "spans").mapInArrow(lean(cut), shape)
     return clean.unionByName(other).withColumnRenamed("id", id_column)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from placewell.llm.ragged import Texts, WordStore, distinct, pretokens, slices, sums
 from placewell.llm.vocabulary import Merges, read_json
+from placewell.llm.workers import lean
 
 LIMIT = 1024
 
@@ -109,5 +110,5 @@ def count_tokens(
     kind = docs.schema[id_column].dataType.simpleString()
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return read.mapInArrow(
-        count, f"id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean"
+        lean(count), f"id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean"
     ).withColumnRenamed("id", id_column)

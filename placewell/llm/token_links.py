@@ -28,6 +28,7 @@ from placewell.llm.components import stored
 from placewell.llm.ragged import Texts, WordStore, distinct, pretokens, slices, sums
 from placewell.llm.token_counts import json_encoder
 from placewell.llm.vocabulary import read_json
+from placewell.llm.workers import lean
 
 SLICE = 4_000_000  # bytes of text of a chunk
 CHUNK_ROWS = 1 << 15
@@ -246,7 +247,7 @@ def returned(table: DataFrame, scores: DataFrame) -> DataFrame:
                 [pa.array(chunks[keys // CHUNK_ROWS]), pa.array((keys % CHUNK_ROWS).astype(np.int32)),
                  pa.array(n_best), pa.array(count_sum)], ["chunk", "doc", "n_best", "count_sum"])
 
-    return scored.mapInArrow(add, "chunk bigint, doc int, n_best bigint, count_sum bigint").groupBy(
+    return scored.mapInArrow(lean(add), "chunk bigint, doc int, n_best bigint, count_sum bigint").groupBy(
         "chunk", "doc").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
 
 
@@ -294,7 +295,7 @@ def linked(
         return pa.RecordBatch.from_arrays(
             [given[f.name] if f.name in given else pa.nulls(n, f.type) for f in fields], fields.names)
 
-    return read.mapInArrow(link, schema)
+    return read.mapInArrow(lean(link), schema)
 
 
 def align(

@@ -57,3 +57,9 @@ def lean(work: Work) -> Work:
             release()
 
     return run
+
+
+def with_field(batches: Iterator[pa.RecordBatch], struct: str, field: str, name: str) -> Iterator[pa.RecordBatch]:
+    """The batches with a field of a struct as a column beside it, not copied."""
+    for batch in batches:
+        yield batch.append_column(name, batch.column(struct).field(field))
