@@ -13,8 +13,9 @@ from placewell.plans.places import regional_top_with_latest
 from placewell.plans.readings import (
     INSTANT, READING_YEAR, latest_report, reading_fields, readings_latest,
 )
-from placewell.plans.refresh import refresh
+from placewell.plans.refresh import refresh, refresh_changed
 from placewell.session import build_session
+from placewell.sources.buckets import BUCKETS
 from placewell.sources.compaction import compact, vacuum
 from placewell.sources.datasets import DATASETS
 from placewell.sources.ingest import ingest_table, ingest_variant, load_history, read_table
@@ -68,8 +69,13 @@ def parser() -> argparse.ArgumentParser:
     clean = job("refresh", "rebuild the clean tables from the raw ones", "places", "reviews", "checkins")
     clean.add_argument("--location", required=True, help="folder of the clean tables")
     clean.add_argument("--checkin-lists", action="store_true", help="also the table of lists")
-    job("check", "null profiles, row counts and monthly trend", "places", "reviews").add_argument(
-        "--location", required=True, help="folder of the clean tables")
+    changed = job("refresh-changed", "take new batches into clean tables kept in buckets of their keys",
+                  "places", "reviews", "checkins")
+    changed.add_argument("--location", required=True, help="folder of the bucketed clean tables")
+    changed.add_argument("--buckets", type=int, default=BUCKETS, help="counts at the first refresh")
+    look = job("check", "null profiles, row counts and monthly trend", "places", "reviews")
+    look.add_argument("--location", required=True, help="folder of the clean tables")
+    look.add_argument("--checkins", help="raw check-ins, to count what cannot be read")
     top_places = job("top", "best places of the region with their latest reading", "raw")
     top_places.add_argument("--location", required=True, help="folder of the clean tables")
     top_places.add_argument("--year", type=int, default=READING_YEAR)
@@ -112,11 +118,16 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "refresh":
         refresh(*(read_table(spark, t) for t in (args.places, args.reviews, args.checkins)),
                 args.location, args.checkin_lists).show(truncate=False)
+    elif args.job == "refresh-changed":
+        raw = {"places": args.places, "reviews": args.reviews, "checkins": args.checkins}
+        for name, number in refresh_changed(spark, raw, args.location, args.buckets).items():
+            print(f"{name}\t{number} buckets rewritten")
     elif args.job == "check":
         clean = {t: stored_table(spark, args.location, t)
                  for t in ("entity_clean", "regional_top", "checkin_events", "review_clean")}
         raw = (read_table(spark, t) for t in (args.places, args.reviews))
-        for number, (title, result) in enumerate(checks.report(*raw, clean), 1):
+        for number, (title, result) in enumerate(checks.report(
+                *raw, clean, read_table(spark, args.checkins) if args.checkins else None), 1):
             print(title)
             deliver(result, args.output and f"{args.output}/{number:02d}")
     elif args.job == "latest":

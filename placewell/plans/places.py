@@ -28,28 +28,41 @@ REGION_TOP = 5
 DRIVER_ROWS = 1_000  # so many ranked places at most are held by the driver
 
 
-def entity_clean(raw: DataFrame, rules: Rules = PLACE_RULES) -> DataFrame:
-    """One row per place: the best rated, then the most reviewed, then the first by name.
-
-    The class is taken from the raw list, so a missing list reads "Unknown" while its
-    class is the default one. Classes are assigned after the duplicates are gone.
-    """
-    named = not_null(raw, "business_id").select(
+def named_places(raw: DataFrame) -> DataFrame:
+    """Raw places that have a key, under the names of the clean table."""
+    return not_null(raw, "business_id").select(
         "business_id",
         F.col("name").alias("business_name"),
         "address", "city", "state", "postal_code", "latitude", "longitude",
         F.col("stars").alias("business_stars"),
         "review_count", "is_open", "categories", "attributes", "hours",
     )
-    best = keep_first(
+
+
+def best_places(named: DataFrame) -> DataFrame:
+    """One row per place: the best rated, then the most reviewed, then the first by name."""
+    return keep_first(
         named, ["business_id"],
         [desc("business_stars"), desc("review_count"), asc("business_name")],
     )
+
+
+def classified(best: DataFrame, rules: Rules = PLACE_RULES) -> DataFrame:
+    """Places with their class.
+
+    The class is taken from the raw list, so a missing list reads "Unknown" while its
+    class is the default one.
+    """
     return classify(best, "categories", "primary_category", rules).withColumn(
         "categories", with_default(F.col("categories"), "Unknown")
     )
 
 
+def entity_clean(raw: DataFrame, rules: Rules = PLACE_RULES) -> DataFrame:
+    """The best row of each place. Classes are assigned after the duplicates are gone."""
+    return classified(best_places(named_places(raw)), rules)
+
+
 def in_region(df: DataFrame, city: Column, city_part: str, state: Column, state_code,
               category: Column, classes: Sequence[str]) -> DataFrame:
     """Rows of one region and some classes; the equality and the list reach the scan."""

@@ -343,6 +343,20 @@ ORACLE = {
         SELECT business_id, checkin_month AS activity_month, count(*) AS event_count
         FROM ({CHECKIN_EVENTS}) GROUP BY business_id, checkin_month""",
     "stream_latest_state": LATEST_EVENT,
+    "refresh_changed_places": ENTITY,
+    "refresh_changed_reviews": REVIEW,
+    "refresh_changed_checkins": CHECKIN_EVENTS,
+    "checkin_rejects": f"""
+        WITH lists AS (SELECT business_id, CASE WHEN business_id = '1' THEN date || ', no time' ELSE date END AS date
+                       FROM ({CHECKIN})),
+        entries AS (SELECT trim(entry, ' ') AS entry
+                    FROM (SELECT unnest(string_split(date, ',')) AS entry FROM lists WHERE business_id IS NOT NULL)
+                    WHERE trim(entry, ' ') <> '')
+        SELECT (SELECT count(*) FROM lists) AS list_count,
+               (SELECT count(*) FROM lists WHERE business_id IS NULL) AS lists_without_place,
+               (SELECT count(*) FROM lists WHERE date IS NULL) AS missing_lists,
+               (SELECT count(*) FROM entries) AS entry_count,
+               (SELECT count(*) FROM entries WHERE TRY_CAST(entry AS TIMESTAMP) IS NULL) AS rejected_entries""",
     "medallion_refresh": f"""
         SELECT 'entity_clean' AS table_name, count(*) AS row_count FROM ({ENTITY})
         UNION ALL SELECT 'regional_top', count(*) FROM ({REGIONAL})

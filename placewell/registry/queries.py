@@ -585,3 +585,43 @@ def medallion_refresh(spark, sf_dir):
         inputs.places(spark, sf_dir), inputs.reviews(spark, sf_dir),
         inputs.checkins(spark, sf_dir), root,
     )
+
+
+def _changed(spark, sf_dir, name):
+    """A clean table after two loads, each taken in by a refresh of changed keys."""
+    root = scratch_dir(spark, "changed")
+    raw = {n: f"{root}/raw/{n}" for n in ("places", "reviews", "checkins")}
+    tables = {
+        "places": _halves(inputs.places(spark, sf_dir), "review_count <= 75"),
+        "reviews": _halves(inputs.reviews(spark, sf_dir), "useful <= 3"),
+        "checkins": _halves(inputs.checkins(spark, sf_dir), "date LIKE '%,'"),
+    }
+    source = refresh.KEYED[name][0]
+    for drop in range(2):
+        tables[source][drop].write.parquet(f"{root}/drops/{drop}")
+        ingest.ingest_table(spark, f"{root}/drops", raw[source], tables[source][drop].schema)
+        refresh.refresh_changed(spark, raw, f"{root}/clean", buckets=8)
+    return refresh.changed_tables(spark, f"{root}/clean")
+
+
+@query
+def refresh_changed_places(spark, sf_dir):
+    clean = _changed(spark, sf_dir, "entity_clean")["entity_clean"]
+    return clean.withColumn("brand", F.col("attributes.brand")).drop("attributes", "hours")
+
+
+@query
+def refresh_changed_reviews(spark, sf_dir):
+    return _changed(spark, sf_dir, "review_clean")["review_clean"]
+
+
+@query
+def refresh_changed_checkins(spark, sf_dir):
+    return _changed(spark, sf_dir, "checkin_events")["checkin_events"]
+
+
+@query
+def checkin_rejects(spark, sf_dir):
+    """Lists and entries of the raw check-ins, and how many of them cannot be used."""
+    return checkins.checkin_rejects(inputs.checkins(spark, sf_dir).withColumn(
+        "date", F.when(F.col("business_id") == "1", F.concat("date", F.lit(", no time"))).otherwise(F.col("date"))))
