@@ -2,9 +2,11 @@
 
 Each distinct vector is a node. A first graph comes from random-projection leaves; each
 round of NN-descent then joins nodes with the neighbours of their neighbours and keeps
-the best. Rounds work on vectors coded in one byte per component, each
-in its own unit; scores that are
-returned are worked out in double precision from the vectors as given.
+the best. A pair is looked at only if one of its two edges is new since the last round,
+and leaves its task only if it is better than the worst that a node has. Rounds work on
+vectors coded in one byte per component, each in its own unit; scores that are returned
+are worked out in double precision from the vectors as given. Trees and pools grow with
+the logarithm of the number of nodes.
 """
 
 from __future__ import annotations
@@ -17,17 +19,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from placewell.llm.components import stored
-from placewell.llm.ragged import spread
+from placewell.llm.components import discard, stored
 
 K = 24  # neighbours of a node in the graph
-TREES = 6
+TREES = 6  # for START nodes; one more for each doubling
+START = 10_000
 LEAF = 128
+SALT = 16  # tasks that the rows of a full leaf are dealt to
 SETTLED = 0.01  # share of the edges; the round that changes no more is the last
-SAMPLE = 14  # neighbours, and as many reverse ones, that a node joins in a round
+SAMPLE = 12  # old neighbours, and new and old reverse ones, that a node joins in a round
 FIT_ROWS = 4096  # rows at most that the projections' medians are taken from
 NEAREST = 20
-POOL = 160  # best nodes that a query holds during its search
+POOL = 160  # best nodes that a query holds during its search, for START nodes
+MORE_POOL = 40  # for each doubling
 EXPANDED = 24  # nodes that a query looks beyond in a round of its search
 SCALE_BYTES = 8  # of a code: the vector's own unit in double precision, then a byte per component
 STRIDE = 20  # rows whose id this divides are queries
@@ -62,22 +66,34 @@ def group_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Recor
 
 
 def best_in_groups(batches: Iterator[pa.RecordBatch], key: str, keep: int) -> Iterator[pa.RecordBatch]:
-    """For each node of a group, its ``keep`` best others in that group: node, other, score."""
+    """For each node of a group, its ``keep`` best others in that group: node, other, score.
+
+    Where rows say so in ``fresh`` and ``least``, only pairs with a fresh member count, and
+    only scores above a node's least.
+    """
     for batch in group_runs(batches, key):
         keys = batch.column(key).to_numpy()
         nodes = batch.column("node").to_numpy()
         codes, units = matrix(batch.column("code"))
+        flagged = "fresh" in batch.schema.names
+        if flagged:
+            fresh = batch.column("fresh").to_numpy(zero_copy_only=False)
+            least = batch.column("least").to_numpy(zero_copy_only=False)
         edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
         out = []
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            if b - a < 2:
+            if b - a < 2 or flagged and not fresh[a:b].any():
                 continue
-            score = (codes[a:b] @ codes[a:b].T).astype(np.float64) * units[a:b, None] * units[a:b]
+            score = (codes[a:b] @ codes[a:b].T).astype(np.float64) * (units[a:b, None] * units[a:b])
             np.fill_diagonal(score, -np.inf)
+            if flagged:
+                score[~(fresh[a:b, None] | fresh[a:b]) | (score <= least[a:b, None])] = -np.inf
             n = min(keep, b - a - 1)
             top = np.argpartition(-score, n - 1, axis=1)[:, :n] if n < b - a - 1 else np.argsort(-score, axis=1)[:, :n]
             rows = np.repeat(np.arange(b - a), n)
-            out.append((nodes[a:b][rows], nodes[a:b][top.ravel()], score[rows, top.ravel()]))
+            best = score[rows, top.ravel()]
+            ok = best > -np.inf
+            out.append((nodes[a:b][rows[ok]], nodes[a:b][top.ravel()[ok]], best[ok]))
         if out:
             left, right, score = (np.concatenate(x) for x in zip(*out, strict=True))
             ok = left != right
@@ -132,13 +148,18 @@ def heights(column: pa.Array, planes: np.ndarray) -> np.ndarray:
     return (codes @ planes.T).astype(np.float64) * units[:, None]
 
 
+def doublings(count: int) -> int:
+    return max(0, int(np.ceil(np.log2(max(count, 1) / START))))
+
+
 def leaves(nodes: DataFrame, count: int, dims: int) -> DataFrame:
     """leaf, node and code: one leaf per tree, by the sides of random planes."""
+    trees = TREES + doublings(count)
     depth = max(0, int(np.ceil(np.log2(max(count, 1) / LEAF))))
     rng = np.random.default_rng(7)
-    planes = rng.standard_normal((TREES * depth, dims)).astype(np.float32)
+    planes = rng.standard_normal((trees * depth, dims)).astype(np.float32)
     fit = nodes.orderBy(F.xxhash64("node")).limit(FIT_ROWS).select("code").toArrow()["code"].combine_chunks()
-    middle = np.median(heights(fit, planes), axis=0) if depth and len(fit) else np.zeros(TREES * depth)
+    middle = np.median(heights(fit, planes), axis=0) if depth and len(fit) else np.zeros(trees * depth)
     held = nodes.sparkSession.sparkContext.broadcast((planes, middle))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,16 +167,18 @@ def leaves(nodes: DataFrame, count: int, dims: int) -> DataFrame:
         for batch in batches:
             side = (heights(batch.column("code"), planes) > middle).astype(np.int64)
             powers = 1 << np.arange(depth, dtype=np.int64)
-            for t in range(TREES):
+            for t in range(trees):
                 leaf = side[:, t * depth:(t + 1) * depth] @ powers + (t << 40)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(leaf.astype(np.int64)), batch.column("node"), batch.column("code")], ["leaf", "node", "code"])
 
     found = nodes.select("node", "code").mapInArrow(place, "leaf bigint, node bigint, code binary")
-    # A full leaf is dealt into parts of about LEAF nodes.
-    sizes = found.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * LEAF)
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.coalesce("n", F.lit(1)) / LEAF))
-    return found.join(sizes, "leaf", "left").select(
+    # A full leaf is dealt into parts of about LEAF nodes; its rows learn that in SALT tasks.
+    sizes = found.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * LEAF).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    salted = found.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALT)).cast("int"))
+    part = F.pmod(F.xxhash64(F.lit(1), "node"), F.ceil(F.coalesce("n", F.lit(1)) / LEAF))
+    return salted.join(sizes, ["leaf", "salt"], "left").select(
         F.xxhash64("leaf", part).alias("leaf"), "node", "code")
 
 
@@ -165,32 +188,39 @@ def in_groups(rows: DataFrame, key: str, keep: int) -> DataFrame:
 
 
 def nearest_only(edges: DataFrame, k: int) -> DataFrame:
-    """The k best others of each node, cut before the shuffle."""
+    """The k best others of each node, with their rank ``turn``; an edge is fresh if all its rows are."""
+    once = edges.repartition("node").groupBy("node", "other").agg(
+        F.max("score").alias("score"), F.min("fresh").alias("fresh"))
     ordered = Window.partitionBy("node").orderBy(F.desc("score"), "other")
-    return edges.withColumn("turn", F.row_number().over(ordered)).where(F.col("turn") <= k)
+    return once.withColumn("turn", F.row_number().over(ordered)).where(F.col("turn") <= k)
 
 
 def neighbour_graph(nodes: DataFrame, k: int = K) -> DataFrame:
     """node, other, score and turn (1: nearest) for the k nearest found of each node."""
     count = nodes.count()
     first = nodes.select(F.length("code")).first()
-    graph = stored(nearest_only(in_groups(leaves(nodes, count, first[0] - SCALE_BYTES if first else 1), "leaf", k)
-                                .distinct(), k), "graph")
+    start = in_groups(leaves(nodes, count, first[0] - SCALE_BYTES if first else 1), "leaf", k)
+    graph = stored(nearest_only(start.withColumn("fresh", F.lit(True)), k), "graph")
     for turn in itertools.count():
         # A node's own neighbours and the nodes it is a neighbour of meet at that node.
-        back = graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "score")
-        order = Window.partitionBy("node").orderBy(F.xxhash64(F.lit(turn), "node", "other"), "other")
-        back = back.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= SAMPLE)
-        ahead = graph.where((F.col("turn") <= SAMPLE) if turn == 0 else
-                            F.pmod(F.xxhash64(F.lit(turn), "node", "other"), F.lit(k)) < SAMPLE)
-        around = ahead.select("node", "other").unionByName(back.select("node", "other")).distinct()
-        met = around.select(F.col("node").alias("centre"), F.col("other").alias("node")).unionByName(
-            nodes.select(F.col("node").alias("centre"), "node")).join(nodes.select("node", "code"), "node")
-        found = in_groups(met, "centre", k // 2)
+        back = graph.select(F.col("other").alias("centre"), "node", "fresh")
+        order = Window.partitionBy("centre", "fresh").orderBy(F.xxhash64(F.lit(turn), "node", "centre"), "node")
+        back = back.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= SAMPLE).drop("turn")
+        ahead = graph.where(F.col("fresh") | (F.pmod(F.xxhash64(F.lit(turn), "node", "other"), F.lit(k)) < SAMPLE))
+        around = ahead.select(F.col("node").alias("centre"), F.col("other").alias("node"), "fresh").unionByName(
+            back).groupBy("centre", "node").agg(F.max("fresh").alias("fresh"))
+        met = around.unionByName(around.where("fresh").select(
+            "centre", F.col("centre").alias("node"), F.lit(False).alias("fresh")).distinct())
+        least = graph.where(F.col("turn") == k).select("node", F.col("score").alias("least"))
+        known = nodes.select("node", "code").join(least, "node", "left").select(
+            "node", "code", F.coalesce("least", F.lit(float("-inf"))).alias("least"))
+        found = in_groups(met.join(known, "node"), "centre", k)
         before = graph
-        graph = stored(nearest_only(before.select("node", "other", "score").unionByName(found).distinct(), k), "graph")
-        fresh = graph.join(before.select("node", "other"), ["node", "other"], "left_anti").count()
-        if fresh <= SETTLED * graph.count():
+        graph = stored(nearest_only(before.select("node", "other", "score", F.lit(False).alias("fresh")).unionByName(
+            found.withColumn("fresh", F.lit(True))), k), "graph")
+        discard(before)
+        fresh, edges = graph.agg(F.count_if("fresh"), F.count(F.lit(1))).first()
+        if fresh <= SETTLED * edges:
             return graph
 
 
@@ -242,8 +272,10 @@ def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, pool:
         beyond = ahead.join(around, "node").select("query", F.explode("around").alias("node")).where(
             "query <> node").distinct().join(held.select("query", "node"), ["query", "node"], "left_anti")
         marked = ranked.withColumn("seen", F.col("seen") | (F.col("open") <= EXPANDED)).drop("open")
+        before = held
         held = stored(marked.unionByName(scored(beyond, nodes).withColumn("seen", F.lit(False)))
                       .withColumn("turn", F.row_number().over(best)).where(F.col("turn") <= pool).drop("turn"), "pool")
+        discard(before)
     return held
 
 
@@ -267,7 +299,7 @@ def nearest(
     asked = valid.where(F.pmod(F.col("id"), F.lit(stride)) == 0).select(F.col("id").alias("query_id"), key.alias("key")).distinct()
     asked = stored(asked.join(nodes.select("key", "node"), "key").select("query_id", "node"), "queries")
     queries = asked.select(F.col("node").alias("query")).distinct()
-    found = greedy_search(queries, graph, nodes)
+    found = greedy_search(queries, graph, nodes, POOL + MORE_POOL * doublings(nodes.count()))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "node")
     short = found.withColumn("turn", F.row_number().over(best)).where(F.col("turn") <= 2 * k + 8).select("query", "node")
     near = short.unionByName(queries.select("query", F.col("query").alias("node"))).join(

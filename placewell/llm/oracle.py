@@ -68,17 +68,22 @@ def _rule_sql(host: str, path: str) -> str:
 def _url_sql() -> str:
     host = r"lower(regexp_extract({0}, '(?s)^.*?://([^/?#]*)([^?#]*)', 1))"
     path = r"regexp_extract({0}, '(?s)^.*?://([^/?#]*)([^?#]*)', 2)"
-    target = r"regexp_extract(regexp_extract(html, '(?i){0}[^>]*>'), '(?i)\b{1}\s*=\s*[\"'']?([^\"''\s>]+)', 1)"
-    link = target.format(r"<link\b[^>]*\brel\s*=\s*[\"'']?canonical\b", "href")
-    refresh = target.format(r"<meta\b[^>]*\bhttp-equiv\s*=\s*[\"'']?refresh\b", "url")
+    seen = f"regexp_replace(html, {_text(url_filters.UNSEEN)}, ' ', 'g')"
+    target = "list_transform(regexp_extract_all(" + seen + ", '{0}'), lambda x: regexp_extract(x, '(?i)\\b{1}\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1))"
+    link = target.format(r"(?i)<link\b[^>]*\brel\s*=\s*[\"'']?canonical\b[^>]*>", "href")
+    refresh = target.format(r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"'']?refresh\b[^>]*>", "url")
+    site = f"regexp_extract({{0}}, {_text(url_filters.SITE)})"
+    case = f"translate({site}, '{url_filters.UPPER}', '{url_filters.LOWER}')"
+    ports = r"regexp_replace(regexp_replace({0}, '^(http://[^:]*):80$', '\1'), '^(https://[^:]*):443$', '\1')"
+    node = "(" + ports.format(case) + f" || substr(regexp_replace({{0}}, '(?s)#.*$', ''), length({site}) + 1))"
     return rf"""
 WITH RECURSIVE parts AS (
   SELECT page_id, coalesce({host.format('url')}, '') AS host, coalesce({path.format('url')}, '') AS path,
-         regexp_replace(url, '(?s)#.*$', '') AS node FROM pages),
+         {node.format('url')} AS node FROM pages),
 targets AS (
-  SELECT regexp_replace(url, '(?s)#.*$', '') AS src, unnest([{link}, {refresh}]) AS t FROM pages),
+  SELECT {node.format('url')} AS src, unnest(list_concat({link}, {refresh})) AS t FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
 edges AS (
-  SELECT DISTINCT src, regexp_replace(t, '#.*$', '') AS dst FROM targets WHERE regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://')),
+  SELECT DISTINCT src, {node.format('t')} AS dst FROM targets WHERE regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://')),
 both_ways AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
 reach(node, other) AS (
   SELECT src, dst FROM both_ways UNION SELECT r.node, b.dst FROM reach r JOIN both_ways b ON r.other = b.src),

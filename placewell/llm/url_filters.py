@@ -28,6 +28,10 @@ URL = r"^[\s\S]*?://([^/?#]*)([^?#]*)"
 LINK = r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
 HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH = r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
+# Comments, and elements whose content is no markup; one that is left open ends with the page.
+UNSEEN = r"(?i)<!--[\s\S]*?(?:-->|$)|<(?:script|style|template|noscript|textarea)\b[\s\S]*?(?:</(?:script|style|template|noscript|textarea)\s*>|$)"
+SITE = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*"
+USUAL_PORT = r"^(http://[^:]*):80$|^(https://[^:]*):443$"
 TARGET = r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)"
 
 
@@ -56,6 +60,13 @@ def without_fragment(url: Column) -> Column:
     return F.regexp_replace(url, r"#[\s\S]*$", "")
 
 
+def place(url: Column) -> Column:
+    """The url by which aliases meet: no fragment, scheme and host in lower case, no usual port."""
+    site = F.regexp_extract(url, SITE, 0)
+    plain = F.regexp_replace(F.translate(site, UPPER, LOWER), USUAL_PORT, "$1$2")
+    return F.concat(plain, F.substring(without_fragment(url), F.length(site) + 1, F.length(url)))
+
+
 def resolved(target: Column, page: Column) -> Column:
     """An absolute url from a link on a page; null where it names no page."""
     target = F.replace(target, F.lit("&amp;"), F.lit("&"))
@@ -72,14 +83,22 @@ def resolved(target: Column, page: Column) -> Column:
 
 
 def page_edges(pages: DataFrame, url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """src, dst: redirects by refresh and canonical links that the pages state, as absolute urls."""
+    """src, dst: redirects by refresh and canonical links that the pages state, as absolute urls.
+
+    All of a page's count but those in comments and in elements that hold no markup. Pages
+    with a null url or html state none.
+    """
     page, source = F.col(url_column), F.col(html_column)
-    link = F.regexp_extract(F.regexp_extract(source, LINK, 0), HREF, 1)
-    refresh = F.regexp_extract(F.regexp_extract(source, REFRESH, 0), TARGET, 1)
-    return pages.where(source.ilike("%canonical%") | source.ilike("%refresh%")).select(
-        without_fragment(page).alias("src"),
-        F.explode(F.array(resolved(link, page), resolved(refresh, page))).alias("dst"),
-    ).where("dst IS NOT NULL AND dst <> src")
+    seen = F.regexp_replace(source, UNSEEN, " ")
+
+    def targets(element: str, target: str) -> Column:
+        return F.transform(F.regexp_extract_all(seen, F.lit(element), F.lit(0)), lambda x: F.regexp_extract(x, target, 1))
+
+    stated = pages.where(source.ilike("%canonical%") | source.ilike("%refresh%")).select(
+        page.alias("page"), F.explode(F.array_distinct(
+            F.concat(targets(LINK, HREF), targets(REFRESH, TARGET)))).alias("target"))
+    return stated.select(place(F.col("page")).alias("src"), place(resolved(F.col("target"), F.col("page"))).alias("dst")).where(
+        "dst IS NOT NULL AND dst <> src")
 
 
 def judge_urls(
@@ -87,8 +106,8 @@ def judge_urls(
 ) -> DataFrame:
     """``pages`` with a struct ``judged``: host, path, rule and verdict.
 
-    ``edges`` (src, dst) are redirects and canonical links between absolute urls without
-    fragments. A rule fits its host and all subdomains if the path starts with the
+    ``edges`` (src, dst) are redirects and canonical links between absolute urls; urls that
+    differ in fragment, in the case of scheme or host, or by a usual port are one. A rule fits its host and all subdomains if the path starts with the
     rule's; the longest wins, of equally long ones an allow. A url without a rule is
     blocked if an alias is blocked and none is explicitly allowed; else it is allowed.
     Null urls and urls without ``://`` have an empty host and path, no rule, and are
@@ -99,10 +118,10 @@ def judge_urls(
     url = F.col(url_column)
     packed = row.select(
         F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in row.columns]).alias("row"),
-        without_fragment(url).alias("node"), host(url).alias("host"), url_path(url).alias("path"),
+        place(url).alias("node"), host(url).alias("host"), url_path(url).alias("path"),
     ).withColumn("found", matching_rule(F.col("host"), F.col("path"), rules))
     if edges is not None:
-        found = components(edges.select("src", "dst"))
+        found = components(edges.select(place(F.col("src")).alias("src"), place(F.col("dst")).alias("dst")))
         decided = found.withColumn(
             "action", matching_rule(host(F.col("node")), url_path(F.col("node")), rules)["action"])
         flags = decided.groupBy("component").agg(
