@@ -393,11 +393,30 @@ def drop_near_duplicates(
     """
     key = F.unhex(F.md5(normalised(F.col(text_column))))
     held = docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row"),
-                       F.col(id_column).alias("id"), key.alias("key"))
-    kept = classes(docs, id_column, text_column, least).where("is_kept AND key IS NOT NULL").select(
-        F.col(id_column).alias("kept_id"), F.col("key").alias("kept_key")).distinct()
-    same = held["id"].eqNullSafe(kept["kept_id"]) & (held["key"] == kept["kept_key"])
-    found = held.where("key IS NOT NULL").join(kept, same, "left_semi")
+                       F.col(id_column).alias("id"), key.alias("key"), F.xxhash64(F.col(id_column), key).alias("h"))
+    # Only rows that go, or that are there more than once, need to be looked up; a filter of
+    # fixed size tells most others before anything is shuffled.
+    doubtful = stored(classes(docs, id_column, text_column, least).where("key IS NOT NULL").groupBy(
+        F.col(id_column).alias("id"), "key").agg(F.max("is_kept").alias("is_kept"), F.count(F.lit(1)).alias("n")).where(
+        "n > 1 OR NOT is_kept"), "doubtful")
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(doubtful.select(F.xxhash64("id", "key").alias("h"))))
+
+    def passing(hit: bool):
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = shared.value
+            for batch in batches:
+                p = batch.column("h").to_numpy() % FILTER_BITS
+                inside = ((bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1).astype(bool)
+                yield batch.filter(pa.array(inside == hit))
+
+        return lean(choose)
+
+    worded = held.where("key IS NOT NULL")
+    other = worded.mapInArrow(passing(True), held.schema)
+    same = other["id"].eqNullSafe(doubtful["id"]) & (other["key"] == doubtful["key"])
+    looked = other.join(doubtful, same, "left").select(other["row"], other["id"], other["key"], "is_kept")
     one = Window.partitionBy("key", "id").orderBy(F.xxhash64("row"))
-    found = found.withColumn("turn", F.row_number().over(one)).where("turn = 1").select("row")
-    return found.unionByName(held.where("key IS NULL").select("row")).select("row.*")
+    again = looked.where("is_kept").withColumn("turn", F.row_number().over(one)).where("turn = 1").select("row")
+    return worded.mapInArrow(passing(False), held.schema).select("row").unionByName(
+        looked.where("is_kept IS NULL").select("row")).unionByName(again).unionByName(
+        held.where("key IS NULL").select("row")).select("row.*")

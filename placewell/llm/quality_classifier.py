@@ -94,10 +94,13 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS, smooth: float = SMOOTH
     return ratio(good) - ratio(total) if good.sum() else np.zeros(buckets)
 
 
-def weights(rows: DataFrame, ratios: np.ndarray, text_column: str = "text", struct: str | None = None) -> DataFrame:
+def weights(
+    rows: DataFrame, ratios: np.ndarray, text_column: str = "text", struct: str | None = None, drop_text: bool = False
+) -> DataFrame:
     """``rows`` with n_grams and log_weight (null without n-grams).
 
     ``struct``: the column that holds ``text_column``, if that is no column itself.
+    ``drop_text``: leave ``text_column`` out.
     """
     held = rows.sparkSession.sparkContext.broadcast(ratios)
 
@@ -108,12 +111,13 @@ def weights(rows: DataFrame, ratios: np.ndarray, text_column: str = "text", stru
             found, first = grams(Texts(part.column(TEXT if struct else text_column)), len(held.value))
             n = np.diff(first)
             weight = np.add.reduceat(np.r_[held.value[found], 0.0], first[:-1]) if len(n) else np.zeros(0)
-            if struct:
-                part = part.drop_columns([TEXT])
+            if struct or drop_text:
+                part = part.drop_columns([TEXT if struct else text_column])
             yield part.append_column("n_grams", pa.array(n)).append_column(
                 "log_weight", pa.array(weight.astype(float), mask=n == 0))
 
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.schema)
+    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.schema
+                       if not (drop_text and f.name == text_column))
     return rows.mapInArrow(lean(weigh), f"{fields}, n_grams bigint, log_weight double")
 
 
@@ -171,13 +175,16 @@ def classify(
     stored = scratch_dir(spark, "sampling")
     draw = (F.xxhash64(F.lit(SEED), F.col(id_column), F.col(text_column)) / F.lit(2.0 ** 64)) + F.lit(0.5)
     noise = -F.log(-F.log(F.least(F.greatest(draw, F.lit(1e-15)), F.lit(1 - 1e-15))))
-    # The text travels once, inside its row.
-    packed = row.select(
-        F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in row.columns]).alias("row"), noise.alias("noise"))
-    weights(packed, ratios, text_column, "row").withColumn(
-        "key", F.col("log_weight") + F.lit(temperature) * F.col("noise")).drop("noise").write.parquet(stored)
+    # Keys are worked out twice, to the same numbers: once to find the least that is kept, and
+    # once beside the rows. Storing the rows with them would cost their size on disk.
+    own = F.lit(temperature) * F.col("noise")
+    alone = weights(docs.select(F.col(text_column).alias(TEXT), noise.alias("noise")), ratios, TEXT, drop_text=True)
+    alone.where("log_weight IS NOT NULL").select((F.col("log_weight") + own).alias("key")).write.parquet(stored)
     table = spark.read.parquet(stored)
-    k = round(share * table.where("key IS NOT NULL").count())
-    least = kth_largest(table.where("key IS NOT NULL"), "key", k) if k else float("inf")
+    k = round(share * table.count())
+    least = kth_largest(table, "key", k) if k else float("inf")
+    packed = row.select(  # the text travels once, inside its row
+        F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in row.columns]).alias("row"), noise.alias("noise"))
+    found = weights(packed, ratios, text_column, "row").withColumn("key", F.col("log_weight") + own)
     kept = F.coalesce(F.col("key") >= F.lit(least), F.lit(False))
-    return table.select("row.*", F.struct("n_grams", "log_weight", "key", kept.alias("kept")).alias("sampling"))
+    return found.select("row.*", F.struct("n_grams", "log_weight", "key", kept.alias("kept")).alias("sampling"))

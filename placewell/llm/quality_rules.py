@@ -221,7 +221,7 @@ def judge(
     packed = row.select(
         F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in row.columns]).alias("row"),
         F.coalesce(F.col(lang_column), F.lit("")).alias("lang"))
-    measured(packed, pieces, units, text_column, "row").write.parquet(stored)  # the text travels once
+    measured(packed, pieces, units, text_column, "row").write.option("compression", "zstd").parquet(stored)  # the text travels once
     table = spark.read.parquet(stored)
     found = bands(table)
     near = found.where("size IS NOT NULL").select("lang", "size", F.struct("n", *MEASURES).alias("near"))
