@@ -65,6 +65,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("ingest", "ingest-readings"):
         jobs.choices[name].add_argument(
             "--interval", help="such as '1 minute'; without it the job ends when done")
+        jobs.choices[name].add_argument("--archive", help="folder that loaded files move to")
     job("history", "load history per file", "target").add_argument("--within", default="14 days")
     clean = job("refresh", "rebuild the clean tables from the raw ones", "places", "reviews", "checkins")
     clean.add_argument("--location", required=True, help="folder of the clean tables")
@@ -109,10 +110,10 @@ def main(argv: list[str] | None = None) -> None:
         schema = DATASETS[args.dataset].table_schema or spark.read.options(
             mergeSchema="true", ignoreCorruptFiles="true").parquet(args.source).schema
         ingest_table(spark, args.source, args.target, schema,
-                     interval=args.interval).awaitTermination()
+                     interval=args.interval, archive=args.archive).awaitTermination()
     elif args.job == "ingest-readings":
         ingest_variant(spark, args.source, args.target, TIME_FIELD,
-                       interval=args.interval).awaitTermination()
+                       interval=args.interval, archive=args.archive).awaitTermination()
     elif args.job == "history":
         deliver(load_history(spark, args.target, args.within), args.output)
     elif args.job == "refresh":

@@ -17,12 +17,14 @@ def list_files(spark: SparkSession, location: str, pattern: str | None = None) -
 
 
 def stream_files(spark: SparkSession, location: str, pattern: str | None = None,
-                 max_files: int = 1000, max_age: str = "36500d") -> DataFrame:
+                 max_files: int = 1000, max_age: str = "36500d", archive: str | None = None) -> DataFrame:
     """A stream with one row per new file: the file events that drive the ingest.
 
     Spark's default forgets files more than a week older than the newest one seen, which
     would drop a late copy that kept its date. ``max_age`` therefore defaults to
-    everything; lower it for folders that keep millions of files.
+    everything. Each trigger lists the folder: ``archive`` names a folder outside of it that
+    files move to once their batch is done, so that a listing has the files still to be
+    loaded, however many there were before.
     """
     reader = (
         spark.readStream.format("binaryFile")
@@ -33,6 +35,8 @@ def stream_files(spark: SparkSession, location: str, pattern: str | None = None,
     )
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     # the name as other scans report it, which differs from the path where that has spaces
     return reader.load(location).select(
         *FILE_COLUMNS, F.col("_metadata.file_path").alias("file_name"))

@@ -57,12 +57,13 @@ BATCH = "batch"
 
 def ingest_table(spark: SparkSession, source: str, target: str, schema: T.StructType,
                  pattern: str = "*.parquet", max_files: int = 1000,
-                 interval: str | None = None) -> StreamingQuery:
+                 interval: str | None = None, archive: str | None = None) -> StreamingQuery:
     """Load all files not loaded before. The first run is the backfill of old files.
 
     Without an ``interval`` the call ends when the files at hand are loaded; with one, the
     query goes on looking for new files. The table's own schema is stored beside it: at the
     first load it is ``schema``, later ones may add columns and widen types (``wider``).
+    Loaded files move to ``archive``, if one is named (``stream_files``).
     """
     schema = _pin(spark, target, schema)
 
@@ -72,12 +73,12 @@ def ingest_table(spark: SparkSession, source: str, target: str, schema: T.Struct
             F.col("_metadata.file_path").alias(SOURCE_FILE),
         )
 
-    return _run(spark, source, target, pattern, max_files, interval, read, [], schema)
+    return _run(spark, source, target, pattern, max_files, interval, read, [], schema, archive)
 
 
 def ingest_variant(spark: SparkSession, source: str, target: str, time_field: str,
                    pattern: str = "*.parquet", max_files: int = 1000,
-                   interval: str | None = None) -> StreamingQuery:
+                   interval: str | None = None, archive: str | None = None) -> StreamingQuery:
     """Load each record whole as one variant, whatever its columns, with its load time.
 
     The year of the record's own time is kept as a partition, so that a reader of one
@@ -99,7 +100,7 @@ def ingest_variant(spark: SparkSession, source: str, target: str, time_field: st
 
     _pin(spark, target, T.StructType.fromDDL(VARIANT_DDL))
     return _run(
-        spark, source, target, pattern, max_files, interval, read, [YEAR])
+        spark, source, target, pattern, max_files, interval, read, [YEAR], archive=archive)
 
 
 def as_variant(df: DataFrame) -> Column:
@@ -253,12 +254,13 @@ def _reader(spark: SparkSession):
 
 def _run(spark: SparkSession, source: str, target: str, pattern: str, max_files: int,
          interval: str | None, read: Callable[[list[str]], DataFrame],
-         partitions: list[str], schema: T.StructType | None = None) -> StreamingQuery:
+         partitions: list[str], schema: T.StructType | None = None,
+         archive: str | None = None) -> StreamingQuery:
     def load(files: DataFrame, batch_id: int) -> None:
         _load_batch(spark, files, batch_id, target, read, partitions, schema)
 
     query = (
-        stream_files(spark, source, pattern, max_files)
+        stream_files(spark, source, pattern, max_files, archive=archive)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", os.path.join(target, "_checkpoint"))
         .trigger(**({"processingTime": interval} if interval else {"availableNow": True}))

@@ -539,3 +539,24 @@ def test_the_reason_is_kept_for_each_rejected_file(spark, folder):
     assert found == {
         "a": ("loaded", None), "b": ("skipped", "column id: string instead of bigint"),
         "c": ("skipped", "column name: array<int> instead of string"), "d": ("skipped", "no readable footer")}
+
+
+def test_loaded_files_are_archived_and_late_ones_still_load(spark, folder):
+    def landed():
+        return sorted(f for _, _, found in os.walk(f"{folder}/in") for f in found if f.endswith(".parquet"))
+
+    for n in range(20):
+        drop(spark, f"{folder}/in", [(n, "x")])
+    options = {"archive": f"{folder}/done", "max_files": 10}
+    load(spark, folder, **options)
+    drop(spark, f"{folder}/in", [(20, "x")])
+    load(spark, folder, **options)
+    left = landed()
+    assert len(left) <= 11  # those of the last batches only
+    drop(spark, f"{folder}/in", [(21, "late")])
+    for f in set(landed()) - set(left):
+        os.utime(f"{folder}/in/{f}", (10**9, 10**9))  # a copy that kept an old date
+    assert load(spark, folder, **options) == [(n, "x") for n in range(21)] + [(21, "late")]
+    assert [s for s, _, _ in statuses(spark, folder)] == ["loaded"] * 22
+    kept = [f for _, _, found in os.walk(f"{folder}/done") for f in found if f.endswith(".parquet")]
+    assert len(kept) + len(landed()) == 22
