@@ -170,7 +170,7 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
 # ---- jobs -----------------------------------------------------------------------------
 
 def sketch_table(rows: DataFrame) -> DataFrame:
-    """id, key, n (shingles) and sketches for rows of id, key and words."""
+    """id, key, mark, n (shingles) and sketches for rows of id, key, mark and words."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "words"):
@@ -179,12 +179,12 @@ def sketch_table(rows: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(found) + 1) * SKETCHES, pa.int32()), pa.array(found.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), part.column("key"), pa.array(np.diff(bounds)), lists],
-                ["id", "key", "n", "sketches"])
+                [part.column("id"), part.column("key"), part.column("mark"), pa.array(np.diff(bounds)), lists],
+                ["id", "key", "mark", "n", "sketches"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "key", "words").mapInArrow(
-        lean(sketch), f"id {kind}, key binary, n bigint, sketches array<bigint>")
+    return rows.select("id", "key", "mark", "words").mapInArrow(
+        lean(sketch), f"id {kind}, key binary, mark bigint, n bigint, sketches array<bigint>")
 
 
 def group_keys(sketches: Column, depths=DEPTHS) -> Column:
@@ -207,27 +207,32 @@ def bit_filter(hashes: DataFrame) -> np.ndarray:
 
 
 def sequences(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key and shingles (bytes) of the wanted (id, key), from rows of id, key and words.
+    """key and shingles (bytes) of the rows of text and mark that have a wanted ``mark``.
 
-    A filter of fixed size drops most other rows before their texts are split; the join
-    that follows drops the rest.
+    A filter of fixed size drops most other rows before their texts are normalised; the
+    join that follows drops the rest.
     """
-    marker = F.xxhash64("id", "key")
-    held = rows.sparkSession.sparkContext.broadcast(bit_filter(wanted.select(marker.alias("h"))))
+    held = rows.sparkSession.sparkContext.broadcast(bit_filter(wanted.select(F.col("mark").alias("h"))))
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
         for batch in batches:
-            p = batch.column("h").to_numpy() % FILTER_BITS
+            p = batch.column("mark").to_numpy() % FILTER_BITS
             inside = (bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1
-            for part in slices(iter([batch.filter(pa.array(inside.astype(bool)))]), "words"):
-                hashes, bounds = shingles(Texts(part.column("words")))
-                ends = bounds.tolist()
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(
-                    [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())],
-                    ["key", "shingles"])
+            yield batch.filter(pa.array(inside.astype(bool)))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "words"):
+            hashes, bounds = shingles(Texts(part.column("words")))
+            ends = bounds.tolist()
+            yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(
+                [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())],
+                ["key", "shingles"])
 
-    return rows.select("key", "words", marker.alias("h")).mapInArrow(lean(split), "key binary, shingles binary")
+    picked = rows.select("text", "mark").mapInArrow(lean(pick), "text string, mark bigint")
+    words = picked.select(normalised(F.col("text")).alias("words")).where("words IS NOT NULL")
+    return words.select("words", F.unhex(F.md5("words")).alias("key")).mapInArrow(
+        lean(split), "key binary, shingles binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -247,11 +252,12 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 
 def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
-    """node, n (shingles) and g: for each text so many of its rarest shingles that similar texts share one.
+    """node, n (shingles), m (shared ones) and g: for each text so many of its rarest shingles that similar texts share one.
 
     Texts of n shingles need least * n in common, so one of the n - least * n + 1 that come
     first in any order that holds for all texts is shared. Rarity is only that order: it is
-    counted by hash buckets, and shingles that are alone in theirs meet no other text.
+    counted by hash buckets, and shingles that are alone in theirs meet no other text. A
+    text with too few others to be similar to any is left out.
     """
 
     def sequences_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -269,10 +275,10 @@ def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
         F.sum("c").alias("c")).toArrow()  # BUCKETS rows at most
     counts = np.zeros(BUCKETS, np.int64)
     counts[found["p"].to_numpy()] = found["c"].to_numpy()
-    shared = texts.sparkSession.sparkContext.broadcast(counts)
+    told = texts.sparkSession.sparkContext.broadcast(counts)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+        counts = told.value
         for part in slices(batches, "shingles"):
             label, bounds = sequences_of(part)
             sizes = np.diff(bounds)
@@ -280,14 +286,16 @@ def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
             often = counts[(label % np.uint64(BUCKETS)).astype(np.int64)]
             order = np.lexsort((label, often, owner))
             wanted = sizes - np.ceil(least * sizes - 1e-9).astype(np.int64) + 1
+            shared = np.bincount(owner[often > 1], minlength=len(sizes))
+            hopeful = shared >= least * sizes - 1e-9
             first = np.arange(len(order)) - bounds[:-1][owner] < wanted[owner]
-            taken = order[first & (often[order] > 1)]
+            taken = order[first & (often[order] > 1) & hopeful[owner]]
             nodes = part.column("node").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes[owner[taken]]), pa.array(sizes[owner[taken]]), pa.array(label[taken].view(np.int64))],
-                ["node", "n", "g"])
+                [pa.array(nodes[owner[taken]]), pa.array(sizes[owner[taken]]), pa.array(shared[owner[taken]]),
+                 pa.array(label[taken].view(np.int64))], ["node", "n", "m", "g"])
 
-    return texts.select("node", "shingles").mapInArrow(lean(choose), "node bigint, n bigint, g bigint")
+    return texts.select("node", "shingles").mapInArrow(lean(choose), "node bigint, n bigint, m bigint, g bigint")
 
 
 def classes(
@@ -305,12 +313,14 @@ def classes(
     their texts; of equal rows one is kept. Other columns are not read. No rows give no
     rows.
     """
-    words = normalised(F.col(text_column))
-    rows = docs.select(F.col(id_column).alias("id"), words.alias("words")).withColumn(
-        "key", F.unhex(F.md5("words")))
+    words = normalised(F.col("text"))
+    raw_texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"),
+                            F.xxhash64(F.col(id_column), F.col(text_column)).alias("mark"))
+    rows = raw_texts.select("id", "mark", words.alias("words")).withColumn("key", F.unhex(F.md5("words")))
     table = stored(sketch_table(rows.where("words IS NOT NULL")), "sketches")
     nodes = stored(table.groupBy("key").agg(
-        F.min("id").alias("id"), F.any_value("n").alias("n"), F.any_value("sketches").alias("sketches"),
+        F.min("id").alias("id"), F.min("mark").alias("mark"), F.any_value("n").alias("n"),
+        F.any_value("sketches").alias("sketches"),
     ).withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     single = nodes.where("n > 0").select("node", F.explode(group_keys(F.col("sketches"), (1,))).alias("g"))
@@ -322,7 +332,7 @@ def classes(
     members = stored(linked.select(
         "node", "n", rank.alias("rank"), F.explode(group_keys(F.col("sketches"))).alias("g")), "members")
 
-    texts = stored(sequences(rows.where("words IS NOT NULL"), linked.select("id", "key")).join(
+    texts = stored(sequences(raw_texts, linked.select("mark")).join(
         linked.select("key", "node"), "key").dropDuplicates(["node"]).select("node", "shingles"), "shingles")
 
     fits = lambda a, b: F.least(a, b) >= F.lit(least) * F.greatest(a, b)
@@ -337,14 +347,14 @@ def classes(
     # in which round it is a hub.
     rarest = stored(rare_shingles(texts, least), "rare")
     meet = rarest.groupBy("g").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    held = rarest.join(meet, "g").select("node", "n", "g", F.pmod(F.xxhash64("node", "g"), F.col("size")).alias("place"),
+    held = rarest.join(meet, "g").select("node", "n", "m", "g", F.pmod(F.xxhash64("node", "g"), F.col("size")).alias("place"),
                                          F.ceil(F.col("size") / SHARE).alias("shares"), F.col("node").alias("label"))
     done, reach = 0, FIRST_HUBS
     while True:
         # Texts that were hubs have met all others; only groups that still hold more than one class go on.
         held = held.where(F.col("place") >= done).join(
             labels.select(F.col("node").alias("label"), "component"), "label", "left").select(
-            "node", "n", "g", "place", "shares", F.coalesce("component", "label").alias("label"))
+            "node", "n", "m", "g", "place", "shares", F.coalesce("component", "label").alias("label"))
         open_ = held.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
             "low < high").select("g")
         held = stored(held.join(open_, "g"), "open")
@@ -353,12 +363,14 @@ def classes(
         # A large group is dealt into shares; its hubs go to each of them.
         share = F.pmod(F.xxhash64("node"), F.col("shares")).alias("share")
         hubs = held.where(F.col("place") < reach).select(
-            F.col("g").alias("hub_g"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("hub_share"))
+            F.col("g").alias("hub_g"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("m").alias("hub_m"),
+            F.col("label").alias("hub_label"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("hub_share"))
+        # Of so many aligned shingles none can be alone in its bucket.
+        enough = F.least("m", "hub_m") >= F.lit(least / (1 + least)) * (F.col("n") + F.col("hub_n")) - F.lit(1e-6)
         once = (F.col("place") >= reach) | (F.col("node") > F.col("hub"))
         new = held.select("*", share).join(
             hubs, (F.col("g") == F.col("hub_g")) & (F.col("share") == F.col("hub_share")) & (F.col("label") != F.col("hub_label"))
-                        & fits("n", "hub_n") & once).select(
+                        & fits("n", "hub_n") & enough & once).select(
             F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("other")).distinct()
         both = tried.unionByName(tried.select(F.col("other").alias("hub"), F.col("hub").alias("other")))
         new = stored(new.join(both, ["hub", "other"], "left_anti"), "tried")
