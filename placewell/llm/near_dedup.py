@@ -26,6 +26,7 @@ SKETCHES = 14
 PICKS = 3  # shingles of a sketch
 DEPTHS = (1, 2, 4)  # neighbouring sketches that make a group of candidates
 FIRST_HUBS = 16  # of a group in the first further round
+FIRSTS = 96  # rarest shingles of a text that are compared before it is aligned
 SHARE = 500  # members of a group that meet its hubs in one task
 GROWTH = 8  # times as many hubs in each round, until every member has been one
 BUCKETS = 1 << 20  # in which shingles are counted to order them; more of them change no result
@@ -251,9 +252,11 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
         lean(verify), "src bigint, dst bigint")
 
 
-def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
+def rare_shingles(texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """node, n (shingles), m (shared ones) and g: for each text so many of its rarest shingles that similar texts share one.
 
+    And node and firsts: its FIRSTS rarest shingles, or all, for ``may_be_similar``.
+
     Texts of n shingles need least * n in common, so one of the n - least * n + 1 that come
     first in any order that holds for all texts is shared. Rarity is only that order: it is
     counted by hash buckets, and shingles that are alone in theirs meet no other text. A
@@ -295,7 +298,33 @@ def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
                 [pa.array(nodes[owner[taken]]), pa.array(sizes[owner[taken]]), pa.array(shared[owner[taken]]),
                  pa.array(label[taken].view(np.int64))], ["node", "n", "m", "g"])
 
-    return texts.select("node", "shingles").mapInArrow(lean(choose), "node bigint, n bigint, m bigint, g bigint")
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = told.value
+        for part in slices(batches, "shingles"):
+            label, bounds = sequences_of(part)
+            sizes = np.diff(bounds)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((label, counts[(label % np.uint64(BUCKETS)).astype(np.int64)], owner))
+            taken = order[np.arange(len(order)) - bounds[:-1][owner] < FIRSTS]
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(
+                pa.array(np.r_[0, np.cumsum(np.minimum(sizes, FIRSTS))], pa.int32()),
+                pa.array(label[taken].view(np.int64)))], ["node", "firsts"])
+
+    read = texts.select("node", "shingles")
+    return (read.mapInArrow(lean(choose), "node bigint, n bigint, m bigint, g bigint"),
+            read.mapInArrow(lean(begin), "node bigint, firsts array<bigint>"))
+
+
+def may_be_similar(least: float) -> Column:
+    """Whether two texts share as many of their rarest shingles as similar ones must.
+
+    Similar texts of a and b shingles share t = least (a + b) / (1 + least). Of the k rarest
+    of one text a - t at most are not in the other; the one whose list ends at the rarer
+    shingle has all its shared ones in the other's list.
+    """
+    shared = F.ceil(F.lit(least / (1 + least)) * (F.col("n") + F.col("hub_n")) - F.lit(1e-6))
+    need = F.least(F.size("firsts") - (F.col("n") - shared), F.size("hub_firsts") - (F.col("hub_n") - shared))
+    return F.size(F.array_intersect("firsts", "hub_firsts")) >= need
 
 
 def classes(
@@ -345,7 +374,7 @@ def classes(
     labels = components(links)
     # Similar texts share one of their rarest shingles; a text's place in such a group says
     # in which round it is a hub.
-    rarest = stored(rare_shingles(texts, least), "rare")
+    rarest, firsts = (stored(x, "rare") for x in rare_shingles(texts, least))
     meet = rarest.groupBy("g").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     held = rarest.join(meet, "g").select("node", "n", "m", "g", F.pmod(F.xxhash64("node", "g"), F.col("size")).alias("place"),
                                          F.ceil(F.col("size") / SHARE).alias("shares"), F.col("node").alias("label"))
@@ -362,15 +391,16 @@ def classes(
             break
         # A large group is dealt into shares; its hubs go to each of them.
         share = F.pmod(F.xxhash64("node"), F.col("shares")).alias("share")
-        hubs = held.where(F.col("place") < reach).select(
+        known = held.join(firsts, "node")
+        hubs = known.where(F.col("place") < reach).select(
             F.col("g").alias("hub_g"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("m").alias("hub_m"),
-            F.col("label").alias("hub_label"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("hub_share"))
+            F.col("firsts").alias("hub_firsts"), F.col("label").alias("hub_label"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("hub_share"))
         # Of so many aligned shingles none can be alone in its bucket.
         enough = F.least("m", "hub_m") >= F.lit(least / (1 + least)) * (F.col("n") + F.col("hub_n")) - F.lit(1e-6)
         once = (F.col("place") >= reach) | (F.col("node") > F.col("hub"))
-        new = held.select("*", share).join(
+        new = known.select("*", share).join(
             hubs, (F.col("g") == F.col("hub_g")) & (F.col("share") == F.col("hub_share")) & (F.col("label") != F.col("hub_label"))
-                        & fits("n", "hub_n") & enough & once).select(
+                        & fits("n", "hub_n") & enough & once & may_be_similar(least)).select(
             F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("other")).distinct()
         both = tried.unionByName(tried.select(F.col("other").alias("hub"), F.col("hub").alias("other")))
         new = stored(new.join(both, ["hub", "other"], "left_anti"), "tried")

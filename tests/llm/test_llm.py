@@ -282,7 +282,7 @@ def test_pairs_hidden_in_groups_of_other_texts(spark):
     hashed = [near_dedup.shingles(Texts(pa.array([t])))[0].tobytes() for t in texts]
     met = {}
     for r in near_dedup.rare_shingles(spark.createDataFrame(
-            list(enumerate(hashed)), "node long, shingles binary"), 0.8).collect():
+            list(enumerate(hashed)), "node long, shingles binary"), 0.8)[0].collect():
         met.setdefault(r.node, set()).add(r.g)
         assert r.n == 24 * 8 - 4
     assert all(met[a] & met[b] for a, b in pairs)
