@@ -408,6 +408,6 @@ def test_whole_results_are_delivered(spark, folder, capsys):
     from placewell.__main__ import deliver
 
     deliver(spark.range(150), None)
-    assert "|149" in capsys.readouterr().out
+    assert "\n149\n" in capsys.readouterr().out
     deliver(spark.range(150), f"{folder}/out")
     assert "150 rows" in capsys.readouterr().out
