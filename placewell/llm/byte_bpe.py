@@ -244,7 +244,7 @@ def encode_documents(
             yield pa.RecordBatch.from_arrays(columns, found)
 
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return read.mapInArrow(lean(encode), schema).withColumnRenamed("id", id_column)
+    return read.mapInArrow(lean(encode, thrifty=False), schema).withColumnRenamed("id", id_column)
 
 
 def decode_documents(
@@ -262,4 +262,4 @@ def decode_documents(
 
     kind = encoded.schema[id_column].dataType.simpleString()
     rows = encoded.select(F.col(id_column).alias("id"), F.col(ids_column).alias("ids"))
-    return rows.mapInArrow(lean(read), f"id {kind}, content binary").withColumnRenamed("id", id_column)
+    return rows.mapInArrow(lean(read, thrifty=False), f"id {kind}, content binary").withColumnRenamed("id", id_column)

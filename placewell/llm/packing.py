@@ -224,7 +224,7 @@ def token_table(docs: DataFrame, path: str, id_column: str, text_column: str, ca
     kind = docs.schema[id_column].dataType.simpleString()
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return read.mapInArrow(
-        lean(tokenize), f"id {kind}, doc_tokens bigint, checks array<bigint>, rest binary, rest_check bigint")
+        lean(tokenize, thrifty=False), f"id {kind}, doc_tokens bigint, checks array<bigint>, rest binary, rest_check bigint")
 
 
 def pack(

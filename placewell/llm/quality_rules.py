@@ -152,6 +152,9 @@ def measured(
             if struct:
                 part = part.drop_columns([TEXT])
             yield part.append_column("quality", pa.StructArray.from_arrays(columns, list(found)))
+        # Words met so far are not kept for the next task: other stages share this worker.
+        store.clear()
+        unit_store.clear()
 
     kinds = ", ".join([f"{c}: bigint" for c in (*COUNTS, "n_pieces")] + [f"{c}: double" for c in MEASURES])
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)

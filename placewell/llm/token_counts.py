@@ -110,5 +110,5 @@ def count_tokens(
     kind = docs.schema[id_column].dataType.simpleString()
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return read.mapInArrow(
-        lean(count), f"id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean"
+        lean(count, thrifty=False), f"id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean"
     ).withColumnRenamed("id", id_column)

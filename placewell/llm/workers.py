@@ -47,10 +47,25 @@ def release() -> None:
         trim(0)
 
 
-def lean(work: Work) -> Work:
-    """``work``, with its memory given back when the task ends."""
+@lru_cache(maxsize=1)
+def be_thrifty() -> None:
+    """Have this process give large arrays back as soon as they are freed.
+
+    The C library otherwise takes blocks of up to 32 MB from its heap once some have been
+    freed, and keeps them; the pool of Arrow keeps what it has, too.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
+    options = getattr(ctypes.CDLL(None), "mallopt", None)
+    if options is not None:
+        options(-3, 1 << 20)  # M_MMAP_THRESHOLD
+
+
+def lean(work: Work, thrifty: bool = True) -> Work:
+    """``work``, with its memory given back when the task ends, and large arrays at once if ``thrifty``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if thrifty:
+            be_thrifty()
         try:
             yield from work(batches)
         finally:
