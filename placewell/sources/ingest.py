@@ -291,16 +291,19 @@ def _load_batch(spark: SparkSession, files: DataFrame, batch_id: int, target: st
     promised = _rows_per_file(
         _reader(spark).schema("_none string").parquet(*paths.values()),
         F.col("_metadata.file_path")) if paths else {}
-    unfit: set[str] = set()
+    # Files that would end the scan are left out: tasks of a failed write may go on for a
+    # while, and would do so in the folder that the next attempt clears and writes.
+    unfit = _clashing(spark, paths, schema)
     try:
-        landed = write(read(list(paths.values()))) if paths else {}
+        fit = [p for n, p in paths.items() if n not in unfit]
+        landed = write(read(fit)) if fit else {}
     except (PySparkException, Py4JJavaError):
-        # a list or struct where the table has a plain value ends the scan; other misfits do not
         with ThreadPoolExecutor(16) as pool:
             found = pool.map(lambda n: misfit(spark, paths[n], schema), paths)
-        unfit = {n for n, reason in zip(paths, found, strict=True) if reason}
-        if not unfit:
+        more = {n for n, reason in zip(paths, found, strict=True) if reason} - unfit
+        if not more:
             raise
+        unfit |= more
         rest = [p for n, p in paths.items() if n not in unfit]
         landed = write(read(rest)) if rest else {}
     status = {n: "loaded" for n in promised} | {n: "missing" for n in listed if n not in paths}
@@ -357,6 +360,41 @@ def misfit(spark: SparkSession, path: str, schema: T.StructType | None) -> str |
     return None
 
 
+def _clashing(spark: SparkSession, paths: dict[str, str], schema: T.StructType | None) -> set[str]:
+    """Files that end a scan: a list or struct where the table has a plain value, or the reverse.
+
+    Other misfits do not, nor do files without a readable footer. One job merges the
+    footers of all files; only if they do not merge, or clash, is each looked at.
+    """
+
+    def clashing(some: list[str], **options: str) -> bool | None:
+        try:
+            return clash(schema, _reader(spark).options(**options).parquet(*some).schema)
+        except (PySparkException, Py4JJavaError):
+            return None
+
+    if schema is None or not paths or clashing(list(paths.values()), mergeSchema="true") is False:
+        return set()
+    with ThreadPoolExecutor(16) as pool:
+        found = pool.map(lambda p: clashing([p]), paths.values())
+    return {n for n, bad in zip(paths, found, strict=True) if bad}
+
+
+def clash(wanted: T.DataType, there: T.DataType) -> bool:
+    """Whether some value is nested in one type and plain, or nested otherwise, in the other."""
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    if not isinstance(wanted, nested) and not isinstance(there, nested):
+        return False
+    if type(wanted) is not type(there):
+        return True
+    if isinstance(wanted, T.StructType):
+        held = {f.name.lower(): f.dataType for f in there.fields}
+        return any(clash(f.dataType, held[f.name.lower()]) for f in wanted.fields if f.name.lower() in held)
+    if isinstance(wanted, T.ArrayType):
+        return clash(wanted.elementType, there.elementType)
+    return clash(wanted.keyType, there.keyType) or clash(wanted.valueType, there.valueType)
+
+
 def _is_published(spark: SparkSession, target: str, batch_id: int, files: set[str]) -> bool:
     """True if a batch is run again although it had been published."""
     try:

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta, timezone
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from placewell.plans.readings import open_views, readings_latest, readings_typed
@@ -541,6 +542,28 @@ def test_the_reason_is_kept_for_each_rejected_file(spark, folder):
         "c": ("skipped", "column name: array<int> instead of string"), "d": ("skipped", "no readable footer")}
 
 
+def test_a_nested_value_does_not_end_the_write_of_its_batch(spark, folder, monkeypatch):
+    drop(spark, f"{folder}/in/a", [(1, "x", [1])], "id bigint, name string, more array<int>")
+    drop(spark, f"{folder}/in/b", [(1, [5], [1])], "id bigint, NAME array<int>, more array<int>")
+    drop(spark, f"{folder}/in/c", [(1, "y", None)], "id int, name string, more string")
+    failed = []
+    write = DataFrameWriter.parquet
+
+    def watched(*args, **options):
+        try:
+            return write(*args, **options)
+        except Exception as error:
+            failed.append(error)
+            raise
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    load(spark, folder, "id bigint, name string, more array<int>")
+    assert not failed
+    found = {r.file_name.split("/in/")[1][0]: (r.status, r.row_count)
+             for r in ingest.load_history(spark, f"{folder}/raw").collect()}
+    assert found == {"a": ("loaded", 1), "b": ("skipped", 0), "c": ("skipped", 0)}
+
+
 def test_loaded_files_are_archived_and_late_ones_still_load(spark, folder):
     def landed():
         return sorted(f for _, _, found in os.walk(f"{folder}/in") for f in found if f.endswith(".parquet"))
