@@ -76,7 +76,8 @@ def merge_changes(home: str, key: str, new: DataFrame, upto: int,
         old = read_buckets(spark, home, changed, new.schema)
         rows = merge(old.unionByName(new) if old is not None else new)
         version = _now().strftime(VERSION)
-        rows.withColumn(BUCKET, place).repartition(BUCKET).write.partitionBy(BUCKET).parquet(
+        # a bucket is written by as many tasks as its size asks for, so that none has to spill
+        rows.withColumn(BUCKET, place).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(
             f"{home}/data/version={version}")
         # a bucket may be left without rows
         written = {int(n.removeprefix(f"{BUCKET}=")) for n in list_folders(spark, f"{home}/data/version={version}")

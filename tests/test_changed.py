@@ -78,6 +78,22 @@ def test_a_refresh_that_stops_leaves_the_table_as_it_was(spark, folder, monkeypa
     assert changed_tables(spark, f"{folder}/clean")["entity_clean"].count() == 2
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, folder, monkeypatch):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    home = f"{folder}/table"
+    rows = spark.range(0, 200_000, 1, 8).selectExpr("id", "md5(CAST(id AS STRING)) AS name")
+    spark.conf.set(size, "256k")
+    try:
+        for half in (rows.where("id % 2 = 0"), rows.where("id % 2 = 1")):
+            buckets.merge_changes(home, "id", half, 0, lambda df: df.distinct(), 2)
+    finally:
+        spark.conf.set(size, before)
+    stored = buckets.read_buckets(spark, home)
+    assert len(stored.inputFiles()) > 4 and len({os.path.dirname(f) for f in stored.inputFiles()}) == 2
+    assert stored.exceptAll(rows).isEmpty() and stored.count() == 200_000
+
+
 def test_old_buckets_go_and_new_columns_come(spark, folder, monkeypatch):
     start = datetime(2026, 3, 1, tzinfo=timezone.utc)
     home = f"{folder}/clean/entity_clean"
