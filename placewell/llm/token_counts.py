@@ -25,25 +25,34 @@ LIMIT = 1024
 def merge_words(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
     """Number of symbols of each word after all merges, and the symbols end to end."""
     lengths = np.array([len(w) for w in words], np.int64)
-    symbols = merges.singles[np.frombuffer(b"".join(words), np.uint8)]
+    letters = np.frombuffer(b"".join(words), np.uint8)
+    symbols = merges.singles[letters]
     owner = np.repeat(np.arange(len(words)), lengths)
+    # of each symbol and the one after it; the last symbol of a word has none
+    ranks = np.full(len(symbols), merges.none, np.int64)
+    ranks[:-1] = np.where(owner[1:] == owner[:-1], merges.byte_ranks[letters[:-1], letters[1:]], merges.none)
     done: list[tuple[np.ndarray, np.ndarray]] = []
     while len(symbols):
-        ranks = np.full(len(symbols), merges.none, np.int64)
-        ranks[:-1] = merges.rank(symbols[:-1], symbols[1:])
-        ranks[:-1][owner[1:] != owner[:-1]] = merges.none
         first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         lowest = np.repeat(np.minimum.reduceat(ranks, first), np.diff(np.r_[first, len(owner)]))
         idle = lowest == merges.none
         if idle.any():
             done.append((owner[idle], symbols[idle]))
-            symbols, owner = symbols[~idle], owner[~idle]
-            ranks, lowest = ranks[~idle], lowest[~idle]
-        hit = every_other(ranks == lowest)
+            busy = ~idle
+            symbols, owner, ranks, lowest = symbols[busy], owner[busy], ranks[busy], lowest[busy]
+        hit = np.flatnonzero(every_other(ranks == lowest))
         symbols[hit] = merges.made[lowest[hit]]
         keep = np.ones(len(symbols), bool)
-        keep[np.flatnonzero(hit) + 1] = False
-        symbols, owner = symbols[keep], owner[keep]
+        keep[hit + 1] = False
+        symbols, owner, ranks = symbols[keep], owner[keep], ranks[keep]
+        # only pairs with a new symbol have other ranks than before
+        new = hit - np.arange(len(hit))
+        left = np.concatenate([new[new > 0] - 1, new])
+        right = np.minimum(left + 1, len(symbols) - 1)
+        inside = (owner[left] == owner[right]) & (left < right)
+        ranks[left] = merges.none
+        left, right = left[inside], right[inside]
+        ranks[left] = merges.rank(symbols[left], symbols[right])
     if not done:
         return np.zeros(len(words), np.int64), np.zeros(0, np.int64)
     owners, found = (np.concatenate(x) for x in zip(*done, strict=True))

@@ -26,6 +26,7 @@ class Merges:
         self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
         keys, ranks = np.array(sorted((a * self.size + b, r) for a, b, r in pairs), np.int64).T
         self.keys, self.ranks = np.ascontiguousarray(keys), np.ascontiguousarray(ranks)
+        self.byte_ranks = self.rank(self.singles[:, None], self.singles[None, :])
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair; ``none`` if it does not merge."""

@@ -347,3 +347,16 @@ def test_pipeline(spark):
     kept = docs.count()
     assert 0 < kept < before
     assert corpus_pipeline.run(spark, SF_DIR).select("doc_id").distinct().count() == kept
+
+
+def test_merging_looks_up_only_pairs_that_a_merge_has_changed(monkeypatch):
+    merges = token_counts.read_json(public_tokenizers.path("byte_bpe_50k.json"))[0]
+    words = [b" international", b"x" * 64, "straßenbahnhaltestelle".encode(), b"a", b"the", bytes(range(33, 120))]
+    looked_up, rank = [], merges.rank
+    monkeypatch.setattr(merges, "rank", lambda a, b: looked_up.append(np.size(a)) or rank(a, b))
+    counts, ids = token_counts.merge_words(words, merges)
+    merged = sum(map(len, words)) - counts.sum()
+    assert sum(looked_up) <= 2 * merged
+    vocabulary = {n: t for t, n in merges.tokens.items()}
+    ends = np.cumsum(counts)
+    assert [b"".join(vocabulary[i] for i in ids[e - n:e].tolist()) for e, n in zip(ends, counts, strict=True)] == words
