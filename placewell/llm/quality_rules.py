@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ TEXT = "_text"  # a struct's text, beside it inside a task
 MEASURES = ("m_chars_per_piece", "m_chars_per_unit", "m_byte_share", "m_entropy")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOLS = b"#*$%&|<>"
+IS_SYMBOL = np.isin(np.arange(256), np.frombuffer(SYMBOLS, np.uint8))
 
 
 def repeated_words(codes: np.ndarray, first: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -56,7 +58,7 @@ def repeated_words(codes: np.ndarray, first: np.ndarray, window: int = WINDOW) -
 
 def ranks(keys: np.ndarray) -> np.ndarray:
     """Small numbers, equal for equal keys and no others."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)  # any order of equal keys will do
     ordered = keys[order]
     fresh = np.zeros(len(keys), np.int64)
     fresh[1:] = ordered[1:] != ordered[:-1]
@@ -95,7 +97,7 @@ def piece_store(path: str) -> tuple[WordStore, np.ndarray]:
     def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         found = model.encode([w.decode("utf-8", "replace") for w in words], num_threads=1)
         counts = np.array([len(x) for x in found], np.int64)
-        return counts, np.fromiter((i for x in found for i in x), np.int64, int(counts.sum()))
+        return counts, np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum()))
 
     return WordStore(encode), np.array([model.is_byte(i) for i in range(model.get_piece_size())])
 
@@ -127,7 +129,7 @@ def measured(
             head = (data & 0xC0) != 0x80
             blank = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
             chars = sums((head & ~blank).astype(np.int64), ends)
-            symbols = sums(np.isin(data, np.frombuffer(SYMBOLS, np.uint8)).astype(np.int64), ends)
+            symbols = sums(IS_SYMBOL[data].astype(np.int64), ends)
             raw = data.tobytes()
             lines = [repeated_lines(raw[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
             tokens = store.expand(places)
