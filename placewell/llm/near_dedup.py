@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placewell.llm.components import components, stored
+from placewell.llm.components import components, discard, stored
 from placewell.llm.ragged import Texts, blank_words, distinct, slices
 from placewell.llm.workers import lean
 
@@ -26,10 +26,9 @@ SKETCHES = 14
 PICKS = 3  # shingles of a sketch
 DEPTHS = (1, 2, 4)  # neighbouring sketches that make a group of candidates
 FIRST_HUBS = 16  # of a group in the first further round
-FIRSTS = 96  # rarest shingles of a text that are compared before it is aligned
+SIGN_BITS = 1024  # of the sign by which most texts are told apart before they are aligned; more of them change no result
 SHARE = 500  # members of a group that meet its hubs in one task
 GROWTH = 8  # times as many hubs in each round, until every member has been one
-BUCKETS = 1 << 20  # in which shingles are counted to order them; more of them change no result
 FILTER_BITS = 1 << 25  # of the filter that is broadcast; its size does not grow
 
 SEEDS = np.random.default_rng(20240501).integers(1, 2**63, SKETCHES, dtype=np.uint64)
@@ -57,7 +56,7 @@ def shingles(texts: Texts, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """
     offsets, first = blank_words(texts)
     found, codes = distinct(texts.data, offsets)
-    hashes = np.array([xxhash.xxh64_intdigest(w) for w in found.to_pylist()], np.uint64)
+    hashes = np.frombuffer(b"".join(map(xxhash.xxh64_digest, found.to_pylist())), ">u8").astype(np.uint64)
     w = hashes[codes[::2]] if len(codes) else np.zeros(0, np.uint64)
     sizes = np.diff(first)
     counts = np.where(sizes >= words, sizes - words + 1, np.minimum(sizes, 1))
@@ -76,13 +75,21 @@ def shingles(texts: Texts, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
 def labelled(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Hashes with the occurrence in the text mixed in, so that each is unique in its text."""
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    order = np.lexsort((hashes, owner))
-    h, o = hashes[order], owner[order]
-    fresh = np.ones(len(h), bool)
-    fresh[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
-    at = np.arange(len(h))
-    occurrence = np.empty(len(h), np.uint64)
-    occurrence[order] = at - np.maximum.accumulate(np.where(fresh, at, 0))
+    occurrence = np.zeros(len(hashes), np.uint64)
+    # Only hashes that are equal, with those whose names happen to be, need to be put in order.
+    with np.errstate(over="ignore"):
+        names = hashes + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    in_order = np.sort(names)
+    again = in_order[1:][in_order[1:] == in_order[:-1]]
+    if len(again):
+        at = np.minimum(np.searchsorted(again, names), len(again) - 1)
+        among = np.flatnonzero(again[at] == names)
+        order = among[np.lexsort((hashes[among], owner[among]))]
+        h, o = hashes[order], owner[order]
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
+        at = np.arange(len(h))
+        occurrence[order] = at - np.maximum.accumulate(np.where(fresh, at, 0))
     with np.errstate(over="ignore"):
         return mix(hashes + occurrence * np.uint64(0xD6E8FEB86659FD93))
 
@@ -207,21 +214,26 @@ def bit_filter(hashes: DataFrame) -> np.ndarray:
     return bits
 
 
+def passing(rows: DataFrame, column: str, wanted: DataFrame, hit: bool = True) -> DataFrame:
+    """Rows whose long in ``column`` the filter of ``h`` lets through, or with ``hit`` false the others."""
+    held = rows.sparkSession.sparkContext.broadcast(bit_filter(wanted))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = held.value
+        for batch in batches:
+            p = batch.column(column).to_numpy() % FILTER_BITS
+            inside = ((bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1).astype(bool)
+            yield batch.filter(pa.array(inside == hit))
+
+    return rows.mapInArrow(lean(choose), rows.schema)
+
+
 def sequences(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """key and shingles (bytes) of the rows of text and mark that have a wanted ``mark``.
 
     A filter of fixed size drops most other rows before their texts are normalised; the
     join that follows drops the rest.
     """
-    held = rows.sparkSession.sparkContext.broadcast(bit_filter(wanted.select(F.col("mark").alias("h"))))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = held.value
-        for batch in batches:
-            p = batch.column("mark").to_numpy() % FILTER_BITS
-            inside = (bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1
-            yield batch.filter(pa.array(inside.astype(bool)))
-
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "words"):
             hashes, bounds = shingles(Texts(part.column("words")))
@@ -230,8 +242,8 @@ def sequences(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())],
                 ["key", "shingles"])
 
-    picked = rows.select("text", "mark").mapInArrow(lean(pick), "text string, mark bigint")
-    words = picked.select(normalised(F.col("text")).alias("words")).where("words IS NOT NULL")
+    picked = passing(rows.select("text", "mark"), "mark", wanted.select(F.col("mark").alias("h")))
+    words = picked.where("text IS NOT NULL").select(normalised(F.col("text")).alias("words"))
     return words.select("words", F.unhex(F.md5("words")).alias("key")).mapInArrow(
         lean(split), "key binary, shingles binary")
 
@@ -246,6 +258,9 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             kept = batch.filter(pa.array(ok, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("hub"), kept.column("other")], ["src", "dst"])
 
+    # Texts of no pair are not moved, but for some that the filter lets through.
+    texts = passing(texts.select("node", "shingles"), "node", pairs.select(
+        F.explode(F.array("hub", "other")).alias("h")))
     other = texts.select(F.col("node").alias("other"), F.col("shingles").alias("b"))
     hub = texts.select(F.col("node").alias("hub"), F.col("shingles").alias("a"))
     return pairs.join(other, "other").join(hub, "hub").select("hub", "other", "a", "b").mapInArrow(
@@ -255,76 +270,63 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 def rare_shingles(texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """node, n (shingles), m (shared ones) and g: for each text so many of its rarest shingles that similar texts share one.
 
-    And node and firsts: its FIRSTS rarest shingles, or all, for ``may_be_similar``.
+    And node and sign: SIGN_BITS bits as longs, those set that its shingles fall on, for
+    ``may_be_similar``.
 
     Texts of n shingles need least * n in common, so one of the n - least * n + 1 that come
-    first in any order that holds for all texts is shared. Rarity is only that order: it is
-    counted by hash buckets, and shingles that are alone in theirs meet no other text. A
+    first in any order that holds for all texts is shared. The order is by the number of
+    texts that have the shingle, counted one by one: by counts of a fixed number of buckets
+    the groups would grow faster than the input. Shingles of one text meet no other, and a
     text with too few others to be similar to any is left out.
     """
 
     def sequences_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(x.as_buffer()) // 8 for x in part.column("shingles")], np.int64)
         data = b"".join(x.as_py() for x in part.column("shingles"))
-        bounds = np.r_[0, np.cumsum(sizes)]
-        return labelled(np.frombuffer(data, np.uint64), bounds), bounds
-
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "shingles"):
-            places, counts = np.unique(sequences_of(part)[0] % np.uint64(BUCKETS), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int64)), pa.array(counts.astype(np.int64))], ["p", "c"])
+        return np.frombuffer(data, np.uint64), np.r_[0, np.cumsum(sizes)]
 
-    found = texts.select("shingles").mapInArrow(lean(tally), "p bigint, c bigint").groupBy("p").agg(
-        F.sum("c").alias("c")).toArrow()  # BUCKETS rows at most
-    counts = np.zeros(BUCKETS, np.int64)
-    counts[found["p"].to_numpy()] = found["c"].to_numpy()
-    told = texts.sparkSession.sparkContext.broadcast(counts)
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = told.value
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "shingles"):
-            label, bounds = sequences_of(part)
+            hashes, bounds = sequences_of(part)
             sizes = np.diff(bounds)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            often = counts[(label % np.uint64(BUCKETS)).astype(np.int64)]
-            order = np.lexsort((label, often, owner))
-            wanted = sizes - np.ceil(least * sizes - 1e-9).astype(np.int64) + 1
-            shared = np.bincount(owner[often > 1], minlength=len(sizes))
-            hopeful = shared >= least * sizes - 1e-9
-            first = np.arange(len(order)) - bounds[:-1][owner] < wanted[owner]
-            taken = order[first & (often[order] > 1) & hopeful[owner]]
-            nodes = part.column("node").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes[owner[taken]]), pa.array(sizes[owner[taken]]), pa.array(shared[owner[taken]]),
-                 pa.array(label[taken].view(np.int64))], ["node", "n", "m", "g"])
+                [pa.array(np.repeat(part.column("node").to_numpy(), sizes)), pa.array(np.repeat(sizes, sizes)),
+                 pa.array(labelled(hashes, bounds).view(np.int64))], ["node", "n", "g"])
 
-    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = told.value
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "shingles"):
-            label, bounds = sequences_of(part)
-            sizes = np.diff(bounds)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            order = np.lexsort((label, counts[(label % np.uint64(BUCKETS)).astype(np.int64)], owner))
-            taken = order[np.arange(len(order)) - bounds[:-1][owner] < FIRSTS]
+            hashes, bounds = sequences_of(part)
+            flags = np.zeros((part.num_rows, SIGN_BITS), np.uint8)
+            owner = np.repeat(np.arange(part.num_rows), np.diff(bounds))
+            flags[owner, (hashes % np.uint64(SIGN_BITS)).astype(np.int64)] = 1
             yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(
-                pa.array(np.r_[0, np.cumsum(np.minimum(sizes, FIRSTS))], pa.int32()),
-                pa.array(label[taken].view(np.int64)))], ["node", "firsts"])
+                pa.array(np.arange(part.num_rows + 1) * (SIGN_BITS // 64), pa.int32()),
+                pa.array(np.packbits(flags, axis=1).view(np.int64).ravel()))], ["node", "sign"])
 
     read = texts.select("node", "shingles")
-    return (read.mapInArrow(lean(choose), "node bigint, n bigint, m bigint, g bigint"),
-            read.mapInArrow(lean(begin), "node bigint, firsts array<bigint>"))
+    grams = read.mapInArrow(lean(split), "node bigint, n bigint, g bigint")
+    often = F.count(F.lit(1)).over(Window.partitionBy("g"))
+    own = Window.partitionBy("node")
+    common = F.ceil(F.lit(least) * F.col("n") - F.lit(1e-9))
+    rarest = stored(grams.withColumn("often", often).where("often > 1").withColumn("m", F.count(F.lit(1)).over(own)).where(
+        F.col("m") >= common).withColumn("turn", F.row_number().over(own.orderBy("often", "g"))).where(
+        # n - m shingles that only this text has come before these.
+        F.col("turn") <= F.col("m") - common + 1).select("node", "n", "m", "g"), "rare")
+    return rarest, stored(read.mapInArrow(lean(sign), "node bigint, sign array<bigint>"), "signs")
 
 
 def may_be_similar(least: float) -> Column:
-    """Whether two texts share as many of their rarest shingles as similar ones must.
+    """Whether the signs of two texts differ in so few bits as those of similar ones do.
 
-    Similar texts of a and b shingles share t = least (a + b) / (1 + least). Of the k rarest
-    of one text a - t at most are not in the other; the one whose list ends at the rarer
-    shingle has all its shared ones in the other's list.
+    Similar texts of a and b shingles share t = least (a + b) / (1 + least), so at most a - t
+    shingles of the one are not in the other. Each bit that only the one has set stands for
+    such a shingle at least.
     """
     shared = F.ceil(F.lit(least / (1 + least)) * (F.col("n") + F.col("hub_n")) - F.lit(1e-6))
-    need = F.least(F.size("firsts") - (F.col("n") - shared), F.size("hub_firsts") - (F.col("hub_n") - shared))
-    return F.size(F.array_intersect("firsts", "hub_firsts")) >= need
+    pairs = [(F.get("sign", F.lit(k)), F.get("hub_sign", F.lit(k))) for k in range(SIGN_BITS // 64)]
+    only = lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b)))
+    return (sum((only(a, b) for a, b in pairs[1:]), only(*pairs[0])) <= F.col("n") - shared) & (
+        sum((only(b, a) for a, b in pairs[1:]), only(*pairs[0][::-1])) <= F.col("hub_n") - shared)
 
 
 def classes(
@@ -345,8 +347,10 @@ def classes(
     words = normalised(F.col("text"))
     raw_texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"),
                             F.xxhash64(F.col(id_column), F.col(text_column)).alias("mark"))
-    rows = raw_texts.select("id", "mark", words.alias("words")).withColumn("key", F.unhex(F.md5("words")))
-    table = stored(sketch_table(rows.where("words IS NOT NULL")), "sketches")
+    # A text that is there has words that are there, so that a test of the text spares their making.
+    rows = raw_texts.where("text IS NOT NULL").select("id", "mark", words.alias("words")).withColumn(
+        "key", F.unhex(F.md5("words")))
+    table = stored(sketch_table(rows), "sketches")
     nodes = stored(table.groupBy("key").agg(
         F.min("id").alias("id"), F.min("mark").alias("mark"), F.any_value("n").alias("n"),
         F.any_value("sketches").alias("sketches"),
@@ -369,58 +373,63 @@ def classes(
         F.max_by("node", "rank").alias("hub"), F.max_by("n", "rank").alias("hub_n"),
         F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
     tried = stored(members.join(hubs, "g").where("node <> hub").where(fits("n", "hub_n")).select(
-        "hub", F.col("node").alias("other")).distinct(), "tried")
+        F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("other")).distinct(), "tried")
+    discard(linked, members)
     links = stored(verified(tried, texts, least), "links")
     labels = components(links)
     # Similar texts share one of their rarest shingles; a text's place in such a group says
     # in which round it is a hub.
-    rarest, firsts = (stored(x, "rare") for x in rare_shingles(texts, least))
-    meet = rarest.groupBy("g").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    held = rarest.join(meet, "g").select("node", "n", "m", "g", F.pmod(F.xxhash64("node", "g"), F.col("size")).alias("place"),
-                                         F.ceil(F.col("size") / SHARE).alias("shares"), F.col("node").alias("label"))
-    done, reach = 0, FIRST_HUBS
+    rarest, signs = rare_shingles(texts, least)
+    held, done, reach = rarest, 0, FIRST_HUBS
     while True:
         # Texts that were hubs have met all others; only groups that still hold more than one class go on.
-        held = held.where(F.col("place") >= done).join(
-            labels.select(F.col("node").alias("label"), "component"), "label", "left").select(
-            "node", "n", "m", "g", "place", "shares", F.coalesce("component", "label").alias("label"))
-        open_ = held.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
-            "low < high").select("g")
-        held = stored(held.join(open_, "g"), "open")
+        now = held.where(F.col("place") >= done) if done else held.withColumn("label", F.col("node"))
+        now = now.join(labels.select(F.col("node").alias("label"), "component"), "label", "left").withColumn(
+            "label", F.coalesce("component", "label")).drop("component")
+        open_ = now.groupBy("g").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")).where(
+            "low < high").select("g", "size")
+        now = now.join(open_, "g")
+        if not done:
+            now = now.withColumns({"place": F.pmod(F.xxhash64("node", "g"), F.col("size")),
+                                   "shares": F.ceil(F.col("size") / SHARE)})
+        before, held = held, stored(now.drop("size"), "open")
+        discard(before)
         if held.isEmpty():
             break
         # A large group is dealt into shares; its hubs go to each of them.
         share = F.pmod(F.xxhash64("node"), F.col("shares")).alias("share")
-        known = held.join(firsts, "node")
+        known = held.join(signs, "node")
         hubs = known.where(F.col("place") < reach).select(
             F.col("g").alias("hub_g"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("m").alias("hub_m"),
-            F.col("firsts").alias("hub_firsts"), F.col("label").alias("hub_label"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("hub_share"))
-        # Of so many aligned shingles none can be alone in its bucket.
+            F.col("sign").alias("hub_sign"), F.col("label").alias("hub_label"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("hub_share"))
+        # Of so many aligned shingles none can be in one text alone.
         enough = F.least("m", "hub_m") >= F.lit(least / (1 + least)) * (F.col("n") + F.col("hub_n")) - F.lit(1e-6)
         once = (F.col("place") >= reach) | (F.col("node") > F.col("hub"))
         new = known.select("*", share).join(
             hubs, (F.col("g") == F.col("hub_g")) & (F.col("share") == F.col("hub_share")) & (F.col("label") != F.col("hub_label"))
                         & fits("n", "hub_n") & enough & once & may_be_similar(least)).select(
             F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("other")).distinct()
-        both = tried.unionByName(tried.select(F.col("other").alias("hub"), F.col("hub").alias("other")))
-        new = stored(new.join(both, ["hub", "other"], "left_anti"), "tried")
-        found = stored(verified(new, texts, least), "links")
-        tried = tried.unionByName(new)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = components(links)
+        new = stored(new.join(tried, ["hub", "other"], "left_anti"), "tried")
+        if not new.isEmpty():
+            found = stored(verified(new, texts, least), "links")
+            tried = tried.unionByName(new)
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                labels = components(links)
         done, reach = reach, reach * GROWTH
 
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
     smallest = named.groupBy("label").agg(F.min("id").alias("class_id"))
     named = stored(named.join(smallest, "label").select("key", F.col("id").alias("first_id"), "class_id", "label"), "classes")
+    discard(nodes, texts, signs, held)
     # The kept row of a class: its smallest id; of rows with that id, the first by key.
     keeper = named.where(F.col("first_id").eqNullSafe(F.col("class_id"))).groupBy("label").agg(
         F.min("key").alias("keeper"))
     named = named.join(keeper, "label").withColumn("is_keeper", F.col("key") == F.col("keeper"))
     found = table.select("id", "key").join(named.select("key", "class_id", "is_keeper"), "key").withColumn(
         "is_kept", F.col("is_keeper") & F.col("id").eqNullSafe(F.col("class_id"))).drop("is_keeper")
-    empty = rows.where("words IS NULL").select(
+    empty = raw_texts.where("text IS NULL").select(
         "id", F.lit(None).cast("binary").alias("key"), F.col("id").alias("class_id"), F.lit(True).alias("is_kept"))
     return found.unionByName(empty).withColumnRenamed("id", id_column)
 
@@ -433,32 +442,21 @@ def drop_near_duplicates(
     Rows with null text are all kept; of rows that have the same id and words one is. Every
     column is returned, whatever its name.
     """
-    key = F.unhex(F.md5(normalised(F.col(text_column))))
     held = docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row"),
-                       F.col(id_column).alias("id"), key.alias("key"), F.xxhash64(F.col(id_column), key).alias("h"))
+                       F.col(id_column).alias("id"), F.xxhash64(F.col(id_column)).alias("h"),
+                       F.col(text_column).alias("text"))
     # Only rows that go, or that are there more than once, need to be looked up; a filter of
-    # fixed size tells most others before anything is shuffled.
+    # fixed size tells most others by their ids before anything is shuffled or normalised.
     doubtful = stored(classes(docs, id_column, text_column, least).where("key IS NOT NULL").groupBy(
         F.col(id_column).alias("id"), "key").agg(F.max("is_kept").alias("is_kept"), F.count(F.lit(1)).alias("n")).where(
         "n > 1 OR NOT is_kept"), "doubtful")
-    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(doubtful.select(F.xxhash64("id", "key").alias("h"))))
-
-    def passing(hit: bool):
-        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bits = shared.value
-            for batch in batches:
-                p = batch.column("h").to_numpy() % FILTER_BITS
-                inside = ((bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1).astype(bool)
-                yield batch.filter(pa.array(inside == hit))
-
-        return lean(choose)
-
-    worded = held.where("key IS NOT NULL")
-    other = worded.mapInArrow(passing(True), held.schema)
+    ids = doubtful.select(F.xxhash64("id").alias("h"))
+    worded = held.where("text IS NOT NULL")
+    other = passing(worded, "h", ids).withColumn("key", F.unhex(F.md5(normalised(F.col("text")))))
     same = other["id"].eqNullSafe(doubtful["id"]) & (other["key"] == doubtful["key"])
     looked = other.join(doubtful, same, "left").select(other["row"], other["id"], other["key"], "is_kept")
     one = Window.partitionBy("key", "id").orderBy(F.xxhash64("row"))
     again = looked.where("is_kept").withColumn("turn", F.row_number().over(one)).where("turn = 1").select("row")
-    return worded.mapInArrow(passing(False), held.schema).select("row").unionByName(
+    return passing(worded.select("row", "h"), "h", ids, hit=False).select("row").unionByName(
         looked.where("is_kept IS NULL").select("row")).unionByName(again).unionByName(
-        held.where("key IS NULL").select("row")).select("row.*")
+        held.where("text IS NULL").select("row")).select("row.*")

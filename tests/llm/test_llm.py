@@ -289,6 +289,42 @@ def test_pairs_hidden_in_groups_of_other_texts(spark):
     assert sum(bool(met[a] & met[b]) for a in range(120) for b in range(a)) < 120 * 119 / 2
 
 
+def test_groups_of_rare_shingles_do_not_grow_with_the_number_of_texts(spark):
+    # 20,000 texts that all have words of their own and one passage: counted in few buckets all shingles are frequent
+    rng = np.random.default_rng(2)
+    passage = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    rows, size = [], 200
+    for k in range(0, 20_000, 2):
+        text = rng.integers(0, 2**63, size, dtype=np.uint64)
+        text[:60] = passage
+        twin = text.copy()
+        twin[100:110] = rng.integers(0, 2**63, 10, dtype=np.uint64)
+        rows += [(k, text.tobytes()), (k + 1, twin.tobytes())]
+    found = near_dedup.rare_shingles(spark.createDataFrame(rows, "node long, shingles binary").repartition(8), 0.8)[0]
+    sizes = found.groupBy("g").count().groupBy("count").count().collect()
+    assert {r[0] for r in sizes} == {2}  # twins meet, the passage brings nobody together
+    assert found.groupBy("node").count().agg({"count": "min"}).head()[0] == 190 - 160 + 1 and found.select("node").distinct().count() == 20_000
+
+
+def test_signs_let_all_similar_texts_through(spark):
+    rng = np.random.default_rng(4)
+    texts = []
+    for k in range(60):
+        base = rng.integers(0, 2**63, rng.integers(5, 900), dtype=np.uint64)
+        base[rng.random(len(base)) < 0.2] = base[0]
+        other = base.copy()
+        other[rng.random(len(base)) < rng.random() * 0.3] = 3
+        texts += [base, np.delete(other, rng.integers(0, len(other), len(other) // 15))]
+    rare, signs = near_dedup.rare_shingles(spark.createDataFrame(
+        [(k, t.tobytes()) for k, t in enumerate(texts)], "node long, shingles binary"), 0.8)
+    sizes = spark.createDataFrame([(k, len(t)) for k, t in enumerate(texts)], "node long, n long")
+    rows = signs.join(sizes, "node")
+    hubs = rows.selectExpr("node AS hub", "n AS hub_n", "sign AS hub_sign")
+    through = {(r.hub, r.node) for r in rows.crossJoin(hubs).where(near_dedup.may_be_similar(0.8)).collect()}
+    alike = {(a, b) for a in range(120) for b in range(120) if near_dedup.similar(texts[a], texts[b])}
+    assert alike <= through and len(alike) > 150 and len(through) < 1.5 * len(alike)
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(3)
     centres = rng.standard_normal((6, 16))
