@@ -54,4 +54,5 @@ def checkin_rejects(raw: DataFrame) -> DataFrame:
         F.count_if(F.col("business_id").isNull()).alias("lists_without_place"),
         F.count_if(F.col("date").isNull()).alias("missing_lists"))
     found = entries.agg(F.count(F.lit(1)).alias("entry_count"), F.count_if(read.isNull()).alias("rejected_entries"))
-    return lists.join(F.broadcast(found))  # one row each
+    both = lists.unionByName(found, allowMissingColumns=True)  # one row each, NULL where the other counts
+    return both.agg(*(F.coalesce(F.max(c), F.lit(0)).alias(c) for c in both.columns))

@@ -9,7 +9,7 @@ from placewell.functions import scalars as S
 from placewell.functions.classify import classify
 from placewell.functions.ordering import asc, desc, tie_columns
 from placewell.operators import joins, profiling, ranking
-from placewell.plans.checkins import checkin_events, checkin_summary
+from placewell.plans.checkins import checkin_events, checkin_rejects, checkin_summary
 from placewell.plans.places import entity_clean, regional_top, regional_top_with_latest
 from placewell.plans.readings import (
     latest_report, readings_latest, readings_typed, register_views,
@@ -206,6 +206,16 @@ def test_checkin_events(spark):
     assert dict(events.dtypes)["checkin_month"] == "date"
 
 
+def test_checkin_rejects_is_one_row_without_a_join(spark):
+    raw = checkin(
+        spark, ("p1", "2020-01-01 10:00:00, soon, "), ("p2", " ,, "), ("p3", None), (None, "2020-01-01"), (None, None))
+    unread = checkin(spark, ("p1", None), (None, "soon"))
+    for rows, want in ((raw, (5, 2, 2, 2, 1)), (unread, (2, 1, 1, 0, 0)), (raw.limit(0), (0, 0, 0, 0, 0))):
+        found = checkin_rejects(rows)
+        assert [tuple(r) for r in found.collect()] == [want]
+        assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_raw_duplicates_do_not_change_clean_tables(spark):
     places = spark.createDataFrame([place(), place("p2", "B", None)], PLACE)
     reviews = spark.createDataFrame([review(), review("r2")], REVIEW)
