@@ -200,8 +200,10 @@ def ingest_first_error(spark, sf_dir):
     customer.withColumn("c_name", F.array("c_name")).write.parquet(f"{root}/drops/nested")
     customer.select("c_name").write.text(f"{root}/drops/not_parquet")
     ingest.ingest_table(spark, f"{root}/drops", f"{root}/raw", customer.schema, "part-*")
+    # nothing is wrong with an empty file that fits; there is one where the first split of the table has no row
+    status = F.when(F.col("status") == "no_rows", "loaded").otherwise(F.col("status"))
     return ingest.load_history(spark, f"{root}/raw").groupBy(
-        F.regexp_extract("file_name", "/drops/([^/]+)/", 1).alias("kind"), "status", "first_error"
+        F.regexp_extract("file_name", "/drops/([^/]+)/", 1).alias("kind"), status.alias("status"), "first_error"
     ).agg(F.sum("row_count").alias("row_count"))
 
 

@@ -13,7 +13,8 @@ micro-batch is one batch job over the new files:
 Readers see published batches only. A batch that is run again after a failure
 overwrites its own folders, so each row arrives once. The status of a file is
 ``loaded``, ``no_rows`` (empty), ``skipped`` (with errors) or ``missing`` (replaced or
-removed before it was read); ``first_error`` says what is wrong with a skipped file.
+removed before it was read); ``first_error`` says what is wrong with a skipped file. An
+empty file is skipped if its footer has a column that no row could be read from.
 
 Many small batches are rewritten as few large segments by ``compaction``; a segment
 replaces all batches up to its number at the moment it is entered in ``segment_log``.
@@ -310,12 +311,13 @@ def _load_batch(spark: SparkSession, files: DataFrame, batch_id: int, target: st
     # a read that failed once may have been a passing fault; ask again before rejecting
     for name in paths:
         if name not in promised:
-            status[name] = _status_without_rows(spark, paths[name])
+            status[name] = _status_without_rows(spark, paths[name], schema)
         elif name in unfit or landed.get(name, 0) < promised[name] and not _reads_whole(
                 read, paths[name], promised[name]):
             status[name] = "skipped"
     if landed != promised:
-        kept = [p for n, p in paths.items() if status[n] != "skipped"]
+        # an empty file adds nothing, but one of nested values would end the scan
+        kept = [p for n, p in paths.items() if status[n] == "loaded"]
         landed = write(read(kept) if kept else read(list(paths.values())).limit(0))
     if landed != {n: rows for n, rows in promised.items() if status[n] == "loaded"}:
         raise OSError(f"batch {batch_id}: files changed or became unreadable during the load")
@@ -380,19 +382,38 @@ def _clashing(spark: SparkSession, paths: dict[str, str], schema: T.StructType |
     return {n for n, bad in zip(paths, found, strict=True) if bad}
 
 
-def clash(wanted: T.DataType, there: T.DataType) -> bool:
-    """Whether some value is nested in one type and plain, or nested otherwise, in the other."""
-    nested = (T.StructType, T.ArrayType, T.MapType)
-    if not isinstance(wanted, nested) and not isinstance(there, nested):
-        return False
-    if type(wanted) is not type(there):
+def shape(kind: T.DataType) -> type | None:
+    """The sort of nested type; None for all plain ones."""
+    return type(kind) if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) else None
+
+
+def family(kind: T.DataType) -> type | None:
+    """Parquet readers give no type as one of another family, but for the bytes of long decimals.
+
+    None is the family of numbers and times, of which they give some as others.
+    """
+    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType, T.BinaryType)):
+        return T.StringType
+    return type(kind) if isinstance(kind, (T.BooleanType, T.VariantType)) else shape(kind)
+
+
+def clash(wanted: T.DataType, there: T.DataType,
+          sort: Callable[[T.DataType], type | None] = shape) -> bool:
+    """Whether some value is nested in one type and plain, or nested otherwise, in the other.
+
+    With another ``sort``: whether some value is of different sorts in the two types.
+    """
+    if sort(wanted) is not sort(there):
         return True
     if isinstance(wanted, T.StructType):
         held = {f.name.lower(): f.dataType for f in there.fields}
-        return any(clash(f.dataType, held[f.name.lower()]) for f in wanted.fields if f.name.lower() in held)
+        return any(clash(f.dataType, held[f.name.lower()], sort)
+                   for f in wanted.fields if f.name.lower() in held)
     if isinstance(wanted, T.ArrayType):
-        return clash(wanted.elementType, there.elementType)
-    return clash(wanted.keyType, there.keyType) or clash(wanted.valueType, there.valueType)
+        return clash(wanted.elementType, there.elementType, sort)
+    if isinstance(wanted, T.MapType):
+        return clash(wanted.keyType, there.keyType, sort) or clash(wanted.valueType, there.valueType, sort)
+    return False
 
 
 def _is_published(spark: SparkSession, target: str, batch_id: int, files: set[str]) -> bool:
@@ -427,15 +448,16 @@ def _still_there(spark: SparkSession, paths: dict[str, str]) -> dict[str, str]:
     return {n: p for (n, p), there in zip(paths.items(), found) if there}
 
 
-def _status_without_rows(spark: SparkSession, path: str) -> str:
-    """An empty file, or one whose footer cannot be read."""
+def _status_without_rows(spark: SparkSession, path: str, schema: T.StructType | None) -> str:
+    """An empty file, one of columns that hold other values, or one whose footer cannot be read."""
     try:
-        rows = spark.read.parquet(path).count()
+        found = spark.read.parquet(path)
+        rows = found.count()
     except (PySparkException, Py4JJavaError):
         return "skipped"
     if rows:
         raise OSError(f"{path} was unreadable for a moment")
-    return "no_rows"
+    return "skipped" if schema is not None and clash(schema, found.schema, family) else "no_rows"
 
 
 def _rows_per_file(df: DataFrame, path: Column) -> dict[str, int]:

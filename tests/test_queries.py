@@ -21,6 +21,19 @@ def test_query_agrees_with_sql(spark, con, name):
     assert differences(df, con, ORACLE[name]) == []
 
 
+def test_reasons_when_the_first_split_has_no_row(spark, con):
+    """Spark writes an empty first file then, one in each drop."""
+    splits = {"spark.sql.files.maxPartitionBytes": "500", "spark.sql.files.openCostInBytes": "1"}
+    for key, value in splits.items():
+        spark.conf.set(key, value)
+    try:
+        df = QUERIES["ingest_first_error"](spark, SF_DIR)
+        assert differences(df, con, ORACLE["ingest_first_error"]) == []
+    finally:
+        for key in splits:
+            spark.conf.unset(key)
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
     assert set(QUERIES) <= set(spark_entry.queries())

@@ -564,6 +564,21 @@ def test_a_nested_value_does_not_end_the_write_of_its_batch(spark, folder, monke
     assert found == {"a": ("loaded", 1), "b": ("skipped", 0), "c": ("skipped", 0)}
 
 
+def test_an_empty_file_is_judged_by_its_footer_and_does_not_end_a_write(spark, folder):
+    drop(spark, f"{folder}/in/a", [(1, "x", (2, "y"), b"z")], "id bigint, name string, s struct<m: int, n: string>, b binary")
+    drop(spark, f"{folder}/in/b", [(1, ["x"])], "id bigint, name array<string>")
+    for kind, ddl in (("c", "id bigint, name array<string>"), ("d", "id string"), ("e", "id bigint, s struct<m: string>"),
+                      ("f", "ID int, s struct<N: string, m: int>, b string, more boolean")):
+        drop(spark, f"{folder}/in/{kind}", [], ddl)
+    assert load(spark, folder, "id bigint, name string, s struct<m: int, n: string>, b binary") == [(1, "x", (2, "y"), b"z")]
+    found = {r.file_name.split("/in/")[1][0]: (r.status, r.row_count, r.first_error)
+             for r in ingest.load_history(spark, f"{folder}/raw").collect()}
+    nested = ("skipped", 0, "column name: array<string> instead of string")
+    assert found == {
+        "a": ("loaded", 1, None), "b": nested, "c": nested, "d": ("skipped", 0, "column id: string instead of bigint"),
+        "e": ("skipped", 0, "column s: struct<m:string> instead of struct<m:int,n:string>"), "f": ("no_rows", 0, None)}
+
+
 def test_loaded_files_are_archived_and_late_ones_still_load(spark, folder):
     def landed():
         return sorted(f for _, _, found in os.walk(f"{folder}/in") for f in found if f.endswith(".parquet"))
